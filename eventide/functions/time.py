@@ -42,16 +42,25 @@ def interval_str(ms: int) -> str:
 def to_millis(col: str | Column, dtype=None) -> Column:
     """Epoch milliseconds (floor) of a timestamp column.
 
-    ``TIMESTAMP_NTZ`` is read as UTC wall-clock time without consulting the
-    session time zone, so results do not depend on the cluster's zone.
+    ``TIMESTAMP_NTZ`` is read as UTC wall-clock time from its date and time
+    fields, so the result never depends on the session time zone (a cast to
+    ``TIMESTAMP`` would shift it by the zone's offset, DST included).
     """
     c = F.col(col) if isinstance(col, str) else col
     if isinstance(dtype, TimestampNTZType):
-        micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
-        return F.floor(micros / F.lit(1000)).cast("bigint")
+        micros = (F.unix_date(F.to_date(c)).cast("bigint") * F.lit(86_400_000_000)
+                  + (F.hour(c) * 3600 + F.minute(c) * 60).cast("bigint") * F.lit(1_000_000)
+                  + (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("bigint"))
+        return floor_div(micros, 1000)
     return F.unix_millis(c)
 
 
+def floor_div(x: Column, n: int) -> Column:
+    """Exact integer floor division.  SQL ``div`` truncates toward zero, so
+    the remainder is taken off first; the quotient is then exact."""
+    return F.call_function("div", x - F.pmod(x, F.lit(n)), F.lit(n))
+
+
 def millis_to_ts(col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.timestamp_millis(c)
@@ -66,4 +75,4 @@ def window_bounds_ms(window_col: str = "window") -> list[Column]:
 def tumble_start(ts_ms: str | Column, size_ms: int) -> Column:
     """Start of the epoch-aligned tumbling window holding ``ts_ms`` (floor)."""
     c = F.col(ts_ms) if isinstance(ts_ms, str) else ts_ms
-    return (F.floor(c / F.lit(size_ms)) * F.lit(size_ms)).cast("bigint")
+    return floor_div(c, size_ms) * F.lit(size_ms)
