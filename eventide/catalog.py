@@ -135,8 +135,7 @@ FROM events GROUP BY 1
 """)
 def partition_custom(spark, sf):
     ev = _ev(spark, sf).select("event_id")
-    parted = partitioning.partition_by_expr(ev, 2, F.pmod(F.col("event_id"), F.lit(2)))
-    return partitioning.partition_summary(parted, "event_id")
+    return partitioning.partition_summary(ev, 2, F.pmod(F.col("event_id"), F.lit(2)), "event_id")
 
 
 @query("replicate_rows", "SELECT e.event_id, CAST(r.i AS INTEGER) AS replica FROM events e, range(4) r(i)")

@@ -11,15 +11,24 @@ def partition_by_expr(df: DataFrame, num_partitions: int, partition_id: Column)
     return df.repartitionById(num_partitions, partition_id.cast("int"))
 
 
-def partition_summary(df: DataFrame, value_col: str, out_part: str = "part") -> DataFrame:
-    """Rows and sum of ``value_col`` per physical partition of ``df``.
-
-    ``spark_partition_id`` is read directly above the repartition, before
-    any other exchange, and the per-partition sums are partial aggregates.
+def partition_summary(df: DataFrame, num_partitions: int, partition_id: Column, value_col: str,
+                      out_part: str = "part") -> DataFrame:
+    """Rows and sum of ``value_col`` per partition of the custom partitioner.
+
+    Rows are pre-aggregated where they are read — one partial per (input
+    partition, target partition) — and only those partials are routed by
+    the custom partitioner, so the data itself never funnels into the
+    ``num_partitions`` target tasks.  ``spark_partition_id`` is read right
+    after the routing exchange.
     """
-    tagged = df.select(F.spark_partition_id().alias(out_part), F.col(value_col))
+    partial = (df.select(F.spark_partition_id().alias("_src"), partition_id.cast("int").alias("_target"),
+                         F.col(value_col))
+               .groupBy("_src", "_target")
+               .agg(F.count(F.lit(1)).alias("_n"), F.sum(value_col).alias("_s")))
+    routed = partition_by_expr(partial, num_partitions, F.col("_target"))
+    tagged = routed.select(F.spark_partition_id().alias(out_part), "_n", "_s")
     return (tagged.groupBy(out_part)
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum(value_col).alias("sum_value")))
+            .agg(F.sum("_n").alias("n_rows"), F.sum("_s").alias("sum_value")))
 
 
 def replicate(df: DataFrame, copies: int, out: str = "replica") -> DataFrame:

@@ -15,9 +15,10 @@ slices ("chunks"):
    chunks; ordinary keys are one chunk (0).
 3. The running aggregate is computed per ``(key, chunk)`` (one shuffle, hot
    keys spread over many tasks).
-4. Per-chunk totals of hot keys are aggregated on the same exchange (no
-   second scan or shuffle of the data), prefix-combined over the earlier
-   chunks (a few rows per hot key) and merged into the local values.
+4. Per-chunk totals of hot keys (only their rows, partially aggregated) are
+   prefix-combined over the earlier chunks (a few rows per hot key) and
+   merged into the local values.  Without hot keys this branch is empty
+   and adaptive execution removes it.
 
 Only decomposable aggregates are supported (sum, count, max, min; ``max`` or
 ``min`` of a struct gives max_by / min_by with explicit tie-breaking).
@@ -91,43 +92,30 @@ def running(df: DataFrame, keys: list[str], order: list[str],
         df = df.withColumn(_GLOBAL, F.lit(0))
         keys, drop = [_GLOBAL], [_GLOBAL]
     c = with_chunks(df, keys, order[0], rows_per_chunk, max_hot_keys)
-    # One exchange on (key, chunk) feeds both the window and the chunk
-    # totals below (same subtree, so Spark reuses it: one scan, one shuffle).
-    cp = c.repartition(*keys, CHUNK)
 
     ordering = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
     w = (Window.partitionBy(*keys, CHUNK).orderBy(*ordering)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow if include_current else -1))
-    out = cp
+    out = c
     for name, (kind, expr) in aggs.items():
         out = out.withColumn(f"_loc_{name}", _LOCAL[kind](expr).over(w))
 
-    # Totals of each hot chunk, aggregated in place on the shared exchange.
-    # The hot test is on an aggregate output so it is not pushed below the
-    # exchange (which would break the reuse).
-    # ``max(hash(all columns))`` keeps column pruning from trimming this
-    # branch's copy of the subtree (a fixed-width buffer, so the aggregate
-    # stays a hash aggregate).
-    totals = (cp.groupBy(*keys, CHUNK)
-              .agg(F.max(_PARTS).alias("_hot"),
-                   F.max(F.hash(*cp.columns)).alias("_same_subtree"),
-                   *[_LOCAL[kind](expr).alias(f"_tot_{name}") for name, (kind, expr) in aggs.items()])
-              .where(F.col("_hot").isNotNull() & F.col("_same_subtree").isNotNull()))
+    # Totals of the chunks of hot keys.  The hot-key test turns the
+    # broadcast join into an inner join, so only hot rows reach the
+    # (partial) aggregation; with no hot key the broadcast is empty and
+    # adaptive execution drops this whole branch at run time.
+    totals = (c.where(F.col(_PARTS).isNotNull())
+              .groupBy(*keys, CHUNK)
+              .agg(*[_LOCAL[kind](expr).alias(f"_tot_{name}") for name, (kind, expr) in aggs.items()]))
     chunk_order = F.col(CHUNK).desc() if descending else F.col(CHUNK).asc()
     wo = (Window.partitionBy(*keys).orderBy(chunk_order)
           .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*keys, CHUNK, *[
         _PREFIX[kind](f"_tot_{name}").over(wo).alias(f"_off_{name}")
         for name, (kind, _) in aggs.items()])
-    # Null-safe equality: no ``isnotnull`` filter is inferred and pushed
-    # into the shared subtree (null keys are never hot, so nothing changes).
-    o = offsets.select(*[F.col(k).alias(f"_o_{k}") for k in keys + [CHUNK]],
-                       *[f"_off_{name}" for name in aggs])
-    cond = None
-    for k in keys + [CHUNK]:
-        c_k = out[k].eqNullSafe(o[f"_o_{k}"])
-        cond = c_k if cond is None else cond & c_k
-    out = out.join(o, on=cond, how="left").drop(*[f"_o_{k}" for k in keys + [CHUNK]])
+    # The window output is hash-partitioned on (keys, chunk): joining on the
+    # same columns re-shuffles only the (small) offsets side.
+    out = out.join(offsets, on=keys + [CHUNK], how="left")
 
     for name, (kind, _) in aggs.items():
         loc, off = F.col(f"_loc_{name}"), F.col(f"_off_{name}")
@@ -138,8 +126,7 @@ def running(df: DataFrame, keys: list[str], order: list[str],
             merged = F.greatest(loc, off)
         else:
             merged = F.least(loc, off)
-        # ordinary keys have no offset (this also keeps _hk_parts referenced
-        # on the main branch, like on the totals branch)
+        # ordinary keys have no offset
         merged = F.when(F.col(_PARTS).isNull(), loc).otherwise(merged)
         out = out.withColumn(name, merged)
     helper = [f"_loc_{n}" for n in aggs] + [f"_off_{n}" for n in aggs] + [CHUNK, _PARTS] + drop
