@@ -76,3 +76,9 @@ def tumble_start(ts_ms: str | Column, size_ms: int) -> Column:
     """Start of the epoch-aligned tumbling window holding ``ts_ms`` (floor)."""
     c = F.col(ts_ms) if isinstance(ts_ms, str) else ts_ms
     return floor_div(c, size_ms) * F.lit(size_ms)
+
+
+def processing_time() -> Column:
+    """Processing-time clock (the alternative to an event-time column when a
+    job runs on processing time); fixed per query or micro-batch."""
+    return F.current_timestamp()

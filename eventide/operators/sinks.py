@@ -142,3 +142,16 @@ def jdbc_writer(url: str, table: str, properties: dict | None = None,
         b = batch.select(*columns) if columns else batch
         b.write.jdbc(url=url, table=table, mode="append", properties=properties or {})
     return write
+
+
+# --- print ------------------------------------------------------------------
+
+def print_sink(df: DataFrame, label: str | None = None, checkpoint: str | None = None):
+    """``print()`` / ``print(label)`` for a stream: the console sink, named by
+    ``label`` (use the ``memory`` format with the same name in tests)."""
+    w = df.writeStream.format("console").option("truncate", "false")
+    if label:
+        w = w.queryName(label)
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    return w

@@ -436,3 +436,34 @@ def apply_arrival_timer(df: DataFrame, id_col: str, delay_ms: int = 1000, key: s
             .transformWithStateInPandas(ArrivalTimer(delay_ms, id_col),
                                         "kind string, event_id bigint, at_ms bigint",
                                         "Append", "ProcessingTime"))
+
+
+# --- process function that reads the watermark ------------------------------------------
+
+class RepeatWithWatermark(StatefulProcessor):
+    """Flat-map emitting each row ``times`` times (a precomputed column) and
+    tagging it with the watermark the operator sees (``-1``/0 before the
+    first watermark)."""
+
+    def __init__(self, fields: list[str], times_col: str):
+        self.fields, self.times_col = fields, times_col
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        wm = timerValues.getCurrentWatermarkInMs()
+        for pdf in rows:
+            rep = pdf.loc[pdf.index.repeat(pdf[self.times_col].clip(lower=0))][self.fields].copy()
+            rep["watermark_ms"] = wm
+            yield rep
+
+    def close(self) -> None:
+        pass
+
+
+def apply_repeat_with_watermark(df: DataFrame, key: str, fields: list[str], times) -> DataFrame:
+    tagged = df.withColumn("repeat_times", times)
+    ddl = ", ".join(f"{f} {df.schema[f].dataType.simpleString()}" for f in fields)
+    return tagged.groupBy(key).transformWithStateInPandas(
+        RepeatWithWatermark(fields, "repeat_times"), f"{ddl}, watermark_ms bigint", "Append", "EventTime")
