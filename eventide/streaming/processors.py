@@ -387,8 +387,11 @@ class RollingAggregate(StatefulProcessor):
         else:
             run = np.minimum.accumulate(vals if prev is None else np.r_[prev, vals])[-len(vals):]
         self.acc.update((int(run[-1]),))
-        yield pd.DataFrame({"key": [key[0]] * len(pdf), self.id_col: pdf[self.id_col].to_numpy(),
-                            "running": run})
+        out = {"key": [key[0]] * len(pdf)}
+        for c in dict.fromkeys([self.id_col, *self.order]):
+            out[c] = pdf[c].to_numpy()
+        out["running"] = run
+        yield pd.DataFrame(out)
 
     def close(self) -> None:
         pass
@@ -396,11 +399,16 @@ class RollingAggregate(StatefulProcessor):
 
 def apply_rolling(df: DataFrame, key: str, kind: str, value: str | None, order: list[str],
                   id_col: str, out: str) -> DataFrame:
-    schema = f"key {_key_type(df, key)}, {id_col} bigint, running bigint"
-    cols = [key, id_col, *[o for o in order if o != id_col]] + ([value] if value else [])
+    """One row per input record: key, ``id_col``, the order columns and the
+    running aggregate ``out``."""
+    passed = list(dict.fromkeys([id_col, *order]))
+    schema = (f"key {_key_type(df, key)}, "
+              + ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in passed)
+              + ", running bigint")
+    cols = [key, *passed] + ([value] if value else [])
     r = df.select(*dict.fromkeys(cols)).groupBy(key).transformWithStateInPandas(
         RollingAggregate(kind, value, order, id_col), schema, "Append", "None")
-    return r.select(F.col("key").alias(key), id_col, F.col("running").alias(out))
+    return r.select(F.col("key").alias(key), *passed, F.col("running").alias(out))
 
 
 # --- arrival row + processing-time timer ----------------------------------------------------

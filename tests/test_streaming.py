@@ -276,3 +276,36 @@ def test_late_rows_dropped_by_window(spark, scratch):
     st, _ = _run(spark, windows.count_per_window(s, "event_time", 5000))
     got = sorted((r.window_start, r.cnt) for r in st.collect())
     assert got == [(0, 2), (20000, 2), (40000, 1)]
+
+
+def test_most_active_user_stream_equals_batch(spark, folder, scratch):
+    from eventide.operators import rolling
+    from eventide.streaming.global_order import most_active_writer
+    s = _stream(spark, folder).select("event_id", "user_id", "ts_ms")
+    changelog = P.apply_rolling(s, "user_id", "count", None, ORDER, "event_id", "user_count")
+    out = os.path.join(scratch, "top")
+    run_foreach_batch(changelog, most_active_writer(out, os.path.join(scratch, "top-state"),
+                                                    "user_id", "user_count", ORDER),
+                      shared_path(spark, "ckpt"))
+    got = spark.read.parquet(out)
+    b = rolling.most_active_so_far(_batch(spark).select("event_id", "user_id", "ts_ms"), "user_id", ORDER)
+    cols = ["event_id", "user_count", "top_user", "top_count"]
+    assert _set(got, cols) == _set(b, cols)
+
+
+def test_timeouts_to_side_output(spark, folder, scratch):
+    from eventide.streaming.global_order import side_output_writer
+    s = _stream(spark, folder)
+    begin, end = F.col("event_type") == "signup", F.col("event_type") == "purchase"
+    matches = P.apply_followed_by(s, "user_id", "ts_ms", "event_id", begin, end, 24 * H)
+
+    def to(path):
+        return lambda b, i: b.write.mode("overwrite").parquet(os.path.join(scratch, path, f"batch={i}"))
+
+    run_foreach_batch(matches, side_output_writer("status = 'timeout'", to("main"), to("side")),
+                      shared_path(spark, "ckpt"))
+    main = spark.read.parquet(os.path.join(scratch, "main"))
+    side = spark.read.parquet(os.path.join(scratch, "side"))
+    assert main.count() > 0 and side.count() > 0
+    assert {r.status for r in main.collect()} == {"matched"}
+    assert {r.status for r in side.collect()} == {"timeout"}
