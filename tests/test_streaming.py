@@ -309,3 +309,16 @@ def test_timeouts_to_side_output(spark, folder, scratch):
     assert main.count() > 0 and side.count() > 0
     assert {r.status for r in main.collect()} == {"matched"}
     assert {r.status for r in side.collect()} == {"timeout"}
+
+
+def test_reconcile_processor_overwrite_and_stale_timer(spark, scratch):
+    """A second app event overwrites the pending one; the first event's timer
+    is not cancelled and reports the newer pending event when it fires."""
+    rows = [("p1", 1000, "app"), ("p1", 3000, "app"), ("zz", 20000, "third")]
+    folder = os.path.join(scratch, "pay2")
+    spark.createDataFrame(rows, "id string, ts bigint, side string").coalesce(1).write.parquet(folder)
+    s = S.watermarked(spark.readStream.schema("id string, ts bigint, side string").parquet(folder), "ts", 0)
+    st, _ = _run(spark, P.apply_reconcile(s.where(F.col("side") == "app"), s.where(F.col("side") == "third"),
+                                          "id", "ts", "ts", 5000))
+    got = sorted((r.pay_id, r.app_ts, r.third_ts, r.status) for r in st.collect())
+    assert got == [("p1", 3000, None, "missing_third_party")]
