@@ -179,12 +179,16 @@ class Buffer(StatefulProcessor):
 
 
 def apply_buffer(df: DataFrame, threshold: int, fields: list[str], order: list[str],
-                 shards: int = 1, shard_key: str | None = None) -> DataFrame:
-    """Buffering sink on a stream.  ``shards`` buffers run side by side
-    (hash of ``shard_key``); with one shard the batches follow the global
-    arrival order, like the single-instance original."""
+                 shards: int | None = None, shard_key: list[str] | None = None) -> DataFrame:
+    """Buffering sink on a stream: one buffer per shard, like one buffering
+    sink per parallel instance.  ``shards`` defaults to the shuffle
+    parallelism; rows go to a shard by hash of ``shard_key`` (default: all
+    ``fields``).  ``shards=1`` is the single-instance form, whose batches
+    follow the global arrival order (what the batch form computes)."""
     ddl = ", ".join(f"{f} {df.schema[f].dataType.simpleString()}" for f in fields)
-    shard = (F.pmod(F.hash(shard_key), F.lit(shards)) if shard_key and shards > 1 else F.lit(0))
+    if shards is None:
+        shards = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shard = (F.pmod(F.hash(*(shard_key or fields)), F.lit(shards)) if shards > 1 else F.lit(0))
     schema = f"shard int, batch_no bigint, pos bigint, {ddl}"
     return (df.withColumn("shard", shard.cast("int")).groupBy("shard")
             .transformWithStateInPandas(Buffer(threshold, fields, ddl, order), schema, "Append", "None"))
@@ -425,10 +429,10 @@ class ArrivalTimer(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
-        pdf = pd.concat(list(rows), ignore_index=True)
-        self.handle.registerTimer(now + self.delay)
-        yield _frame(["kind", "event_id", "at_ms"],
-                     [("arrival", int(i), now) for i in pdf[self.id_col]], nullable_ints=("event_id",))
+        self.handle.registerTimer(now + self.delay)   # one timer per (key, ms)
+        for pdf in rows:
+            yield pd.DataFrame({"kind": "arrival", "event_id": pdf[self.id_col].astype("int64"),
+                                "at_ms": np.int64(now)})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield _frame(["kind", "event_id", "at_ms"],
@@ -439,6 +443,9 @@ class ArrivalTimer(StatefulProcessor):
 
 
 def apply_arrival_timer(df: DataFrame, id_col: str, delay_ms: int = 1000, key: str | None = None) -> DataFrame:
+    """Without ``key`` all rows share one key (one timer per distinct
+    millisecond, as in the original); pass a key or shard column to spread
+    the work, timers are then unique per (key, ms)."""
     k = F.col(key) if key else F.lit(True)
     return (df.withColumn("timer_key", k).groupBy("timer_key")
             .transformWithStateInPandas(ArrivalTimer(delay_ms, id_col),

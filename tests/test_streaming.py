@@ -176,7 +176,7 @@ def test_buffer_stream_equals_batch_and_survives_restart(spark, folder):
 
     def stream(max_files):
         s = event_stream(spark, path, schema, max_files_per_trigger=1)
-        return P.apply_buffer(s.select(*fields, "ts_ms"), 10, fields, ORDER)
+        return P.apply_buffer(s.select(*fields, "ts_ms"), 10, fields, ORDER, shards=1)
 
     # first run: stop after two files, then restart on the same checkpoint
     q = (stream(1).writeStream.foreachBatch(writer).option("checkpointLocation", ckpt)
@@ -322,3 +322,16 @@ def test_reconcile_processor_overwrite_and_stale_timer(spark, scratch):
                                           "id", "ts", "ts", 5000))
     got = sorted((r.pay_id, r.app_ts, r.third_ts, r.status) for r in st.collect())
     assert got == [("p1", 3000, None, "missing_third_party")]
+
+
+def test_sharded_buffer_releases_full_batches(spark, folder):
+    fields = ["event_id", "user_id", "ts_ms"]
+    s = _stream(spark, folder).select(*fields)
+    st, _ = _run(spark, P.apply_buffer(s, 10, fields, ORDER, shards=4))
+    rows = st.collect()
+    per = {}
+    for r in rows:
+        per.setdefault((r.shard, r.batch_no), []).append(r.event_id)
+    assert {r.shard for r in rows} == {0, 1, 2, 3}
+    assert all(len(v) == 10 for v in per.values())
+    assert len({r.event_id for r in rows}) == len(rows) > 1000 - 4 * 10
