@@ -55,7 +55,12 @@ def count_per_window(df: DataFrame, time_col: str, size_ms: int, slide_ms: int |
                       [F.count(F.lit(1)).alias(out)], keep_window)
 
 
-def distinct_count(df: DataFrame, col: str) -> Column:
+def distinct_count(df: DataFrame, col: str, approx: bool = False) -> Column:
+    """Exact distinct count (``size(collect_set)`` on streams, where exact
+    ``count(distinct)`` is refused), or a HyperLogLog++ estimate with
+    bounded state per window when ``approx``."""
+    if approx:
+        return F.approx_count_distinct(F.col(col))
     if df.isStreaming:
         return F.size(F.collect_set(col))
     return F.count_distinct(F.col(col))
@@ -63,16 +68,17 @@ def distinct_count(df: DataFrame, col: str) -> Column:
 
 def distinct_per_window(df: DataFrame, time_col: str, size_ms: int, distinct_col: str,
                         slide_ms: int | None = None, keys: list[str] = (),
-                        out: str = "uv") -> DataFrame:
+                        out: str = "uv", approx: bool = False) -> DataFrame:
     """Number of distinct ``distinct_col`` values per window."""
     return window_agg(df, time_col, size_ms, slide_ms, list(keys),
-                      [distinct_count(df, distinct_col).cast("bigint").alias(out)])
+                      [distinct_count(df, distinct_col, approx).cast("bigint").alias(out)])
 
 
 def pv_per_uv(df: DataFrame, time_col: str, size_ms: int, slide_ms: int, user_col: str,
-              out: str = "pv_per_uv") -> DataFrame:
+              out: str = "pv_per_uv", approx: bool = False) -> DataFrame:
     """Global sliding window: page views divided by distinct users (double)."""
     g = window_agg(df, time_col, size_ms, slide_ms, [],
-                   [F.count(F.lit(1)).alias("pv"), distinct_count(df, user_col).cast("bigint").alias("uv")])
+                   [F.count(F.lit(1)).alias("pv"),
+                    distinct_count(df, user_col, approx).cast("bigint").alias("uv")])
     return g.select("window_start", "window_end", "pv", "uv",
                     (F.col("pv").cast("double") / F.col("uv")).alias(out))

@@ -70,3 +70,16 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["window_start", "window_end", "event_type", "cnt", "rank"]
     assert df.count() > 0
+
+
+ZONE_SENSITIVE = ["tumbling_count", "sliding_pv_per_uv", "window_join", "reconcile_payments", "periodic_pv",
+                  "source_events"]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_query_independent_of_session_time_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        _compare(spark, con, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
