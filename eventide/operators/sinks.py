@@ -70,48 +70,106 @@ def hash_upsert_payload(df: DataFrame, key: str, field: str, order: list[str]) -
     return df.groupBy(key).agg(F.max_by(F.col(field), rank).alias(field))
 
 
-def upsert_into(path: str, key: str, order_col: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer keeping the latest row per ``key`` in a parquet
-    key-value table at ``path`` (a shared folder).  Each batch writes a new
-    version folder and a pointer file so a failed batch leaves the previous
-    version intact; re-running a batch id is idempotent."""
-    import os
-
+def upsert_into(path: str, key: str, order_col: str, buckets: int | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer keeping the latest row per ``key`` (by
+    ``order_col``) in a parquet key-value table at ``path`` (a shared folder).
+
+    The table is split into ``buckets`` hash buckets (default: the shuffle
+    parallelism; fixed once the table exists), each stored as
+    versions ``bucket=<b>/v<batch id>``.  A batch rewrites only the buckets
+    its keys fall into, in one job: new rows are reduced to the latest per
+    key (partial aggregation), merged with the current version of the
+    touched buckets, and written as a new version of each.  A version only
+    counts once its ``_SUCCESS`` marker exists, so a failed batch leaves the
+    previous versions in place, and a replayed batch id is skipped.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        target = os.path.join(path, f"v{batch_id:012d}")
-        versions = _versions(spark, path)
-        if versions and versions[-1] >= batch_id:
+        fs, jvm = _fs(spark, path)
+        n_buckets = _bucket_count(spark, path, buckets)
+        tag = f"v{batch_id:012d}"
+        current = _latest_versions(spark, path)
+        if any(v >= batch_id for v in current.values()):
             return  # already written (at-least-once replay)
-        cur = batch.select(key, order_col, *[c for c in batch.columns if c not in (key, order_col)])
-        if versions:
-            old = spark.read.parquet(os.path.join(path, f"v{versions[-1]:012d}"))
-            cur = old.unionByName(cur, allowMissingColumns=True)
-        latest = cur.groupBy(key).agg(F.max_by(F.struct(*cur.columns), F.col(order_col)).alias("_r"))
-        latest.select("_r.*").write.mode("overwrite").parquet(target)
+        cols = [key, order_col] + [c for c in batch.columns if c not in (key, order_col)]
+        new = (batch.select(*cols).groupBy(key)
+               .agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("_r")).select("_r.*")
+               .withColumn("bucket", F.pmod(F.hash(F.col(key)), F.lit(n_buckets))))
+        touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # <= buckets values
+        old_paths = [f"{path}/bucket={b}/v{current[b]:012d}" for b in touched if b in current]
+        merged = new
+        if old_paths:
+            old = spark.read.parquet(*old_paths).withColumn(
+                "bucket", F.pmod(F.hash(F.col(key)), F.lit(n_buckets)))
+            merged = old.unionByName(new, allowMissingColumns=True)
+        latest = (merged.groupBy(key).agg(F.max_by(F.struct(*merged.columns), F.col(order_col)).alias("_r"))
+                  .select("_r.*"))
+        staging = f"{path}/_staging/{tag}"
+        # one task and one file per bucket
+        latest.repartitionById(n_buckets, F.col("bucket").cast("int")) \
+            .write.mode("overwrite").partitionBy("bucket").parquet(staging)
+        for b in touched:  # publish: one rename + marker per touched bucket
+            src = jvm.org.apache.hadoop.fs.Path(f"{staging}/bucket={b}")
+            dst = jvm.org.apache.hadoop.fs.Path(f"{path}/bucket={b}/{tag}")
+            fs.mkdirs(dst.getParent())
+            if not fs.exists(src):
+                fs.mkdirs(src)
+            fs.rename(src, dst)
+            fs.create(jvm.org.apache.hadoop.fs.Path(dst, "_SUCCESS"), True).close()
 
     return write
 
 
-def _versions(spark, path: str) -> list[int]:
+def _bucket_count(spark, path: str, requested: int | None) -> int:
+    """The table's bucket count, fixed in ``_buckets`` when first written."""
+    fs, jvm = _fs(spark, path)
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_buckets")
+    if fs.exists(marker):
+        stream = fs.open(marker)
+        try:
+            return int(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip())
+        finally:
+            stream.close()
+    n = requested or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = fs.create(marker, True)
+    try:
+        out.write(str(n).encode())
+    finally:
+        out.close()
+    return n
+
+
+def _fs(spark, path: str):
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jpath):
-        return []
-    out = []
-    for st in fs.listStatus(jpath):
-        name = st.getPath().getName()
-        if name.startswith("v") and name[1:].isdigit() and \
-                fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[1:]))
-    return sorted(out)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
+
+
+def _latest_versions(spark, path: str) -> dict[int, int]:
+    """bucket -> newest committed version (batch id)."""
+    fs, jvm = _fs(spark, path)
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    if not fs.exists(root):
+        return {}
+    out: dict[int, int] = {}
+    for bst in fs.listStatus(root):
+        name = bst.getPath().getName()
+        if not name.startswith("bucket="):
+            continue
+        b = int(name[len("bucket="):])
+        for vst in fs.listStatus(bst.getPath()):
+            v = vst.getPath().getName()
+            if v.startswith("v") and v[1:].isdigit() and \
+                    fs.exists(jvm.org.apache.hadoop.fs.Path(vst.getPath(), "_SUCCESS")):
+                out[b] = max(out.get(b, -1), int(v[1:]))
+    return out
 
 
 def read_upserted(spark, path: str) -> DataFrame:
-    import os
-    versions = _versions(spark, path)
-    return spark.read.parquet(os.path.join(path, f"v{versions[-1]:012d}"))
+    """The current key-value table: the newest committed version of each bucket."""
+    latest = _latest_versions(spark, path)
+    paths = [f"{path}/bucket={b}/v{v:012d}" for b, v in sorted(latest.items())]
+    return spark.read.parquet(*paths)
 
 
 # --- JSON documents ---------------------------------------------------------
