@@ -8,9 +8,9 @@ one place.  Bounds come out as epoch-ms ``bigint`` (``window_start``,
 
 ``time_col`` is either an epoch-ms ``bigint`` (batch) or the watermarked
 ``TIMESTAMP`` column of a stream.  The same functions run on streaming
-DataFrames; there the distinct count uses ``size(collect_set)`` (exact,
-state per window) because exact ``count(distinct)`` is not supported on
-streams.
+DataFrames.  Exact distinct counts are two chained aggregations (per
+window and value, then per window), which works in batch and in streaming
+append mode and keeps every stage partially aggregated.
 """
 
 from __future__ import annotations
@@ -70,15 +70,33 @@ def distinct_per_window(df: DataFrame, time_col: str, size_ms: int, distinct_col
                         slide_ms: int | None = None, keys: list[str] = (),
                         out: str = "uv", approx: bool = False) -> DataFrame:
     """Number of distinct ``distinct_col`` values per window."""
-    return window_agg(df, time_col, size_ms, slide_ms, list(keys),
-                      [distinct_count(df, distinct_col, approx).cast("bigint").alias(out)])
+    if approx:
+        return window_agg(df, time_col, size_ms, slide_ms, list(keys),
+                          [distinct_count(df, distinct_col, True).cast("bigint").alias(out)])
+    per = _per_value(df, time_col, size_ms, slide_ms, list(keys), distinct_col)
+    g = per.groupBy("window", *keys).agg(F.count(F.lit(1)).alias(out))
+    return g.select(*window_bounds_ms("window"), *keys, out)
+
+
+def _per_value(df: DataFrame, time_col: str, size_ms: int, slide_ms: int | None,
+               keys: list[str], value_col: str) -> DataFrame:
+    """First stage of an exact distinct count: one row per (window, keys,
+    value) with its row count.  Both stages aggregate partially before
+    their shuffle, and on a stream they chain in append mode."""
+    return (df.groupBy(window_col(df, time_col, size_ms, slide_ms).alias("window"), *keys, value_col)
+            .agg(F.count(F.lit(1)).alias("_rows")))
 
 
 def pv_per_uv(df: DataFrame, time_col: str, size_ms: int, slide_ms: int, user_col: str,
               out: str = "pv_per_uv", approx: bool = False) -> DataFrame:
     """Global sliding window: page views divided by distinct users (double)."""
-    g = window_agg(df, time_col, size_ms, slide_ms, [],
-                   [F.count(F.lit(1)).alias("pv"),
-                    distinct_count(df, user_col, approx).cast("bigint").alias("uv")])
+    if approx:
+        g = window_agg(df, time_col, size_ms, slide_ms, [],
+                       [F.count(F.lit(1)).alias("pv"),
+                        distinct_count(df, user_col, True).cast("bigint").alias("uv")])
+    else:
+        per = _per_value(df, time_col, size_ms, slide_ms, [], user_col)
+        g = (per.groupBy("window").agg(F.sum("_rows").alias("pv"), F.count(F.lit(1)).alias("uv"))
+             .select(*window_bounds_ms("window"), "pv", "uv"))
     return g.select("window_start", "window_end", "pv", "uv",
                     (F.col("pv").cast("double") / F.col("uv")).alias(out))
