@@ -75,47 +75,54 @@ def upsert_into(path: str, key: str, order_col: str, buckets: int | None = None)
     ``order_col``) in a parquet key-value table at ``path`` (a shared folder).
 
     The table is split into ``buckets`` hash buckets (default: the shuffle
-    parallelism; fixed once the table exists), each stored as
-    versions ``bucket=<b>/v<batch id>``.  A batch rewrites only the buckets
-    its keys fall into, in one job: new rows are reduced to the latest per
-    key (partial aggregation), merged with the current version of the
-    touched buckets, and written as a new version of each.  A version only
-    counts once its ``_SUCCESS`` marker exists, so a failed batch leaves the
-    previous versions in place, and a replayed batch id is skipped.
+    parallelism; fixed once the table exists), each stored as versions
+    ``bucket=<b>/v<batch id>``.  A batch rewrites only the buckets its keys
+    fall into, in one job: new rows are reduced to the latest per key
+    (partial aggregation), merged with the current version of the touched
+    buckets, written to a staging folder, then published bucket by bucket
+    and sealed with a commit marker ``_commits/v<batch id>``.
+
+    Readers only see committed versions.  A replayed batch id is skipped if
+    committed; if a previous attempt died while publishing, the replay
+    finishes publishing from the completed staging output.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fs, jvm = _fs(spark, path)
-        n_buckets = _bucket_count(spark, path, buckets)
+        Path = jvm.org.apache.hadoop.fs.Path
         tag = f"v{batch_id:012d}"
-        current = _latest_versions(spark, path)
-        if any(v >= batch_id for v in current.values()):
-            return  # already written (at-least-once replay)
-        cols = [key, order_col] + [c for c in batch.columns if c not in (key, order_col)]
-        new = (batch.select(*cols).groupBy(key)
-               .agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("_r")).select("_r.*")
-               .withColumn("bucket", F.pmod(F.hash(F.col(key)), F.lit(n_buckets))))
-        touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # <= buckets values
-        old_paths = [f"{path}/bucket={b}/v{current[b]:012d}" for b in touched if b in current]
-        merged = new
-        if old_paths:
-            old = spark.read.parquet(*old_paths).withColumn(
-                "bucket", F.pmod(F.hash(F.col(key)), F.lit(n_buckets)))
-            merged = old.unionByName(new, allowMissingColumns=True)
-        latest = (merged.groupBy(key).agg(F.max_by(F.struct(*merged.columns), F.col(order_col)).alias("_r"))
-                  .select("_r.*"))
+        commit = Path(f"{path}/_commits/{tag}")
+        if fs.exists(commit):
+            return  # already committed (at-least-once replay)
+        n_buckets = _bucket_count(spark, path, buckets)
         staging = f"{path}/_staging/{tag}"
-        # one task and one file per bucket
-        latest.repartitionById(n_buckets, F.col("bucket").cast("int")) \
-            .write.mode("overwrite").partitionBy("bucket").parquet(staging)
-        for b in touched:  # publish: one rename + marker per touched bucket
-            src = jvm.org.apache.hadoop.fs.Path(f"{staging}/bucket={b}")
-            dst = jvm.org.apache.hadoop.fs.Path(f"{path}/bucket={b}/{tag}")
-            fs.mkdirs(dst.getParent())
-            if not fs.exists(src):
-                fs.mkdirs(src)
-            fs.rename(src, dst)
-            fs.create(jvm.org.apache.hadoop.fs.Path(dst, "_SUCCESS"), True).close()
+        if not fs.exists(Path(f"{staging}/_SUCCESS")):
+            current = _latest_versions(spark, path)
+            cols = [key, order_col] + [c for c in batch.columns if c not in (key, order_col)]
+            bucket = F.pmod(F.hash(F.col(key)), F.lit(n_buckets))
+            new = (batch.select(*cols).groupBy(key)
+                   .agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("_r")).select("_r.*")
+                   .withColumn("bucket", bucket))
+            touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # <= n_buckets values
+            old_paths = [f"{path}/bucket={b}/v{current[b]:012d}" for b in touched if b in current]
+            merged = new
+            if old_paths:
+                merged = spark.read.parquet(*old_paths).withColumn("bucket", bucket) \
+                    .unionByName(new, allowMissingColumns=True)
+            latest = (merged.groupBy(key).agg(F.max_by(F.struct(*merged.columns), F.col(order_col)).alias("_r"))
+                      .select("_r.*"))
+            # one task and one file per bucket
+            latest.repartitionById(n_buckets, F.col("bucket").cast("int")) \
+                .write.mode("overwrite").partitionBy("bucket").parquet(staging)
+        for st in fs.listStatus(Path(staging)):      # publish (idempotent)
+            name = st.getPath().getName()
+            if not name.startswith("bucket="):
+                continue
+            dst = Path(f"{path}/{name}/{tag}")
+            if not fs.exists(dst):
+                fs.mkdirs(dst.getParent())
+                fs.rename(st.getPath(), dst)
+        fs.create(commit, True).close()
 
     return write
 
@@ -148,19 +155,20 @@ def _fs(spark, path: str):
 def _latest_versions(spark, path: str) -> dict[int, int]:
     """bucket -> newest committed version (batch id)."""
     fs, jvm = _fs(spark, path)
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    if not fs.exists(root):
+    Path = jvm.org.apache.hadoop.fs.Path
+    commits_dir = Path(f"{path}/_commits")
+    if not fs.exists(commits_dir):
         return {}
+    committed = {int(st.getPath().getName()[1:]) for st in fs.listStatus(commits_dir)}
     out: dict[int, int] = {}
-    for bst in fs.listStatus(root):
+    for bst in fs.listStatus(Path(path)):
         name = bst.getPath().getName()
         if not name.startswith("bucket="):
             continue
         b = int(name[len("bucket="):])
         for vst in fs.listStatus(bst.getPath()):
             v = vst.getPath().getName()
-            if v.startswith("v") and v[1:].isdigit() and \
-                    fs.exists(jvm.org.apache.hadoop.fs.Path(vst.getPath(), "_SUCCESS")):
+            if v.startswith("v") and v[1:].isdigit() and int(v[1:]) in committed:
                 out[b] = max(out.get(b, -1), int(v[1:]))
     return out
 
