@@ -100,3 +100,21 @@ def pv_per_uv(df: DataFrame, time_col: str, size_ms: int, slide_ms: int, user_co
              .select(*window_bounds_ms("window"), "pv", "uv"))
     return g.select("window_start", "window_end", "pv", "uv",
                     (F.col("pv").cast("double") / F.col("uv")).alias(out))
+
+
+def process_window(df: DataFrame, time_col: str, size_ms: int, slide_ms: int | None, keys: list[str],
+                   fn, schema: str) -> DataFrame:
+    """Arbitrary user code over all rows of a (window, keys) group — the
+    full-window process function.  ``fn(pdf)`` gets the group as a pandas
+    DataFrame with ``window_start``/``window_end`` (epoch ms) and returns a
+    pandas DataFrame matching ``schema``.
+
+    This buffers a whole group in one Python worker, like the full-window
+    function it mirrors; prefer ``window_agg`` with built-in (incremental)
+    aggregates whenever the computation is expressible that way.
+    """
+    tagged = (df.withColumn("window", window_col(df, time_col, size_ms, slide_ms))
+              .withColumn("window_start", F.unix_millis("window.start"))
+              .withColumn("window_end", F.unix_millis("window.end"))
+              .drop("window"))
+    return tagged.groupBy("window_start", "window_end", *keys).applyInPandas(fn, schema=schema)

@@ -162,3 +162,21 @@ def test_followed_by_deadline_is_strict(spark):
     out = cep.followed_by_within(df, "k", "ts", "seq", F.col("event_type") == "create",
                                  F.col("event_type") == "pay", 1000).collect()
     assert [r.status for r in out] == ["timeout"]
+
+
+def test_process_window_user_code_matches_builtin(spark):
+    from conftest import SF_SMALL
+    from eventide.operators import windows
+    from eventide.sources.tables import events
+    ev = events(spark, SF_SMALL)
+
+    def distinct_users(pdf):
+        import pandas as pd
+        return pd.DataFrame({"window_start": [pdf["window_start"].iloc[0]],
+                             "window_end": [pdf["window_end"].iloc[0]],
+                             "uv": [pdf["user_id"].nunique()]})
+
+    got = windows.process_window(ev, "ts_ms", 3_600_000, None, [], distinct_users,
+                                 "window_start long, window_end long, uv long")
+    exp = windows.distinct_per_window(ev, "ts_ms", 3_600_000, "user_id")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
