@@ -35,10 +35,10 @@ def run_foreach_batch(df: DataFrame, writer: Callable[[DataFrame, int], None], c
 
 def final_watermark_ms(q: StreamingQuery) -> int | None:
     """Event-time watermark after the last micro-batch, in epoch ms."""
-    from datetime import datetime
+    from datetime import datetime, timezone
     for p in reversed(q.recentProgress):
         wm = (p.get("eventTime") or {}).get("watermark")
-        if wm:
-            return int(datetime.strptime(wm, "%Y-%m-%dT%H:%M:%S.%fZ").timestamp() * 1000) \
-                if wm.endswith("Z") else None
+        if wm and wm.endswith("Z"):
+            t = datetime.strptime(wm, "%Y-%m-%dT%H:%M:%S.%fZ").replace(tzinfo=timezone.utc)
+            return int(t.timestamp() * 1000)
     return None
