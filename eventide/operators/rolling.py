@@ -67,3 +67,16 @@ def most_active_so_far(df: DataFrame, user: str, order: list[str],
     best = running(counted, [], order, {"_top": ("max", packed)})
     return best.select(*counted.columns, F.col("_top._u").alias(top_user),
                        F.col("_top._c").alias(top_count))
+
+
+def rolling_many(df: DataFrame, key: str | list[str], order: list[str],
+                 aggs: dict[str, tuple[str, str | None]]) -> DataFrame:
+    """Several rolling aggregates in one ordered pass: ``aggs`` maps output
+    name to ``(kind, value column)`` (``None`` for ``count``)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    spec = {}
+    for out, (kind, value) in aggs.items():
+        if kind not in KINDS:
+            raise ValueError(f"kind must be one of {KINDS}")
+        spec[out] = (kind, F.lit(1) if kind == "count" else F.col(value))
+    return running(df, keys, order, spec)

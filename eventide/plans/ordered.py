@@ -85,6 +85,10 @@ def running(df: DataFrame, keys: list[str], order: list[str],
     current row out (strictly earlier / later rows).  ``aggs`` maps output name to
     ``(kind, column)`` with kind in sum/count/max/min.  Empty ``keys`` means
     one global order (split into time slices like any hot key).
+
+    Several aggregates over the same key and order belong in one call (one
+    pass, one shuffle); chaining calls repeats the hot-key pass and grows
+    the plan with every level.
     """
     keys = list(keys)
     drop = []

@@ -60,10 +60,9 @@ def test_running_aggregates_match_model(spark, split, seed):
             if best is None or r[3] > best[3]:
                 best = r                      # first wins on ties
             expected[r[0]] = (s, mx, mn, n, best[0])
-    out = rolling.rolling(df, "k", ["t", "id"], "v", "sum", "s")
-    out = rolling.rolling(out, "k", ["t", "id"], "v", "max", "mx")
-    out = rolling.rolling(out, "k", ["t", "id"], "v", "min", "mn")
-    out = rolling.rolling(out, "k", ["t", "id"], None, "count", "n")
+    from eventide.plans.ordered import running
+    out = running(df, ["k"], ["t", "id"], {"s": ("sum", F.col("v")), "mx": ("max", F.col("v")),
+                                           "mn": ("min", F.col("v")), "n": ("count", F.lit(1))})
     out = rolling.rolling_extreme_by(out, "k", ["t", "id"], "v", ["id"], "max")
     got = {r.id: (r.s, r.mx, r.mn, r.n, r.best_id) for r in out.collect()}
     assert got == expected
@@ -158,3 +157,4 @@ def test_global_order_buffer_and_most_active(spark, split, seed):
         exp_top[r[0]] = top
     out = rolling.most_active_so_far(df.select("id", "k", "t"), "k", ["t", "id"])
     assert {r.id: (r.top_user, r.top_count) for r in out.collect()} == exp_top
+
