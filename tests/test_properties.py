@@ -68,9 +68,11 @@ def test_running_aggregates_match_model(spark, split, seed):
     assert got == expected
 
 
-@given(st.integers(0, 10_000), st.integers(-60, 0), st.integers(0, 90))
+@given(st.integers(0, 10_000), st.integers(-80, 60), st.integers(0, 90))
 @settings(**SETTINGS)
-def test_bucketed_range_join_matches_brute_force(spark, seed, lower, upper):
+def test_bucketed_range_join_matches_brute_force(spark, seed, lower, width):
+    # intervals before, around and after the left time, zero width included
+    upper = lower + width
     rows = _events(seed, 80)
     left = spark.createDataFrame([(r[1], r[0], r[2]) for r in rows if r[4] == "a"], "k string, lid bigint, lt bigint")
     right = spark.createDataFrame([(r[1], r[0], r[2]) for r in rows if r[4] != "a"], "k string, rid bigint, rt bigint")
