@@ -482,3 +482,13 @@ def apply_repeat_with_watermark(df: DataFrame, key: str, fields: list[str], time
     ddl = ", ".join(f"{f} {df.schema[f].dataType.simpleString()}" for f in fields)
     return tagged.groupBy(key).transformWithStateInPandas(
         RepeatWithWatermark(fields, "repeat_times"), f"{ddl}, watermark_ms bigint", "Append", "EventTime")
+
+
+def apply_strict_sequence_flat(df: DataFrame, key: str, predicates: list, time_col: str,
+                               order: list[str]) -> DataFrame:
+    """``flatSelect`` on a stream: one row per matched event
+    (key, ``match_ts`` = first event's time, ``step``, ``ts``)."""
+    names = [f"step{i}_ts" for i in range(len(predicates))]
+    m = apply_strict_sequence(df, key, predicates, time_col, order, names)
+    e = m.select(key, F.col(names[0]).alias("match_ts"), F.posexplode(F.array(*names)).alias("step", "ts"))
+    return e.select(key, "match_ts", F.col("step").cast("int").alias("step"), "ts")

@@ -200,6 +200,7 @@ def test_strict_sequence_stream_equals_batch(spark, folder):
     b = cep.strict_sequence(_batch(spark), "user_id", ORDER, [err] * 3, "ts_ms", names)
     cols = ["user_id"] + names
     assert _set(st, cols) == _set(b, cols)
+    assert st.count() > 0
 
 
 def test_followed_by_stream_closed_part(spark, folder):
@@ -368,3 +369,12 @@ def test_stateful_operator_survives_restart(spark, folder, op):
     straight, _ = _run(spark, make())
     assert _set(restarted, cols) == _set(straight, cols)
     assert restarted.count() > 0
+
+
+def test_flat_select_stream_equals_batch(spark, folder):
+    err = F.col("event_type") == "error"
+    st, _ = _run(spark, P.apply_strict_sequence_flat(_stream(spark, folder), "user_id", [err] * 3, "ts_ms", ORDER))
+    b = cep.flat_select(_batch(spark), "user_id", ORDER, [err] * 3, ["ts_ms"], "ts_ms")
+    assert _set(st, ["user_id", "match_ts", "step", "ts"]) == _set(b.withColumnRenamed("ts_ms", "ts"),
+                                                                    ["user_id", "match_ts", "step", "ts"])
+    assert st.count() > 0
