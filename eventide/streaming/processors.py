@@ -492,3 +492,40 @@ def apply_strict_sequence_flat(df: DataFrame, key: str, predicates: list, time_c
     m = apply_strict_sequence(df, key, predicates, time_col, order, names)
     e = m.select(key, F.col(names[0]).alias("match_ts"), F.posexplode(F.array(*names)).alias("step", "ts"))
     return e.select(key, "match_ts", F.col("step").cast("int").alias("step"), "ts")
+
+
+class RollingExtremeBy(StatefulProcessor):
+    """Per record: the key's record with the largest (``max``) or smallest
+    (``min``) value so far; the first such record wins ties."""
+
+    def __init__(self, kind: str, value: str, order: list[str], id_col: str):
+        self.kind, self.value, self.order, self.id_col = kind, value, order, id_col
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.best = handle.getValueState("best", "value bigint, id bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _rows(rows, self.order)
+        best = self.best.get() if self.best.exists() else None
+        vals, ids = [], []
+        for v, i in zip(pdf[self.value].to_numpy(dtype=np.int64), pdf[self.id_col].to_numpy(dtype=np.int64)):
+            better = best is None or (v > best[0] if self.kind == "max" else v < best[0])
+            if better:
+                best = (int(v), int(i))
+            vals.append(best[0])
+            ids.append(best[1])
+        self.best.update(best)
+        yield pd.DataFrame({"key": [key[0]] * len(pdf), self.id_col: pdf[self.id_col].to_numpy(),
+                            "best_value": vals, "best_id": ids})
+
+    def close(self) -> None:
+        pass
+
+
+def apply_rolling_extreme_by(df: DataFrame, key: str, kind: str, value: str, order: list[str],
+                             id_col: str) -> DataFrame:
+    schema = f"key {_key_type(df, key)}, {id_col} bigint, best_value bigint, best_id bigint"
+    cols = list(dict.fromkeys([key, id_col, *order, value]))
+    r = df.select(*cols).groupBy(key).transformWithStateInPandas(
+        RollingExtremeBy(kind, value, order, id_col), schema, "Append", "None")
+    return r.withColumnRenamed("key", key)

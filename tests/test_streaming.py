@@ -378,3 +378,15 @@ def test_flat_select_stream_equals_batch(spark, folder):
     assert _set(st, ["user_id", "match_ts", "step", "ts"]) == _set(b.withColumnRenamed("ts_ms", "ts"),
                                                                     ["user_id", "match_ts", "step", "ts"])
     assert st.count() > 0
+
+
+@pytest.mark.parametrize("kind", ["max", "min"])
+def test_rolling_extreme_by_stream_equals_batch(spark, folder, kind):
+    from eventide.operators import rolling
+    s = _stream(spark, folder).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+    st, _ = _run(spark, P.apply_rolling_extreme_by(s, "user_id", kind, "cents", ORDER, "event_id"))
+    b = _batch(spark).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+    br = rolling.rolling_extreme_by(b, "user_id", ORDER, "cents", ["event_id", "cents"], kind)
+    got = _set(st, ["event_id", "best_id", "best_value"])
+    exp = _set(br, ["event_id", "best_event_id", "best_cents"])
+    assert got == exp and len(got) == 1000
