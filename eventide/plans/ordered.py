@@ -8,17 +8,17 @@ slices ("chunks"):
 
 1. ``groupBy(key)`` counts rows per key (partial aggregation, one row per
    key).  Keys above ``rows_per_chunk`` rows are hot.  The hot-key table is a
-   top-``max_hot_keys`` list, so its size is bounded by construction and it is
-   broadcast.  Keys past that limit each hold less than 1/``max_hot_keys`` of
-   the data and are not worth splitting.
+   top-``max_hot_keys`` list, so its size is bounded by construction; it is
+   fetched when the plan is built and broadcast.  Keys past that limit each
+   hold less than 1/``max_hot_keys`` of the data and are not worth
+   splitting.  Without hot keys the plan is just one exchange and window.
 2. Each hot key's rows are sliced by time into ``ceil(n / rows_per_chunk)``
    chunks; ordinary keys are one chunk (0).
 3. The running aggregate is computed per ``(key, chunk)`` (one shuffle, hot
    keys spread over many tasks).
 4. Per-chunk totals of hot keys (only their rows, partially aggregated) are
    prefix-combined over the earlier chunks (a few rows per hot key) and
-   merged into the local values.  Without hot keys this branch is empty
-   and adaptive execution removes it.
+   merged into the local values.
 
 Only decomposable aggregates are supported (sum, count, max, min; ``max`` or
 ``min`` of a struct gives max_by / min_by with explicit tie-breaking).
@@ -46,14 +46,14 @@ def _conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(df.sparkSession.conf.get(key, str(default)))
 
 
-def with_chunks(df: DataFrame, keys: list[str], time_col: str,
-                rows_per_chunk: int | None = None,
-                max_hot_keys: int | None = None) -> DataFrame:
-    """Add ``_chunk``: 0 for ordinary keys, a time-slice index for hot keys.
+def hot_keys(df: DataFrame, keys: list[str], time_col: str, rows_per_chunk: int | None = None,
+             max_hot_keys: int | None = None) -> DataFrame | None:
+    """The hot keys of ``df`` with their slice counts and time ranges, or
+    ``None`` when there are none.
 
-    The slice index is non-decreasing in ``time_col`` within a key, so
-    chunk order is time order.  Also keeps ``_hk_parts`` (null for ordinary
-    keys) for the caller to tell hot keys apart.
+    Runs one aggregation job now (partial aggregation per key, then a
+    top-``max_hot_keys``) and brings back at most ``max_hot_keys`` rows, so
+    the result is a small local table that is safe to broadcast.
     """
     rpc = rows_per_chunk or _conf_int(df, ROWS_PER_CHUNK_CONF, DEFAULT_ROWS_PER_CHUNK)
     top = max_hot_keys or _conf_int(df, MAX_HOT_KEYS_CONF, DEFAULT_MAX_HOT_KEYS)
@@ -62,9 +62,24 @@ def with_chunks(df: DataFrame, keys: list[str], time_col: str,
                   F.max(time_col).alias(_T1))
              .where(F.col("_hk_n") > F.lit(rpc))
              .orderBy(F.col("_hk_n").desc())
-             .limit(top)  # bounded: at most `top` rows are broadcast
+             .limit(top)
              .select(*keys, F.ceil(F.col("_hk_n") / F.lit(rpc)).alias(_PARTS), _T0, _T1))
-    out = df.join(F.broadcast(stats), on=keys, how="left")
+    rows = stats.collect()  # at most `top` rows
+    if not rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, schema=stats.schema)
+
+
+def with_chunks(df: DataFrame, keys: list[str], time_col: str, hot: DataFrame | None) -> DataFrame:
+    """Add ``_chunk``: 0 for ordinary keys, a time-slice index for hot keys
+    (``hot`` from ``hot_keys``).  The slice index is non-decreasing in
+    ``time_col`` within a key (also for rows outside the range seen by
+    ``hot_keys``), so chunk order is time order.  Also keeps ``_hk_parts``
+    (null for ordinary keys) to tell hot keys apart.
+    """
+    if hot is None:
+        return df.withColumn(CHUNK, F.lit(0).cast("bigint")).withColumn(_PARTS, F.lit(None).cast("bigint"))
+    out = df.join(F.broadcast(hot), on=keys, how="left")
     span = (F.col(_T1) - F.col(_T0) + F.lit(1)).cast("double")
     chunk = F.least(F.floor((F.col(time_col) - F.col(_T0)).cast("double") * F.col(_PARTS) / span),
                     F.col(_PARTS) - 1)
@@ -86,16 +101,17 @@ def running(df: DataFrame, keys: list[str], order: list[str],
     ``(kind, column)`` with kind in sum/count/max/min.  Empty ``keys`` means
     one global order (split into time slices like any hot key).
 
-    Several aggregates over the same key and order belong in one call (one
-    pass, one shuffle); chaining calls repeats the hot-key pass and grows
-    the plan with every level.
+    Calling it runs the small hot-key job (``hot_keys``); without hot keys
+    the plan is a single exchange and window.  Several aggregates over the
+    same key and order belong in one call (one pass, one shuffle).
     """
     keys = list(keys)
     drop = []
     if not keys:
         df = df.withColumn(_GLOBAL, F.lit(0))
         keys, drop = [_GLOBAL], [_GLOBAL]
-    c = with_chunks(df, keys, order[0], rows_per_chunk, max_hot_keys)
+    hot = hot_keys(df, keys, order[0], rows_per_chunk, max_hot_keys)
+    c = with_chunks(df, keys, order[0], hot)
 
     ordering = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
     w = (Window.partitionBy(*keys, CHUNK).orderBy(*ordering)
@@ -103,11 +119,13 @@ def running(df: DataFrame, keys: list[str], order: list[str],
     out = c
     for name, (kind, expr) in aggs.items():
         out = out.withColumn(f"_loc_{name}", _LOCAL[kind](expr).over(w))
+    if hot is None:
+        out = out.select(*[F.col(x) for x in out.columns if not x.startswith("_loc_")],
+                         *[F.col(f"_loc_{n}").alias(n) for n in aggs])
+        return out.drop(CHUNK, _PARTS, *drop)
 
-    # Totals of the chunks of hot keys.  The hot-key test turns the
-    # broadcast join into an inner join, so only hot rows reach the
-    # (partial) aggregation; with no hot key the broadcast is empty and
-    # adaptive execution drops this whole branch at run time.
+    # Totals of the chunks of hot keys: only hot rows reach this (partial)
+    # aggregation, through the broadcast inner join.
     totals = (c.where(F.col(_PARTS).isNotNull())
               .groupBy(*keys, CHUNK)
               .agg(*[_LOCAL[kind](expr).alias(f"_tot_{name}") for name, (kind, expr) in aggs.items()]))
