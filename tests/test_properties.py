@@ -160,3 +160,21 @@ def test_global_order_buffer_and_most_active(spark, split, seed):
     out = rolling.most_active_so_far(df.select("id", "k", "t"), "k", ["t", "id"])
     assert {r.id: (r.top_user, r.top_count) for r in out.collect()} == exp_top
 
+
+
+def test_hot_key_cap_keeps_results_exact(spark):
+    """More hot keys than ``maxHotKeys``: only the largest are split, the
+    rest run unsplit, and every running value is still exact."""
+    from eventide.plans.ordered import hot_keys, running
+    rows = _events(7, 200)
+    df = spark.createDataFrame(rows, SCHEMA)
+    hot = hot_keys(df, ["k"], "t", rows_per_chunk=5, max_hot_keys=1)
+    assert hot.count() == 1 and hot.first().k == "hot"       # the largest key only
+    out = running(df, ["k"], ["t", "id"], {"s": ("sum", F.col("v"))}, rows_per_chunk=5, max_hot_keys=1)
+    exp = {}
+    for k, rs in _by_key(rows).items():
+        acc = 0
+        for r in rs:
+            acc += r[3]
+            exp[r[0]] = acc
+    assert {r.id: r.s for r in out.collect()} == exp
