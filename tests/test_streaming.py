@@ -390,3 +390,22 @@ def test_rolling_extreme_by_stream_equals_batch(spark, folder, kind):
     got = _set(st, ["event_id", "best_id", "best_value"])
     exp = _set(br, ["event_id", "best_event_id", "best_cents"])
     assert got == exp and len(got) == 1000
+
+
+def test_late_rows_strict_filter(spark, scratch):
+    """Same files with the late-row filter on the current watermark
+    (``statefulOperator.allowMultiple=false``): one row per window."""
+    folder = os.path.join(scratch, "late2")
+    for ts in [[1000, 20000], [2000], [3000, 40000], [4000, 21000], [60000]]:
+        spark.createDataFrame([("u", "x", t) for t in ts], "user string, url string, timestamp bigint") \
+            .coalesce(1).write.mode("append").parquet(folder)
+    conf = "spark.sql.streaming.statefulOperator.allowMultiple"
+    spark.conf.set(conf, "false")
+    try:
+        s = event_stream(spark, folder, "user string, url string, timestamp bigint", ts_col="timestamp",
+                         max_files_per_trigger=1)
+        st, _ = _run(spark, windows.count_per_window(S.watermarked(s, "ts_ms", 0), "event_time", 5000))
+        got = sorted((r.window_start, r.cnt) for r in st.collect())
+    finally:
+        spark.conf.unset(conf)
+    assert got == [(0, 1), (20000, 1), (40000, 1)]
