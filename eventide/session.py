@@ -8,6 +8,7 @@ operator is a DataFrame -> DataFrame function.  ``get_session`` is for tests,
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -51,11 +52,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and points at shared storage;
-    it is only read here.  Where it is unset (local tests) a fresh scratch
-    folder is created and registered.
+    it is only read here, and without it an error is raised: a folder of one
+    machine would lose data.  In local mode (one process, as in tests) a
+    fresh scratch folder stands in for it.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"{CHECKPOINT_CONF} is unset: on {master!r} it must name a folder that all machines share")
         path = tempfile.mkdtemp(prefix="eventide-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     sc = spark.sparkContext
