@@ -38,3 +38,9 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from eventide.llm.ann import nearest
     return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.quality import quality_query
+    return quality_query(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
