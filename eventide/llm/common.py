@@ -85,13 +85,14 @@ def ranked(df: DataFrame, group: list[str], order: list[Column], bucket: Column,
     b, n0, s0 = fresh(df, "bucket", "part_rows", "part_sum")
     keyed = df.withColumn(b, bucket)
     keys = [*group, b]
-    summed = F.sum(F.col(value)) if value else F.lit(0).cast("bigint")
-    ahead = Window.partitionBy(*group).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    parts = (keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (summed if value else F.sum(F.lit(0))).alias("s"))
-             .select(*keys, F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias(n0),
-                     F.coalesce(F.sum("s").over(ahead), F.lit(0)).alias(s0)))
-    on = [keyed[k].eqNullSafe(parts[k]) for k in keys]
-    joined = keyed.join(parts, on, "left").select(*[keyed[c] for c in keyed.columns], parts[n0], parts[s0])
+    right = [f"_part_{i}" for i in range(len(keys))]
+    ahead = Window.partitionBy(*right[:-1]).orderBy(right[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    start = lambda c, out: F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(out)
+    parts = (keyed.groupBy(*[F.col(k).alias(r) for k, r in zip(keys, right)])
+             .agg(F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum(value) if value else F.lit(0), F.lit(0)).alias("_s"))
+             .select(*right, start("_n", n0), start("_s", s0)))
+    same = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, right)]
+    joined = keyed.join(parts, same, "left").drop(*right)
     w = Window.partitionBy(*keys).orderBy(*order)
     out = joined.withColumn(rank, F.row_number().over(w) - 1 + F.col(n0))
     if value:

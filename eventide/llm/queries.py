@@ -44,3 +44,25 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.quality import quality_query
     return quality_query(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
+def _line_dedup_oracle() -> str:
+    from eventide.llm.line_dedup import ORACLE
+    return ORACLE
+
+
+def _mixing_oracle() -> str:
+    from eventide.llm.mixing import ORACLE
+    return ORACLE
+
+
+@query("op5_line_dedup", _line_dedup_oracle())
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.line_dedup import dedup_lines
+    return dedup_lines(documents(spark, sf_dir).select("doc_id", "text"), report=True)
+
+
+@query("op10_mixing", _mixing_oracle())
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.mixing import mixing_query
+    return mixing_query(documents(spark, sf_dir))
