@@ -66,3 +66,15 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.mixing import mixing_query
     return mixing_query(documents(spark, sf_dir))
+
+
+@query("op3_secrets")
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.secrets_scan import secrets_query
+    return secrets_query(documents(spark, sf_dir))
+
+
+@query("op4_sharding")
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.sharding import sharding_query
+    return sharding_query(documents(spark, sf_dir))
