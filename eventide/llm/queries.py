@@ -78,3 +78,9 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.sharding import sharding_query
     return sharding_query(documents(spark, sf_dir))
+
+
+@query("op8_simhash")
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.simhash import simhash_query
+    return simhash_query(documents(spark, sf_dir))
