@@ -123,6 +123,29 @@ def slices(offsets: np.ndarray, limit: int):
         i = min(j, n)
 
 
+def segments(raw: np.ndarray, offsets: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of pieces of at most about ``limit`` bytes and each one's row.
+
+    Rows stay whole unless they are longer; those are cut before a space or
+    line end (or, in a run without any, not at all).
+    """
+    if not len(offsets) or (np.diff(offsets) <= limit).all():
+        return offsets, np.arange(len(offsets) - 1)
+    starts, rows = [], []
+    for row, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+        starts.append(a)
+        rows.append(row)
+        while b - a > limit:
+            space = np.flatnonzero((raw[a + limit:b] == 32) | (raw[a + limit:b] == 10))[:1] if b - a < 8 * limit else \
+                np.flatnonzero((raw[a + limit:a + 8 * limit] == 32) | (raw[a + limit:a + 8 * limit] == 10))[:1]
+            if not len(space):
+                break
+            a = a + limit + int(space[0])
+            starts.append(a)
+            rows.append(row)
+    return np.array([*starts, int(offsets[-1])]), np.array(rows)
+
+
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _POWERS: dict[str, np.ndarray] = {}
 

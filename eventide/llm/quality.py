@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import held_out, labelled_sample, materialise, slices, span_hashes, string_parts
+from eventide.llm.common import held_out, labelled_sample, segments, slices, span_hashes, string_parts
 
 BUCKETS = 8192
 DIM = 32
@@ -81,6 +81,7 @@ def _context_sums(batches):
     total = np.zeros(BUCKETS * DIM)
     for batch in batches:
         raw, offsets = string_parts(batch.column("text"))
+        offsets, _ = segments(raw, offsets, SLICE_BYTES)
         for i, j in slices(offsets, SLICE_BYTES):
             bucket, _, first = tokens(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             row = np.repeat(np.arange(j - i), np.diff(first))
@@ -116,29 +117,30 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 def pooled(raw: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Feature rows (n, FEATURES) of the documents in one buffer."""
     n = len(offsets) - 1
-    out = np.zeros((n, FEATURES))
-    for i, j in slices(offsets, SLICE_BYTES):
-        part = raw[offsets[i]:offsets[j]]
-        bucket, h, first = tokens(part, offsets[i:j + 1] - offsets[i])
-        count = np.diff(first)
-        full = np.flatnonzero(count)
-        if not len(full):
+    cuts, row_of = segments(raw, offsets, SLICE_BYTES)  # sums of a long text's pieces add up
+    count, total, square = np.zeros(n), np.zeros((n, DIM)), np.zeros((n, DIM))
+    near, again, steps = np.zeros(n), np.zeros(n), np.zeros(n)
+    for i, j in slices(cuts, SLICE_BYTES):
+        bucket, h, first = tokens(raw[cuts[i]:cuts[j]], cuts[i:j + 1] - cuts[i])
+        some = np.flatnonzero(np.diff(first))
+        if not len(some):
             continue
-        v, at, c = vectors[bucket], first[:-1][full], count[full][:, None]
-        mean = np.add.reduceat(v, at, axis=0, dtype=np.float64) / c
-        square = np.add.reduceat(v * v, at, axis=0, dtype=np.float64) / c
-        near, again = np.zeros(len(bucket)), np.zeros(len(bucket))
-        near[1:] = np.einsum("ij,ij->i", v[1:], v[:-1])
-        again[1:] = h[1:] == h[:-1]
-        near[at], again[at] = 0, 0
-        rows = i + full
-        out[rows, :DIM] = mean
-        out[rows, DIM:2 * DIM] = np.sqrt(np.maximum(0, square - mean * mean))
-        steps = np.maximum(1, count[full] - 1)
-        out[rows, -3] = np.add.reduceat(near, at) / steps
-        out[rows, -2] = np.add.reduceat(again, at) / steps
-        out[rows, -1] = np.minimum(1.0, 4.0 / count[full])
-    return out
+        v, at, rows = vectors[bucket], first[:-1][some], row_of[i + some]
+        likeness, repeat = np.zeros(len(bucket)), np.zeros(len(bucket))
+        likeness[1:] = np.einsum("ij,ij->i", v[1:], v[:-1])
+        repeat[1:] = h[1:] == h[:-1]
+        likeness[at], repeat[at] = 0, 0
+        np.add.at(count, rows, np.diff(first)[some])
+        np.add.at(steps, rows, np.diff(first)[some] - 1)
+        np.add.at(total, rows, np.add.reduceat(v, at, axis=0, dtype=np.float64))
+        np.add.at(square, rows, np.add.reduceat(v * v, at, axis=0, dtype=np.float64))
+        np.add.at(near, rows, np.add.reduceat(likeness, at))
+        np.add.at(again, rows, np.add.reduceat(repeat, at))
+    c = np.maximum(count, 1)[:, None]
+    mean, steps = total / c, np.maximum(steps, 1)
+    spread = np.sqrt(np.maximum(0, square / c - mean * mean))
+    few = np.where(count > 0, np.minimum(1.0, 4.0 / np.maximum(count, 1)), 0.0)
+    return np.column_stack([mean, spread, near / steps, again / steps, few])
 
 
 def _forward(net: dict, x: np.ndarray) -> np.ndarray:

@@ -84,3 +84,9 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.simhash import simhash_query
     return simhash_query(documents(spark, sf_dir))
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.packing import pack
+    return pack(documents(spark, sf_dir))
