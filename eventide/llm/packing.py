@@ -40,11 +40,11 @@ from eventide.llm.common import materialise, ranked, segments, slices, span_hash
 
 LENGTH = 2048
 END = 1
-UNIT = 4
+UNIT = 8
 SLICE_BYTES = 1 << 20
 CACHE_PIECES = 1_500_000    # word pieces a worker remembers before it starts anew
 BUCKET_ROWS = 100_000
-GAP = 5e-4                  # share of sequences by which the linear program may miss its bound
+GAP = 1e-3                  # share of sequences by which the linear program may miss its bound
 _END_BYTES = np.array([END], "<u4").tobytes()
 
 

@@ -90,3 +90,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.packing import pack
     return pack(documents(spark, sf_dir))
+
+
+@query("op9_fingerprints")
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.fingerprints import fingerprint_documents
+    return fingerprint_documents(documents(spark, sf_dir))
