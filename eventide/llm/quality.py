@@ -224,7 +224,7 @@ def score_quality(docs: DataFrame, model: dict, text: str = "text") -> DataFrame
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))],
                                              names=[*kept, "score", "predicted"])
 
-    schema = docs.select(*kept).schema.add("score", "double").add("predicted", "int")
+    schema = docs.select(*kept).schema.add("score", "double").add("predicted", "integer")
     return docs.select(*kept).mapInArrow(scored, schema)
 
 
