@@ -104,15 +104,15 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
             .select("row", "doc_id", F.explode_outer("found").alias("m")).select("row", "doc_id", "m.*"))
     along = Window.partitionBy("row", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
     placed = (rows.withColumn("end", F.sum(F.col("gap") + F.col("length")).over(along))
-              .withColumn("start", F.col("end") - F.col("length")).where(F.col("ok") | F.col("kind").isNull()))
-    base = F.col("kind").isin(*KINDS)
+              .withColumn("start", F.col("end") - F.col("length")))
+    base = F.col("kind").isin(*KINDS) & F.col("ok")  # a dropped match only took up its place
     order = Window.partitionBy("row").orderBy("start", "end")
     reached = F.max(F.when(base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
     ahead = F.min(F.when(base, F.col("start"))).over(order.rowsBetween(0, Window.unboundedFollowing))
     alone = F.coalesce(reached <= F.col("start"), F.lit(True)) & F.coalesce(ahead >= F.col("end"), F.lit(True))
     kept = (placed.withColumn("alone", alone)
-            .withColumn("keep", F.when(F.col("kind").isNull(), False).when(base, True).when(~F.col("alone"), False)
-                        .otherwise(suspicious(F.col("body")))))
+            .withColumn("keep", F.when(F.col("kind").isNull() | ~F.col("ok"), False).when(base, True)
+                        .when(~F.col("alone"), False).otherwise(suspicious(F.col("body")))))
     rank = F.array_position(F.array(*[F.lit(k) for k in (*KINDS, "entropy")]), F.col("kind"))
     return (kept.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),

@@ -3,8 +3,9 @@
 Documents of equal texts are linked.  Every document starts in a shard by its
 hash; then, round by round, the documents of a group move to that of the
 group's shards which holds most of its bytes, as far as the target's free
-quota reaches.  Group sums are the messages: a group of any size is at most
-``shards`` rows in a round, never pairs.  Documents without links cost no
+quota reaches; a group that needs m shards spreads over its m largest.  Group
+sums are the messages: a group of any size is at most ``shards * SPLIT`` rows
+in a round, never pairs.  Documents without links cost no
 edge wherever they are, so they fill what is left: the few that are large by
 themselves one by one, the rest by running sums, which makes the sizes nearly
 equal (law ``bytes``).  What overfills a shard in spite of the quotas goes
@@ -32,6 +33,7 @@ SHARDS = 24
 ROUNDS = 4
 OVERHEAD = 8           # bytes a document has besides its text
 QUOTA_BUCKETS = 256
+SPLIT = 16             # parts of a group that start in one shard and move by themselves
 LARGE = 64             # a document of more than 1 / LARGE of a shard is placed by itself
 BUCKET_ROWS = 50_000
 
@@ -43,7 +45,7 @@ def nodes(docs: DataFrame, shards: int, id_col: str, text: str) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
         (F.octet_length(t) + OVERHEAD).cast("long").alias("size"), F.crc32(t.cast("binary")).alias("text_crc32"),
         F.xxhash64(t).alias("g1"), F.xxhash64(F.lit(1), t, F.octet_length(t)).alias("g2"))
-    return rows.withColumn("home", F.pmod(F.xxhash64("row", "doc_id"), F.lit(shards)).cast("int"))
+    return rows.withColumn("home", F.pmod(F.xxhash64("row", "doc_id"), F.lit(shards * SPLIT)).cast("int"))
 
 
 def _by_shard(values: list[float]) -> Column:
@@ -62,12 +64,16 @@ def propagate(parts: DataFrame, shards: int, capacity: float, rounds: int = ROUN
     for k in range(rounds):
         free = [max(0.0, capacity - b) for b in _loads(parts, shards)]
         room = F.element_at(F.array(*[F.lit(v) for v in free]), F.col("at") + 1)
-        held = parts.withColumn("mass", F.sum("bytes").over(place)).withColumn("room", room)
-        best = F.max(F.when(F.col("room") > 0, F.struct("mass", (-F.col("at")).alias("n")))).over(group)
-        wish = (held.withColumn("best", best)
-                .withColumn("aim", F.when(F.col("best").isNull(), F.col("at"))
-                            .when(F.struct("mass", (-F.col("at")).alias("n")) < F.col("best"), -F.col("best.n"))
-                            .otherwise(F.col("at")))
+        held = (parts.withColumn("mass", F.sum("bytes").over(place)).withColumn("room", room)
+                .withColumn("need", F.ceil(F.sum("bytes").over(group) / F.lit(max(capacity, 1.0))).cast("int")))
+        # the group's shards with room, fullest first: at most ``shards`` of them
+        open_shards = F.sort_array(F.collect_set(F.when(F.col("room") > 0, F.struct("mass", (-F.col("at")).alias("n")))).over(group), asc=False)
+        own = F.struct("mass", (-F.col("at")).alias("n"))
+        best = F.slice(open_shards, F.lit(1), F.greatest(F.col("need"), F.lit(1)))
+        pick = F.element_at("best", F.pmod(F.xxhash64("g1", "home"), F.greatest(F.size("best"), F.lit(1))).cast("int") + 1)
+        wish = (held.withColumn("best", best).withColumn("pick", F.when(F.size("best") > 0, pick))
+                .withColumn("aim", F.when(F.col("pick").isNull() | F.array_contains("best", own) | (F.col("pick") <= own), F.col("at"))
+                            .otherwise(-F.col("pick.n")))
                 .withColumn("bucket", F.pmod(F.xxhash64("g1", "g2", "home", F.lit(k)), F.lit(QUOTA_BUCKETS)).cast("int")))
         asked = (wish.where("aim <> at").groupBy("aim", "bucket").agg(F.sum("bytes").alias("b"))
                  .orderBy("aim", "bucket").collect())
@@ -110,7 +116,8 @@ def assign(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text:
     parts = (node.groupBy(F.col("g1").alias("k1"), F.col("g2").alias("k2"), F.col("home").alias("k3"))
              .agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
              .withColumn("all", F.sum("n").over(group)).where(F.col("all") > 1)
-             .select(F.col("k1").alias("g1"), F.col("k2").alias("g2"), F.col("k3").alias("home"), "bytes", F.col("k3").alias("at")))
+             .select(F.col("k1").alias("g1"), F.col("k2").alias("g2"), F.col("k3").alias("home"), "bytes",
+                     (F.col("k3") % shards).alias("at")))
     parts = propagate(materialise(parts, "shard-parts"), shards, capacity, rounds).toDF("k1", "k2", "k3", "part_bytes", "at")
     same = (F.col("g1") == F.col("k1")) & (F.col("g2") == F.col("k2")) & (F.col("home") == F.col("k3"))
     labelled = node.join(parts, same, "left").select("row", "doc_id", "size", "text_crc32", "at")
