@@ -2,9 +2,9 @@
 
 A keyed rolling aggregate emits, for every input record, the aggregate of
 all records of its key up to and including it.  In batch this is a running
-window; ``eventide.plans.ordered.running`` computes it with hot keys split
-into time slices, so a dominant key does not serialise the job.  ``order``
-must be a total order per key (time first, then a unique id).
+window; ``eventide.plans.ordered.running`` computes it in slices of the
+order, so a dominant key does not serialise the job.  ``order`` must be a
+total order per key (time first, then a unique id).
 """
 
 from __future__ import annotations
@@ -30,24 +30,16 @@ def rolling(df: DataFrame, key: str | list[str], order: list[str], value: str |
 def rolling_extreme_by(df: DataFrame, key: str | list[str], order: list[str], value: str,
                        record: list[str], kind: str = "max", prefix: str = "best_") -> DataFrame:
     """Running ``maxBy``/``minBy``: the whole record holding the largest
-    (smallest) ``value`` so far; on ties the first record wins.
+    (smallest) ``value`` so far; on ties the first record wins, null values
+    never do.  Value and order may be of any comparable type.
 
     Emitted as ``prefix + field`` columns for every field in ``record``.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    if kind == "max":
-        # larger value first; for equal values the earlier record (smaller order) wins
-        rank = [F.col(value)] + [-F.col(o) for o in order]
-        agg = "max"
-    elif kind == "min":
-        rank = [F.col(value)] + [F.col(o) for o in order]
-        agg = "min"
-    else:
+    if kind not in ("max", "min"):
         raise ValueError("kind must be 'max' or 'min'")
-    fields = rank + [F.col(c) for c in record]
-    names = [f"_r{i}" for i in range(len(rank))] + record
-    packed = F.struct(*[f.alias(n) for f, n in zip(fields, names)])
-    out = running(df, keys, order, {"_best": (agg, packed)})
+    keys = [key] if isinstance(key, str) else list(key)
+    packed = F.struct(*[F.col(c).alias(c) for c in record])
+    out = running(df, keys, order, {"_best": (f"{kind}_by", F.col(value), packed)})
     return out.select(*df.columns, *[F.col(f"_best.{c}").alias(prefix + c) for c in record])
 
 
@@ -58,8 +50,7 @@ def most_active_so_far(df: DataFrame, user: str, order: list[str],
     (one global order) the user with the highest running count so far; on
     equal counts the later record wins.
 
-    Both scans split into time slices (the global one is one big key), so
-    neither runs in a single task.
+    Both scans run in slices of the order, so neither runs in a single task.
     """
     counted = running(df, [user], order, {count_col: ("count", F.lit(1))})
     packed = F.struct(F.col(count_col).alias("_c"), *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
@@ -67,16 +58,3 @@ def most_active_so_far(df: DataFrame, user: str, order: list[str],
     best = running(counted, [], order, {"_top": ("max", packed)})
     return best.select(*counted.columns, F.col("_top._u").alias(top_user),
                        F.col("_top._c").alias(top_count))
-
-
-def rolling_many(df: DataFrame, key: str | list[str], order: list[str],
-                 aggs: dict[str, tuple[str, str | None]]) -> DataFrame:
-    """Several rolling aggregates in one ordered pass: ``aggs`` maps output
-    name to ``(kind, value column)`` (``None`` for ``count``)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    spec = {}
-    for out, (kind, value) in aggs.items():
-        if kind not in KINDS:
-            raise ValueError(f"kind must be one of {KINDS}")
-        spec[out] = (kind, F.lit(1) if kind == "count" else F.col(value))
-    return running(df, keys, order, spec)

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.plans.ordered import sequence_number
+from eventide.plans.ordered import sequence_number, slice_column
 
 
 def count_window_avg(df: DataFrame, key: str, order: list[str], time_col: str, n: int = 5,
@@ -68,14 +68,30 @@ def buffered_batches(df: DataFrame, order: list[str], threshold: int = 10) -> Da
     in the checkpointed state in the streaming form, not in the output).
 
     Adds ``batch_no`` (0-based) and ``pos`` (1..threshold).  The global
-    arrival order is numbered by ``sequence_number`` with time slices, not in
-    one task.
+    arrival order is numbered by ``sequence_number`` in slices, not in one
+    task.
     """
     s = sequence_number(df, [], order, out="_seq")
     s = (s.withColumn("batch_no", F.expr(f"(_seq - 1) div {int(threshold)}"))
          .withColumn("pos", F.expr(f"(_seq - 1) % {int(threshold)} + 1")))
-    full = s.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("batch_no")))
-    return full.where(F.col("_size") == threshold).drop("_seq", "_size")
+    full = df.count() // int(threshold)  # batches; the rest stays buffered
+    return s.where(F.col("batch_no") < full).drop("_seq")
+
+
+def _whole_groups(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
+    """Whole groups out of batches sorted by ``by``; the last group of a batch waits for the next."""
+    held = None
+    for pdf in batches:
+        held = pdf if held is None or held.empty else pd.concat([held, pdf], ignore_index=True)
+        if held.empty:
+            continue
+        code = held.groupby(by, sort=False, dropna=False).ngroup().to_numpy()
+        cuts = np.flatnonzero(np.diff(code)) + 1
+        for a, b in zip(np.r_[0, cuts[:-1]], cuts):
+            yield held.iloc[a:b]
+        held = held.iloc[cuts[-1] if len(cuts) else 0:].reset_index(drop=True)
+    if held is not None and not held.empty:
+        yield held
 
 
 def periodic_counts(df: DataFrame, key: str, time_col: str, period_ms: int,
@@ -87,50 +103,71 @@ def periodic_counts(df: DataFrame, key: str, time_col: str, period_ms: int,
     fire time) and disarms; the next later event re-arms.  At end of input
     the armed timer fires too.  Output: key, ``fire_ts``, ``out``.
 
-    The anchors form a chain (each depends on the previous fire time), so a
-    key is scanned in time order: rows are hash-partitioned by key and
-    sorted, and a vectorised scan walks the chain from anchor to anchor
-    with ``searchsorted``.  The scan streams Arrow batches and carries only
-    (key, count, armed time) between them, so a key is never held in
-    memory; a key is, however, processed by one task (the chain is
-    sequential by definition).
+    The anchors form a chain: each depends on the fire time before it.  A
+    key's time is cut into slices (``plans.ordered``).  A timer armed before a
+    slice fires less than a period after the slice's first event, so the
+    chain can enter the slice only at an event of that period or at the first
+    one after it; a first pass maps each such entry to the timer the slice
+    leaves armed (pointers to the next anchor, doubled).  The maps of a key,
+    at most one for a slice, are followed in order, and a second pass over
+    the slices, each knowing the timer it begins with, writes the firings.
     """
-    key_type = df.schema[key].dataType.simpleString()
-    schema = f"{key} {key_type}, fire_ts bigint, {out} bigint"
-    P = int(period_ms)
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur_key, base, armed = None, 0, None   # base = events of cur_key already consumed
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = pdf[key].to_numpy()
-            times = pdf[time_col].to_numpy(dtype=np.int64)
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            ends = np.r_[starts[1:], len(keys)]
-            out_k, out_t, out_n = [], [], []
-            for s, e in zip(starts, ends):
-                k = keys[s]
-                if cur_key is None or k != cur_key:
-                    if cur_key is not None and armed is not None:
-                        out_k.append(cur_key); out_t.append(armed); out_n.append(base)
-                    cur_key, base, armed = k, 0, None
-                t = times[s:e]
-                i = 0
-                while i < len(t):
-                    if armed is None:
-                        armed = int(t[i]) + P
-                    j = int(np.searchsorted(t, armed, side="right"))
-                    if j >= len(t):
-                        break  # the timer fires after this segment
-                    out_k.append(k); out_t.append(armed); out_n.append(base + j)
-                    armed, i = None, j
-                base += len(t)
-            if out_k:
-                yield pd.DataFrame({key: out_k, "fire_ts": out_t, out: out_n})
-        if cur_key is not None and armed is not None:
-            yield pd.DataFrame({key: [cur_key], "fire_ts": [armed], out: [base]})
-
-    sorted_rows = (df.select(key, time_col).repartition(key)
-                   .sortWithinPartitions(key, time_col))
-    return sorted_rows.mapInPandas(scan, schema=schema)
+    P, kind = int(period_ms), df.schema[key].dataType.simpleString()
+    timed = df.where(F.col(time_col).isNotNull())
+    sliced = timed.select(F.col(key).alias("k"), slice_column(timed, [time_col]).alias("s"), F.col(time_col).cast("bigint").alias("t"))
+
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = []
+        for g in _whole_groups(batches, ["k", "s"]):
+            t = g["t"].to_numpy(np.int64)
+            follow = np.searchsorted(t, t + P, side="right")
+            end = np.where(follow < len(t), follow, np.arange(len(t)))
+            while True:
+                jumped = end[end]
+                if (jumped == end).all():
+                    break
+                end = jumped
+            first = np.unique(t[:follow[0] + 1], return_index=True)
+            found.append((g["k"].iat[0], int(g["s"].iat[0]), len(t), first[0].tolist(), (t[end[first[1]]] + P).tolist()))
+        if found:
+            yield pd.DataFrame(found, columns=["k", "s", "n", "entry", "leave"])
+
+    def chained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = []
+        for g in _whole_groups(batches, ["k"]):
+            armed, n = None, 0
+            for s, size, entry, leave in zip(g["s"], g["n"], g["entry"], g["leave"]):
+                found.append((g["k"].iat[0], int(s), armed, n, False))
+                i = 0 if armed is None else int(np.searchsorted(np.asarray(entry), armed, side="right"))
+                if i < len(entry):
+                    armed = int(leave[i])
+                n += int(size)
+            found.append((g["k"].iat[0], None, armed, n, True))
+        if found:
+            pdf = pd.DataFrame(found, columns=["k", "s", "armed", "before", "over"])
+            yield pdf.astype({"s": "Int64", "armed": "Int64"})
+
+    def firings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in _whole_groups(batches, ["k", "s"]):
+            t, base, armed = g["t"].to_numpy(np.int64), int(g["before"].iat[0]), g["armed"].iat[0]
+            armed = int(t[0]) + P if pd.isna(armed) else int(armed)
+            at, n = [], []
+            while (i := int(np.searchsorted(t, armed, side="right"))) < len(t):
+                at.append(armed)
+                n.append(base + i)
+                armed = int(t[i]) + P
+            if at:
+                yield pd.DataFrame({key: [g["k"].iat[0]] * len(at), "fire_ts": at, out: n})
+
+    maps = (sliced.repartition("k", "s").sortWithinPartitions("k", "s", "t")
+            .mapInPandas(entries, f"k {kind}, s int, n bigint, entry array<bigint>, leave array<bigint>"))
+    chain = (maps.repartition("k").sortWithinPartitions("k", "s")
+             .mapInPandas(chained, f"k {kind}, s int, armed bigint, before bigint, over boolean"))
+    # null keys match as structs
+    begin = chain.where(~F.col("over")).select(F.struct("k").alias("bk"), F.col("s").alias("bs"), "armed", "before")
+    inner = (sliced.withColumn("lk", F.struct("k")).join(begin, (F.col("lk") == F.col("bk")) & (F.col("s") == F.col("bs")))
+             .select("k", "s", "t", "armed", "before"))
+    schema = f"{key} {kind}, fire_ts bigint, {out} bigint"
+    fired = inner.sortWithinPartitions("k", "s", "t").mapInPandas(firings, schema)
+    last = chain.where("over").select(F.col("k").alias(key), F.col("armed").alias("fire_ts"), F.col("before").alias(out))
+    return fired.unionByName(last)

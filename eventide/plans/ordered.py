@@ -2,161 +2,169 @@
 
 Running aggregates ("sum so far for this user"), sequence numbers and the
 like need every row of a key in order.  ``Window.partitionBy(key)`` puts each
-key into a single task, so a key holding a third of the data would run on a
-third of the data in one task.  Here such *hot* keys are cut into time
-slices ("chunks"):
-
-1. ``groupBy(key)`` counts rows per key (partial aggregation, one row per
-   key).  Keys above ``rows_per_chunk`` rows are hot.  The hot-key table is a
-   top-``max_hot_keys`` list, so its size is bounded by construction; it is
-   fetched when the plan is built and broadcast.  Keys past that limit each
-   hold less than 1/``max_hot_keys`` of the data and are not worth
-   splitting.  Without hot keys the plan is just one exchange and window.
-2. Each hot key's rows are sliced by time into ``ceil(n / rows_per_chunk)``
-   chunks; ordinary keys are one chunk (0).
-3. The running aggregate is computed per ``(key, chunk)`` (one shuffle, hot
-   keys spread over many tasks).
-4. Per-chunk totals of hot keys (only their rows, partially aggregated) are
-   prefix-combined over the earlier chunks (a few rows per hot key) and
-   merged into the local values.
-
-Only decomposable aggregates are supported (sum, count, max, min; ``max`` or
-``min`` of a struct gives max_by / min_by with explicit tie-breaking).
+key into a single task.  Here every key is cut into the same *slices* of the
+order, at every size and for every key:
+
+1. Slice bounds are quantiles of the order over all rows (one aggregation of
+   one column), so slices hold about equally many rows however the times are
+   spread; a time that alone holds several quantiles is cut again at
+   quantiles of the tie-breaker.  Only the bounds, at most ``slices`` values,
+   come to the driver; they become a literal expression.
+2. The aggregate is computed per ``(key, slice)``: one exchange, a hot key
+   (or one global order) is spread over all slices.
+3. Totals per ``(key, slice)`` (partially aggregated, no more than ``slices``
+   rows for a key) are prefix-combined over the earlier slices and merged
+   into the local values.
+
+Keys are compared as one struct, so null keys match each other and the window
+and the join share one exchange.  Supported are decomposable aggregates: sum,
+count, max, min, and max_by / min_by, whose ties go to the earliest row
+whatever the types of the value and the order.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-ROWS_PER_CHUNK_CONF = "eventide.ordered.rowsPerChunk"
-MAX_HOT_KEYS_CONF = "eventide.ordered.maxHotKeys"
-DEFAULT_ROWS_PER_CHUNK = 2_000_000
-DEFAULT_MAX_HOT_KEYS = 10_000
+SLICES_CONF = "eventide.ordered.slices"
+MAX_SLICES = 4096      # of a key; more bounds would not fit an expression
 
-CHUNK = "_chunk"
-_PARTS, _T0, _T1 = "_hk_parts", "_hk_t0", "_hk_t1"
-_GLOBAL = "_global_key"
+SLICE = "_slice"
+_KEY = "_key"
 
-_LOCAL = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
-_PREFIX = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
+_LOCAL = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "max_by": F.max, "min_by": F.min}
+_PREFIX = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min, "max_by": F.max, "min_by": F.min}
 
 
-def _conf_int(df: DataFrame, key: str, default: int) -> int:
-    return int(df.sparkSession.conf.get(key, str(default)))
+def slice_count(df: DataFrame) -> int:
+    """As many slices as the session has shuffle partitions, unless set."""
+    conf = df.sparkSession.conf
+    n = int(conf.get(SLICES_CONF, None) or conf.get("spark.sql.shuffle.partitions"))
+    return max(2, min(n, MAX_SLICES))
 
 
-def hot_keys(df: DataFrame, keys: list[str], time_col: str, rows_per_chunk: int | None = None,
-             max_hot_keys: int | None = None) -> DataFrame | None:
-    """The hot keys of ``df`` with their slice counts and time ranges, or
-    ``None`` when there are none.
+def slice_bounds(df: DataFrame, order: list[str], slices: int) -> list[tuple]:
+    """Rising bounds ``(time, tie)`` that cut the rows into slices.
 
-    Runs one aggregation job now (partial aggregation per key, then a
-    top-``max_hot_keys``) and brings back at most ``max_hot_keys`` rows, so
-    the result is a small local table that is safe to broadcast.
-    """
-    rpc = rows_per_chunk or _conf_int(df, ROWS_PER_CHUNK_CONF, DEFAULT_ROWS_PER_CHUNK)
-    top = max_hot_keys or _conf_int(df, MAX_HOT_KEYS_CONF, DEFAULT_MAX_HOT_KEYS)
-    stats = (df.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_hk_n"), F.min(time_col).alias(_T0),
-                  F.max(time_col).alias(_T1))
-             .where(F.col("_hk_n") > F.lit(rpc))
-             .orderBy(F.col("_hk_n").desc())
-             .limit(top)
-             .select(*keys, F.ceil(F.col("_hk_n") / F.lit(rpc)).alias(_PARTS), _T0, _T1))
-    rows = stats.collect()  # at most `top` rows
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, schema=stats.schema)
-
-
-def with_chunks(df: DataFrame, keys: list[str], time_col: str, hot: DataFrame | None) -> DataFrame:
-    """Add ``_chunk``: 0 for ordinary keys, a time-slice index for hot keys
-    (``hot`` from ``hot_keys``).  The slice index is non-decreasing in
-    ``time_col`` within a key (also for rows outside the range seen by
-    ``hot_keys``), so chunk order is time order.  Also keeps ``_hk_parts``
-    (null for ordinary keys) to tell hot keys apart.
+    ``tie`` is None for "at this time or later", a value for "at this time
+    and from this tie-breaker on, or later", and ``...`` for "later".
     """
-    if hot is None:
-        return df.withColumn(CHUNK, F.lit(0).cast("bigint")).withColumn(_PARTS, F.lit(None).cast("bigint"))
-    out = df.join(F.broadcast(hot), on=keys, how="left")
-    span = (F.col(_T1) - F.col(_T0) + F.lit(1)).cast("double")
-    chunk = F.least(F.floor((F.col(time_col) - F.col(_T0)).cast("double") * F.col(_PARTS) / span),
-                    F.col(_PARTS) - 1)
-    return (out.withColumn(CHUNK, F.when(F.col(_PARTS).isNull(), F.lit(0).cast("bigint"))
-                           .otherwise(chunk.cast("bigint")))
-            .drop(_T0, _T1))
-
-
-def running(df: DataFrame, keys: list[str], order: list[str],
-            aggs: dict[str, tuple[str, Column]], *, descending: bool = False,
-            include_current: bool = True, rows_per_chunk: int | None = None,
-            max_hot_keys: int | None = None) -> DataFrame:
+    time = order[0]
+    points = [i / slices for i in range(1, slices)]
+    values = df.agg(F.percentile_approx(time, points, 10 * slices).alias("p")).first()["p"] or []
+    times = Counter(values)
+    heavy, ties = {v: m for v, m in times.items() if m > 1}, {}
+    if heavy and len(order) > 1 and isinstance(df.schema[order[1]].dataType, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        grid = max(heavy.values())
+        rows = (df.where(F.col(time).isin(list(heavy))).groupBy(time)
+                .agg(F.percentile_approx(order[1], [i / grid for i in range(1, grid)], 10 * grid).alias("p")).collect())
+        ties = {r[time]: r["p"] for r in rows}  # at most ``slices`` values in all slices' grid
+    bounds: list[tuple] = []
+    for v in sorted(times):
+        bounds.append((v, None))
+        if v in heavy:
+            cuts = ties.get(v) or []
+            picked = sorted({cuts[round(j * len(cuts) / heavy[v])] for j in range(1, heavy[v])}) if cuts else []
+            bounds += [(v, q) for q in picked] + [(v, ...)]
+    return bounds
+
+
+def slice_column(df: DataFrame, order: list[str], slices: int | None = None) -> Column:
+    """The slice number of a row: non-decreasing along ``order``; rows without
+    a time are in the first slice.  Runs the aggregation for the bounds now."""
+    bounds = slice_bounds(df, order, slices or slice_count(df))
+    time, tie = F.col(order[0]), F.col(order[1]) if len(order) > 1 else None
+
+    def reached(bound: tuple) -> Column:
+        v, q = bound
+        if q is None:
+            return time >= F.lit(v)
+        if q is ...:
+            return time > F.lit(v)
+        return (time > F.lit(v)) | ((time == F.lit(v)) & (tie >= F.lit(q)))
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(reached(bounds[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, len(bounds))
+
+
+def running(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, tuple], *,
+            descending: bool = False, include_current: bool = True) -> DataFrame:
     """Running (cumulative, current row included) aggregates per key.
 
-    ``order`` must end in a unique tie-breaker; its first column is the time
-    used for slicing hot keys.  ``descending=True`` scans from the latest row
-    backwards (suffix aggregates); ``include_current=False`` leaves the
-    current row out (strictly earlier / later rows).  ``aggs`` maps output name to
-    ``(kind, column)`` with kind in sum/count/max/min.  Empty ``keys`` means
-    one global order (split into time slices like any hot key).
-
-    Calling it runs the small hot-key job (``hot_keys``); without hot keys
-    the plan is a single exchange and window.  Several aggregates over the
-    same key and order belong in one call (one pass, one shuffle).
+    ``order`` must end in a unique tie-breaker; its first column is a number
+    or a time.  ``descending=True`` scans from the latest row backwards
+    (suffix aggregates); ``include_current=False`` leaves the current row out.
+    ``aggs`` maps output name to ``(kind, column)`` with kind in
+    sum/count/max/min, or to ``("max_by" | "min_by", value, record)``: the
+    struct ``record`` of the row with the largest (smallest) value so far,
+    the first such row on ties, ignoring null values.  Empty ``keys`` means
+    one global order.
+
+    Several aggregates over the same key and order belong in one call (one
+    pass, one shuffle).
     """
-    keys = list(keys)
-    drop = []
-    if not keys:
-        df = df.withColumn(_GLOBAL, F.lit(0))
-        keys, drop = [_GLOBAL], [_GLOBAL]
-    hot = hot_keys(df, keys, order[0], rows_per_chunk, max_hot_keys)
-    c = with_chunks(df, keys, order[0], hot)
-
+    by = any(a[0].endswith("_by") for a in aggs.values())
+    if by and descending:
+        raise ValueError("max_by and min_by follow the order")
+    c = df.withColumn(SLICE, slice_column(df, order))
+    group = [SLICE]
+    if keys:
+        c = c.withColumn(_KEY, F.struct(*[F.col(k) for k in keys]))
+        group = [_KEY, SLICE]
     ordering = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
-    w = (Window.partitionBy(*keys, CHUNK).orderBy(*ordering)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow if include_current else -1))
-    out = c
-    for name, (kind, expr) in aggs.items():
-        out = out.withColumn(f"_loc_{name}", _LOCAL[kind](expr).over(w))
-    if hot is None:
-        out = out.select(*[F.col(x) for x in out.columns if not x.startswith("_loc_")],
-                         *[F.col(f"_loc_{n}").alias(n) for n in aggs])
-        return out.drop(CHUNK, _PARTS, *drop)
-
-    # Totals of the chunks of hot keys: only hot rows reach this (partial)
-    # aggregation, through the broadcast inner join.
-    totals = (c.where(F.col(_PARTS).isNotNull())
-              .groupBy(*keys, CHUNK)
-              .agg(*[_LOCAL[kind](expr).alias(f"_tot_{name}") for name, (kind, expr) in aggs.items()]))
-    chunk_order = F.col(CHUNK).desc() if descending else F.col(CHUNK).asc()
-    wo = (Window.partitionBy(*keys).orderBy(chunk_order)
-          .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*keys, CHUNK, *[
-        _PREFIX[kind](f"_tot_{name}").over(wo).alias(f"_off_{name}")
-        for name, (kind, _) in aggs.items()])
-    # The window output is hash-partitioned on (keys, chunk): joining on the
-    # same columns re-shuffles only the (small) offsets side.
-    out = out.join(offsets, on=keys + [CHUNK], how="left")
-
-    for name, (kind, _) in aggs.items():
+    along = Window.partitionBy(*group).orderBy(*ordering)
+    w = along.rowsBetween(Window.unboundedPreceding, Window.currentRow if include_current else -1)
+
+    values = {}
+    for name, (kind, expr, *record) in aggs.items():
+        if kind in ("max_by", "min_by"):
+            sign = -1 if kind == "max_by" else 1  # the earliest row wins ties
+            expr = F.when(expr.isNotNull(), F.struct(expr.alias("value"), (F.lit(sign) * F.col(SLICE)).alias("s"),
+                                                     (F.lit(sign) * F.col("_nth")).alias("n"), record[0].alias("record")))
+        values[name] = expr
+    out = c.withColumn("_nth", F.row_number().over(along)) if by else c
+    for name, (kind, *_) in aggs.items():
+        out = out.withColumn(f"_loc_{name}", _LOCAL[kind](values[name]).over(w))
+
+    if by:  # the place within the slice counts: totals are what its last row has
+        every = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        last = out.withColumn("_last", F.lead(F.lit(1)).over(along).isNull())
+        for name, (kind, *_) in aggs.items():
+            last = last.withColumn(f"_tot_{name}", _LOCAL[kind](values[name]).over(every))
+        totals = last.where("_last").select(*group, *[f"_tot_{n}" for n in aggs])
+    else:
+        totals = c.groupBy(*group).agg(*[_LOCAL[kind](values[n]).alias(f"_tot_{n}") for n, (kind, *_) in aggs.items()])
+    # at most ``slices`` rows for a key; without keys the parts meet under one constant that is not folded away
+    parts = [F.col(_KEY)] if keys else [F.col(SLICE) < 0]
+    ahead = (Window.partitionBy(*parts).orderBy(F.col(SLICE).desc() if descending else F.col(SLICE).asc())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select(*group, *[_PREFIX[kind](f"_tot_{n}").over(ahead).alias(f"_off_{n}") for n, (kind, *_) in aggs.items()])
+    # the window output is partitioned by the join's keys: only the offsets move
+    out = out.join(offsets, on=group, how="left")
+
+    merged = []
+    for name, (kind, *_) in aggs.items():
         loc, off = F.col(f"_loc_{name}"), F.col(f"_off_{name}")
-        if kind in ("sum", "count"):
-            merged = F.coalesce(loc, F.lit(0)) + F.coalesce(off, F.lit(0)) if kind == "count" \
-                else F.when(off.isNull(), loc).when(loc.isNull(), off).otherwise(loc + off)
-        elif kind == "max":
-            merged = F.greatest(loc, off)
+        if kind == "count":
+            value = F.coalesce(loc, F.lit(0)) + F.coalesce(off, F.lit(0))
+        elif kind == "sum":
+            value = F.when(off.isNull(), loc).when(loc.isNull(), off).otherwise(loc + off)
         else:
-            merged = F.least(loc, off)
-        # ordinary keys have no offset
-        merged = F.when(F.col(_PARTS).isNull(), loc).otherwise(merged)
-        out = out.withColumn(name, merged)
-    helper = [f"_loc_{n}" for n in aggs] + [f"_off_{n}" for n in aggs] + [CHUNK, _PARTS] + drop
-    return out.drop(*helper)
-
-
-def sequence_number(df: DataFrame, keys: list[str], order: list[str], out: str = "seq",
-                    **kw) -> DataFrame:
-    """1-based position of each row in its key's order (``row_number`` that
-    splits hot keys)."""
-    return running(df, keys, order, {out: ("count", F.lit(1))}, **kw)
+            value = (F.greatest if kind in ("max", "max_by") else F.least)(loc, off)
+        merged.append((value["record"] if kind.endswith("_by") else value).alias(name))
+    kept = [x for x in df.columns if x not in aggs]
+    return out.select(*kept, *merged)
+
+
+def sequence_number(df: DataFrame, keys: list[str], order: list[str], out: str = "seq") -> DataFrame:
+    """1-based position of each row in its key's order (``row_number`` in slices)."""
+    return running(df, keys, order, {out: ("count", F.lit(1))})

@@ -31,7 +31,7 @@ def scratch(spark):
 
 @pytest.fixture()
 def hot_keys(spark):
-    """Force the hot-key split path: every key above 3 rows is sliced."""
-    spark.conf.set("eventide.ordered.rowsPerChunk", "3")
+    """More slices than the session's default."""
+    spark.conf.set("eventide.ordered.slices", "40")
     yield
-    spark.conf.unset("eventide.ordered.rowsPerChunk")
+    spark.conf.unset("eventide.ordered.slices")

@@ -10,9 +10,9 @@ from eventide.sources.tables import from_rows
 @pytest.fixture(params=[False, True], ids=["plain", "hot-split"])
 def split(request, spark):
     if request.param:
-        spark.conf.set("eventide.ordered.rowsPerChunk", "1")
+        spark.conf.set("eventide.ordered.slices", "64")
     yield request.param
-    spark.conf.unset("eventide.ordered.rowsPerChunk")
+    spark.conf.unset("eventide.ordered.slices")
 
 
 KV = [("a", 1), ("a", 3), ("b", 3), ("b", 4)]

@@ -62,11 +62,11 @@ def test_query_matches_oracle(spark, con, name):
 
 @pytest.mark.parametrize("name", ORDERED)
 def test_query_matches_oracle_with_hot_keys(spark, con, name):
-    spark.conf.set("eventide.ordered.rowsPerChunk", "2")
+    spark.conf.set("eventide.ordered.slices", "50")
     try:
         _compare(spark, con, name)
     finally:
-        spark.conf.unset("eventide.ordered.rowsPerChunk")
+        spark.conf.unset("eventide.ordered.slices")
 
 
 def test_entry_smoke(spark):

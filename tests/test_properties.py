@@ -33,9 +33,9 @@ SCHEMA = "id bigint, k string, t bigint, v bigint, kind string"
 
 @pytest.fixture()
 def split(spark):
-    spark.conf.set("eventide.ordered.rowsPerChunk", "7")
+    spark.conf.set("eventide.ordered.slices", "17")
     yield
-    spark.conf.unset("eventide.ordered.rowsPerChunk")
+    spark.conf.unset("eventide.ordered.slices")
 
 
 def _by_key(rows):
@@ -161,20 +161,62 @@ def test_global_order_buffer_and_most_active(spark, split, seed):
     assert {r.id: (r.top_user, r.top_count) for r in out.collect()} == exp_top
 
 
+def _slices(spark, rows, order=("t", "id")):
+    from eventide.plans.ordered import slice_column
+    df = spark.createDataFrame(rows, SCHEMA)
+    return df.withColumn("s", slice_column(df, list(order), 20)).collect()
+
+
+def test_slices_are_even_for_hot_null_keys_outliers_and_hot_times(spark):
+    """No key, no outlier and no single time decides how many rows a slice holds."""
+    cases = {"null key": [(i, None, i, 0, "a") for i in range(2000)],
+             "outlier": [(0, "k", -10**12, 0, "a")] + [(i, "k", 10**9 + i, 0, "a") for i in range(1, 2000)],
+             "20 hot keys": [(i, f"k{i % 20}", i // 20, 0, "a") for i in range(2000)],
+             "one time": [(i, "k", 5 if i % 2 else i, 0, "a") for i in range(2000)]}
+    for name, rows in cases.items():
+        got = _slices(spark, rows)
+        sizes = {}
+        for r in got:
+            sizes[r.s] = sizes.get(r.s, 0) + 1
+        assert max(sizes.values()) <= 2.5 * 2000 / 20, (name, sizes)
+        order = sorted(got, key=lambda r: (r.t, r.id))
+        assert [r.s for r in order] == sorted(r.s for r in order)
+
+
+def test_running_with_null_hot_key_ties_and_null_times(spark, split):
+    from eventide.plans.ordered import running
+    rows = [(i, None if i % 3 else "x", None if i < 5 else 7 if i % 2 else i, i % 4, "a") for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = running(df, ["k"], ["t", "id"], {"s": ("sum", F.col("v")), "n": ("count", F.lit(1))})
+    exp, acc = {}, {}
+    for r in sorted(rows, key=lambda r: (r[2] is not None, r[2] or 0, r[0])):
+        s, n = acc.get(r[1], (0, 0))
+        acc[r[1]] = exp[r[0]] = (s + r[3], n + 1)
+    assert {r.id: (r.s, r.n) for r in out.collect()} == exp
+
+
+def test_no_single_partition_in_global_orders(spark):
+    df = spark.createDataFrame(_events(3), SCHEMA)
+    for out in (rolling.most_active_so_far(df.select("id", "k", "t"), "k", ["t", "id"]),
+                stateful.buffered_batches(df, ["t", "id"], 10)):
+        assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
 
-def test_hot_key_cap_keeps_results_exact(spark):
-    """More hot keys than ``maxHotKeys``: only the largest are split, the
-    rest run unsplit, and every running value is still exact."""
-    from eventide.plans.ordered import hot_keys, running
-    rows = _events(7, 200)
+
+def test_extremes_ignore_nulls_and_take_any_type(spark, split):
+    rows = [("a", 1, "id9", None), ("a", 2, "id8", 5.5), ("a", 3, "id7", 3.25), ("a", 4, "id6", 3.25), ("b", 1, "x", None)]
+    df = spark.createDataFrame(rows, "k string, t bigint, id string, v double")
+    got = {(r.k, r.t): (r.best_v, r.best_id) for r in rolling.rolling_extreme_by(df, "k", ["t", "id"], "v", ["v", "id"], "min").collect()}
+    assert got == {("a", 1): (None, None), ("a", 2): (5.5, "id8"), ("a", 3): (3.25, "id7"), ("a", 4): (3.25, "id7"), ("b", 1): (None, None)}
+    text = rolling.rolling_extreme_by(df, "k", ["t", "id"], "id", ["id"], "max").collect()
+    assert {r.best_id for r in text if r.k == "a"} == {"id9"}
+
+
+def test_periodic_counts_share_a_hot_key_between_tasks(spark, split):
+    rows = [(i, "hot" if i % 2 else f"k{i % 7}", i * 3, 0, "a") for i in range(1500)]
     df = spark.createDataFrame(rows, SCHEMA)
-    hot = hot_keys(df, ["k"], "t", rows_per_chunk=5, max_hot_keys=1)
-    assert hot.count() == 1 and hot.first().k == "hot"       # the largest key only
-    out = running(df, ["k"], ["t", "id"], {"s": ("sum", F.col("v"))}, rows_per_chunk=5, max_hot_keys=1)
-    exp = {}
-    for k, rs in _by_key(rows).items():
-        acc = 0
-        for r in rs:
-            acc += r[3]
-            exp[r[0]] = acc
-    assert {r.id: r.s for r in out.collect()} == exp
+    from eventide.plans.ordered import slice_column
+    used = df.where("k = 'hot'").select(slice_column(df, ["t"]).alias("s")).distinct().count()
+    assert used >= 10
+    for period in (1, 50, 700, 10_000):
+        got = sorted(tuple(r) for r in stateful.periodic_counts(df, "k", "t", period).collect())
+        assert got == _periodic_model(rows, period)
