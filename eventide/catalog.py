@@ -4,7 +4,9 @@ Mapping of the original record fields onto ``events``: user -> ``user_id``,
 url / event kind -> ``event_type``, timestamp -> ``ts_ms`` (epoch ms).
 Events arrive every few minutes, so the original second-scale durations are
 scaled up with their ratios kept (5 s -> 1 h, 10 s/2 s -> 5 h/1 h,
-10 s/5 s -> 2 h/1 h, 10 s -> 2 h).  Every query reads whole tables.
+10 s/5 s -> 2 h/1 h, 10 s -> 2 h).  Every query reads whole tables; the two
+inputs of a join are made from ``events`` by event type, and the payments of
+``reconcile_payments`` from the first line item of each order.
 
 Each entry of ``QUERIES`` is ``(spark, sf_dir) -> DataFrame``; ``ORACLES``
 holds the equivalent DuckDB SQL over the same parquet tables.
@@ -33,6 +35,7 @@ TOP_N = 2
 WINDOW_JOIN_MS = 5 * H          # 5 s window join
 INTERVAL_LOWER_MS, INTERVAL_UPPER_MS = -6 * H, 12 * H   # -5 min .. +10 min
 RECONCILE_WAIT_MS = 365 * DAY
+ITEM_WAIT_MS = 45 * DAY         # several line items of one order
 TIMER_DELAY_MS = 1000
 PERIOD_MS = 10 * H              # 10 s periodic pv
 COUNT_WINDOW = 5
@@ -124,7 +127,7 @@ def rich_map_timestamp(spark, sf):
 
 @query("sql_projection", "SELECT event_type, user_id FROM events")
 def sql_projection(spark, sf):
-    return relational.sql_over(_ev(spark, sf), "clicks", "SELECT event_type, user_id FROM clicks")
+    return relational.sql_over(_ev(spark, sf), "clicks", "SELECT event_type, user_id FROM {clicks}")
 
 
 # --- partitioning --------------------------------------------------------------
@@ -259,6 +262,17 @@ def sliding_url_count(spark, sf):
     return windows.count_per_window(_ev(spark, sf), "ts_ms", URL_SIZE_MS, URL_SLIDE_MS, ["event_type"])
 
 
+@query("window_average", f"""
+SELECT window_start, window_end, event_type, CAST(sum(cents) AS DOUBLE) / count(cents) AS avg_cents, max(cents) - min(cents) AS spread
+FROM (SELECT *, {CENTS_SQL} AS cents FROM ({_sliding_sql(PV_UV_SIZE_MS, PV_UV_SLIDE_MS)})) GROUP BY 1, 2, 3""")
+def window_average(spark, sf):
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    return windows.accumulate(
+        _ev(spark, sf), "ts_ms", PV_UV_SIZE_MS, PV_UV_SLIDE_MS, ["event_type"],
+        {"total": ("sum", cents), "n": ("count", cents), "low": ("min", cents), "high": ("max", cents)},
+        {"avg_cents": F.col("total").cast("double") / F.col("n"), "spread": F.col("high") - F.col("low")})
+
+
 TOP_N_SQL = f"""
 SELECT * FROM (
   SELECT window_start, window_end, event_type, cnt,
@@ -337,6 +351,42 @@ def reconcile_payments(spark, sf):
     return joins.reconcile(app, third, "id", "t", "t", RECONCILE_WAIT_MS)
 
 
+@query("reconcile_line_items", f"""
+WITH RECURSIVE e AS (
+  SELECT id, t, side, row_number() OVER (PARTITION BY id ORDER BY t, side) AS n FROM (
+    SELECT o_orderkey AS id, epoch_us(o_orderdate) // 1000 AS t, 0 AS side FROM orders
+    UNION ALL SELECT l_orderkey, epoch_us(l_shipdate) // 1000, 1 FROM lineitem)),
+s(id, n, app, third, timers, out_app, out_third, out_status, late_app, late_third) AS (
+  SELECT DISTINCT id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST([] AS BIGINT[]),
+         CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM e
+  UNION ALL
+  SELECT id, n,
+         CASE WHEN side = 0 AND c IS NULL THEN t WHEN side = 1 THEN NULL ELSE NULL END,
+         CASE WHEN side = 1 AND a IS NULL THEN t ELSE NULL END,
+         CASE WHEN (side = 0 AND c IS NOT NULL) OR (side = 1 AND a IS NOT NULL) THEN live ELSE list_append(live, t + {ITEM_WAIT_MS}) END,
+         CASE WHEN side = 0 AND c IS NOT NULL THEN t WHEN side = 1 AND a IS NOT NULL THEN a END,
+         CASE WHEN side = 0 AND c IS NOT NULL THEN c WHEN side = 1 AND a IS NOT NULL THEN t END,
+         CASE WHEN (side = 0 AND c IS NOT NULL) OR (side = 1 AND a IS NOT NULL) THEN 'ok' END,
+         CASE WHEN due THEN app END, CASE WHEN due THEN third END
+  FROM (
+    SELECT e.id, e.n, e.t, e.side, s.app, s.third, due, live, CASE WHEN due THEN NULL ELSE s.app END AS a, CASE WHEN due THEN NULL ELSE s.third END AS c
+    FROM (SELECT s0.*, e0.t AS t0, len(list_filter(s0.timers, lambda x: x < e0.t)) > 0 AS due, list_filter(s0.timers, lambda x: x >= e0.t) AS live
+          FROM s s0 JOIN e e0 ON e0.id = s0.id AND e0.n = s0.n + 1) s
+    JOIN e ON e.id = s.id AND e.n = s.n + 1))
+SELECT id AS pay_id, out_app AS app_ts, out_third AS third_ts, out_status AS status FROM s WHERE out_status IS NOT NULL
+UNION ALL SELECT id, late_app, NULL, 'missing_third_party' FROM s WHERE late_app IS NOT NULL
+UNION ALL SELECT id, NULL, late_third, 'missing_app' FROM s WHERE late_third IS NOT NULL
+UNION ALL SELECT s.id, s.app, s.third, CASE WHEN s.app IS NULL THEN 'missing_app' ELSE 'missing_third_party' END
+FROM s JOIN (SELECT id, max(n) AS n FROM s GROUP BY id) m ON s.id = m.id AND s.n = m.n
+WHERE s.app IS NOT NULL OR s.third IS NOT NULL""")
+def reconcile_line_items(spark, sf):
+    app = with_millis(read_table(spark, sf, "orders"), "o_orderdate", "t") \
+        .select(F.col("o_orderkey").alias("id"), "t")
+    third = with_millis(read_table(spark, sf, "lineitem"), "l_shipdate", "t") \
+        .select(F.col("l_orderkey").alias("id"), "t")
+    return joins.reconcile(app, third, "id", "t", "t", ITEM_WAIT_MS)
+
+
 # --- timers and keyed state -------------------------------------------------------
 
 @query("arrival_and_timer", f"""
@@ -473,12 +523,13 @@ def sink_kafka_payload(spark, sf):
     return sinks.kafka_payload(ev, "value", "clinks", key="user_id")
 
 
-@query("sink_hash_upsert", "SELECT user_id, arg_max(event_type, ts) AS event_type FROM events GROUP BY user_id")
+@query("sink_hash_upsert", """SELECT user_id, arg_max(event_type, struct_pack(t := ts, i := event_id)) AS event_type
+FROM events GROUP BY user_id""")
 def sink_hash_upsert(spark, sf):
     path = shared_path(spark, "hash-sink")
-    writer = sinks.upsert_into(path, "user_id", "ts_ms")
-    writer(_ev(spark, sf).select("user_id", "event_type", "ts_ms"), 0)
-    return sinks.read_upserted(spark, path).select("user_id", "event_type")
+    writer = sinks.upsert_writer(sinks.parquet_store(path), "user_id", ["event_type"], ORDER)
+    writer(_ev(spark, sf), 0)
+    return sinks.latest(spark, path, "user_id", ["event_type"], ORDER).select("user_id", "event_type")
 
 
 @query("sink_document_payload", """SELECT '{"' || user_id || '":"' || event_type || '"}' AS doc FROM events""")

@@ -7,6 +7,9 @@ functions that take a ``left_prefix``/``right_prefix`` rename for you.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,16 +21,33 @@ def prefixed(df: DataFrame, prefix: str, keep: list[str] = ()) -> DataFrame:
     return df.select(*[F.col(c).alias(c if c in keep else prefix + c) for c in df.columns])
 
 
+ROWS_PER_SALT = 100_000
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Inner equi-join whose keys are cut by counted size.
+
+    A key with n right rows gets ``ceil(n / rows_per_salt)`` salts: its right
+    rows are dealt over them by a hash, its left rows go to each.  No task
+    holds more than about ``rows_per_salt`` right rows of one key, and the
+    left rows of a key meet that many at a time.
+    """
+    salts = right.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_salt)).alias("_salts"))
+    dealt = right.join(salts, on).withColumn("_salt", F.pmod(F.xxhash64(*right.columns), F.col("_salts"))).drop("_salts")
+    copied = left.join(salts, on).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_salts") - 1))).drop("_salts")
+    return copied.join(dealt, [*on, "_salt"]).drop("_salt")
+
+
 def window_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
-                size_ms: int) -> DataFrame:
+                size_ms: int, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Inner join of rows with equal ``key`` in the same tumbling window.
 
     The window start is part of the equi-join key, so a hot key is spread
-    over its windows.
+    over its windows; a hot (key, window) is salted.
     """
     l = left.withColumn("window_start", tumble_start(left_time, size_ms))
     r = right.withColumn("window_start", tumble_start(right_time, size_ms))
-    j = l.join(r, on=[key, "window_start"], how="inner")
+    j = salted_join(l, r, [key, "window_start"], rows_per_salt)
     return j.withColumn("window_end", F.col("window_start") + F.lit(size_ms))
 
 
@@ -38,14 +58,14 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_time: str, r
     return bucketed_range_join(left, right, [key], left_time, right_time, lower_ms, upper_ms)
 
 
-def full_history_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def full_history_join(left: DataFrame, right: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Every left row with every right row of the same key, whatever their times.
 
     This is the operator's definition (each side keeps its whole history),
-    so the output size is the sum of per-key products; a skewed key is split
-    by AQE's skew-join handling.
+    so the output size is the sum of per-key products; the work of a hot key
+    is spread by salts.
     """
-    return left.join(right, on=[key], how="inner")
+    return salted_join(left, right, [key], rows_per_salt)
 
 
 STATUS_OK = "ok"
@@ -54,25 +74,60 @@ STATUS_MISSING_APP = "missing_app"
 
 
 def reconcile(app: DataFrame, third: DataFrame, id_col: str, app_time: str, third_time: str,
-              wait_ms: int = 5000, app_cols: list[str] = (), third_cols: list[str] = ()) -> DataFrame:
+              wait_ms: int = 5000) -> DataFrame:
     """Match each payment id across the two inputs, waiting ``wait_ms``.
 
-    A pair matches when the second event arrives within ``wait_ms`` of the
-    first (``|t_app - t_third| <= wait_ms``).  Unmatched app events report a
-    missing third-party confirmation, unmatched third-party events a
-    missing app event; a pair too far apart reports both.  Assumes one
-    event per id and side (the stateful streaming form documents what
-    happens otherwise).
-
-    Output: ``pay_id, app_ts, third_ts, status`` plus the requested columns.
+    One event is pending per id at a time.  An event consumes a pending event
+    of the other side (ok), or becomes the pending one of its side, replacing
+    an earlier one, and arms a timer ``wait_ms`` later.  A timer that fires
+    before the next event of the id reports what is then pending as missing
+    its counterpart; timers are not cancelled.  At the end all timers fire.
+    Ids whose events do not repeat thus match when ``|t_app - t_third| <=
+    wait_ms`` and are reported on both sides otherwise.
+
+    Events are hash-partitioned by id and sorted; the scan keeps one pending
+    event and the armed timers, whatever the number of an id's events.  Null
+    ids match nothing.  Output: ``pay_id, app_ts, third_ts, status``.
     """
-    a = app.select(F.col(id_col).alias("_a_id"), F.col(app_time).alias("app_ts"), *app_cols)
-    t = third.select(F.col(id_col).alias("_t_id"), F.col(third_time).alias("third_ts"), *third_cols)
-    cond = (F.col("_a_id") == F.col("_t_id")) & \
-        (F.abs(F.col("app_ts") - F.col("third_ts")) <= F.lit(wait_ms))
-    j = a.join(t, on=cond, how="full_outer")
-    status = (F.when(F.col("_a_id").isNotNull() & F.col("_t_id").isNotNull(), F.lit(STATUS_OK))
-              .when(F.col("_a_id").isNotNull(), F.lit(STATUS_MISSING_THIRD))
-              .otherwise(F.lit(STATUS_MISSING_APP)))
-    return j.select(F.coalesce("_a_id", "_t_id").alias("pay_id"), "app_ts", "third_ts",
-                    *app_cols, *third_cols, status.alias("status"))
+    wait, kind = int(wait_ms), app.schema[id_col].dataType.simpleString()
+    side = lambda df, t, n: df.select(F.col(id_col).alias("pay_id"), F.col(t).cast("bigint").alias("ts"), F.lit(n).alias("side"))
+    events = side(app, app_time, 0).unionByName(side(third, third_time, 1))
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, pending, timers, out = None, None, [], []
+
+        def report():
+            if pending is not None:
+                t, s = pending
+                out.append((key, t, None, STATUS_MISSING_THIRD) if s == 0 else (key, None, t, STATUS_MISSING_APP))
+
+        for pdf in batches:
+            for k, t, s in zip(pdf["pay_id"].tolist(), pdf["ts"].tolist(), pdf["side"].tolist()):
+                if k != key:
+                    report()
+                    key, pending, timers = k, None, []
+                if timers and timers[0] < t:
+                    report()
+                    pending, timers = None, [x for x in timers if x >= t]
+                if pending is not None and pending[1] != s:
+                    out.append((k, *((t, pending[0]) if s == 0 else (pending[0], t)), STATUS_OK))
+                    pending = None
+                else:
+                    pending = (t, s)
+                    timers.append(t + wait)  # times do not fall, so neither do timers
+            yield _reconciled(out)
+            out = []
+        report()
+        yield _reconciled(out)
+
+    known = (events.where(F.col("pay_id").isNotNull()).repartition("pay_id")
+             .sortWithinPartitions("pay_id", "ts", "side")
+             .mapInPandas(scan, f"pay_id {kind}, app_ts bigint, third_ts bigint, status string"))
+    alone = events.where(F.col("pay_id").isNull()).select(
+        "pay_id", F.when(F.col("side") == 0, F.col("ts")).alias("app_ts"), F.when(F.col("side") == 1, F.col("ts")).alias("third_ts"),
+        F.when(F.col("side") == 0, F.lit(STATUS_MISSING_THIRD)).otherwise(F.lit(STATUS_MISSING_APP)).alias("status"))
+    return known.unionByName(alone)
+
+
+def _reconciled(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["pay_id", "app_ts", "third_ts", "status"]).astype({"app_ts": "Int64", "third_ts": "Int64"})

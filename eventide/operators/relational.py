@@ -76,7 +76,21 @@ def map_with_lifecycle(df: DataFrame, fn: Callable, schema: str,
     return df.mapInPandas(run, schema=schema)
 
 
+def flat_map(df: DataFrame, fn: Callable[[dict], Iterator[tuple]], schema: str) -> DataFrame:
+    """Flat-map with any code: ``fn(row)`` gets a row as a dictionary and
+    yields any number of output rows (tuples in the order of ``schema``).
+    Rows go to the workers in Arrow batches."""
+    import pandas as pd
+    names = [f.split()[0] for f in schema.split(",")]
+
+    def run(batches: Iterator) -> Iterator:
+        for pdf in batches:
+            yield pd.DataFrame([out for row in pdf.to_dict("records") for out in fn(row)], columns=names)
+
+    return df.mapInPandas(run, schema=schema)
+
+
 def sql_over(df: DataFrame, view: str, query: str) -> DataFrame:
-    """Register ``df`` (batch or streaming) as a temporary view and run SQL on it."""
-    df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(query)
+    """Run SQL over ``df`` (batch or streaming), named ``{view}`` in the query.
+    No view of the session is touched."""
+    return df.sparkSession.sql(query, **{view: df})

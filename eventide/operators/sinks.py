@@ -63,121 +63,35 @@ def kafka_writer(bootstrap_servers: str, extra: dict | None = None) -> Callable[
 
 # --- key-value hash (last write per key wins) -------------------------------
 
-def hash_upsert_payload(df: DataFrame, key: str, field: str, order: list[str]) -> DataFrame:
-    """``HSET name key field``: after all writes, each key holds the field of
-    its latest row.  Partial aggregation (``max_by``) before the shuffle."""
-    rank = F.struct(*[F.col(o) for o in order])
-    return df.groupBy(key).agg(F.max_by(F.col(field), rank).alias(field))
-
-
-def upsert_into(path: str, key: str, order_col: str, buckets: int | None = None) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer keeping the latest row per ``key`` (by
-    ``order_col``) in a parquet key-value table at ``path`` (a shared folder).
-
-    The table is split into ``buckets`` hash buckets (default: the shuffle
-    parallelism; fixed once the table exists), each stored as versions
-    ``bucket=<b>/v<batch id>``.  A batch rewrites only the buckets its keys
-    fall into, in one job: new rows are reduced to the latest per key
-    (partial aggregation), merged with the current version of the touched
-    buckets, written to a staging folder, then published bucket by bucket
-    and sealed with a commit marker ``_commits/v<batch id>``.
-
-    Readers only see committed versions.  A replayed batch id is skipped if
-    committed; if a previous attempt died while publishing, the replay
-    finishes publishing from the completed staging output.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fs, jvm = _fs(spark, path)
-        Path = jvm.org.apache.hadoop.fs.Path
-        tag = f"v{batch_id:012d}"
-        commit = Path(f"{path}/_commits/{tag}")
-        if fs.exists(commit):
-            return  # already committed (at-least-once replay)
-        n_buckets = _bucket_count(spark, path, buckets)
-        staging = f"{path}/_staging/{tag}"
-        if not fs.exists(Path(f"{staging}/_SUCCESS")):
-            current = _latest_versions(spark, path)
-            cols = [key, order_col] + [c for c in batch.columns if c not in (key, order_col)]
-            bucket = F.pmod(F.hash(F.col(key)), F.lit(n_buckets))
-            new = (batch.select(*cols).groupBy(key)
-                   .agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("_r")).select("_r.*")
-                   .withColumn("bucket", bucket))
-            touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # <= n_buckets values
-            old_paths = [f"{path}/bucket={b}/v{current[b]:012d}" for b in touched if b in current]
-            merged = new
-            if old_paths:
-                merged = spark.read.parquet(*old_paths).withColumn("bucket", bucket) \
-                    .unionByName(new, allowMissingColumns=True)
-            latest = (merged.groupBy(key).agg(F.max_by(F.struct(*merged.columns), F.col(order_col)).alias("_r"))
-                      .select("_r.*"))
-            # one task and one file per bucket
-            latest.repartitionById(n_buckets, F.col("bucket").cast("int")) \
-                .write.mode("overwrite").partitionBy("bucket").parquet(staging)
-        for st in fs.listStatus(Path(staging)):      # publish (idempotent)
-            name = st.getPath().getName()
-            if not name.startswith("bucket="):
-                continue
-            dst = Path(f"{path}/{name}/{tag}")
-            if not fs.exists(dst):
-                fs.mkdirs(dst.getParent())
-                fs.rename(st.getPath(), dst)
-        fs.create(commit, True).close()
-
+def hash_upsert_payload(df: DataFrame, key: str, fields: list[str], order: list[str]) -> DataFrame:
+    """``HSET name key field``: after all writes, each key holds the fields of
+    its latest row.  ``order`` is time first, then a unique tie-breaker; it
+    stays in the payload, so a store can refuse what is older than it holds.
+    Partial aggregation (``max_by``) before the shuffle."""
+    record = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *fields])])
+    return df.groupBy(key).agg(F.max_by(record, F.struct(*[F.col(o) for o in order])).alias("_r")).select(key, "_r.*")
+
+
+def upsert_writer(write: Callable[[DataFrame, int], None], key: str, fields: list[str],
+                  order: list[str]) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer that hands the latest row per key of each batch
+    to ``write(payload, batch_id)``, the client of a key-value store."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(hash_upsert_payload(batch, key, fields, order), batch_id)
+    return run
+
+
+def parquet_store(path: str) -> Callable[[DataFrame, int], None]:
+    """A store of payload files, a folder per batch id (a replay overwrites
+    its own folder); ``latest`` reads the current rows."""
+    def write(payload: DataFrame, batch_id: int) -> None:
+        payload.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
     return write
 
 
-def _bucket_count(spark, path: str, requested: int | None) -> int:
-    """The table's bucket count, fixed in ``_buckets`` when first written."""
-    fs, jvm = _fs(spark, path)
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_buckets")
-    if fs.exists(marker):
-        stream = fs.open(marker)
-        try:
-            return int(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip())
-        finally:
-            stream.close()
-    n = requested or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = fs.create(marker, True)
-    try:
-        out.write(str(n).encode())
-    finally:
-        out.close()
-    return n
-
-
-def _fs(spark, path: str):
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
-
-
-def _latest_versions(spark, path: str) -> dict[int, int]:
-    """bucket -> newest committed version (batch id)."""
-    fs, jvm = _fs(spark, path)
-    Path = jvm.org.apache.hadoop.fs.Path
-    commits_dir = Path(f"{path}/_commits")
-    if not fs.exists(commits_dir):
-        return {}
-    committed = {int(st.getPath().getName()[1:]) for st in fs.listStatus(commits_dir)}
-    out: dict[int, int] = {}
-    for bst in fs.listStatus(Path(path)):
-        name = bst.getPath().getName()
-        if not name.startswith("bucket="):
-            continue
-        b = int(name[len("bucket="):])
-        for vst in fs.listStatus(bst.getPath()):
-            v = vst.getPath().getName()
-            if v.startswith("v") and v[1:].isdigit() and int(v[1:]) in committed:
-                out[b] = max(out.get(b, -1), int(v[1:]))
-    return out
-
-
-def read_upserted(spark, path: str) -> DataFrame:
-    """The current key-value table: the newest committed version of each bucket."""
-    latest = _latest_versions(spark, path)
-    paths = [f"{path}/bucket={b}/v{v:012d}" for b, v in sorted(latest.items())]
-    return spark.read.parquet(*paths)
+def latest(spark, path: str, key: str, fields: list[str], order: list[str]) -> DataFrame:
+    """The latest row per key over all payloads of a ``parquet_store``."""
+    return hash_upsert_payload(spark.read.parquet(path), key, fields, order)
 
 
 # --- JSON documents ---------------------------------------------------------

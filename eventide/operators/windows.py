@@ -48,31 +48,63 @@ def window_agg(df: DataFrame, time_col: str, size_ms: int, slide_ms: int | None,
                     *[c for c in g.columns if c not in ("window", *keys)], *extra)
 
 
+def _paned(df: DataFrame, time_col: str, size_ms: int, slide_ms: int | None) -> bool:
+    """Whether sliding windows can be put together from whole panes."""
+    return (slide_ms is not None and slide_ms != size_ms and size_ms % slide_ms == 0 and not df.isStreaming
+            and isinstance(df.schema[time_col].dataType, NumericType))
+
+
+def _pane(time_col: str, slide_ms: int) -> Column:
+    return (F.col(time_col) - F.pmod(F.col(time_col), F.lit(slide_ms))).cast("bigint")
+
+
+def _window_starts(pane: str, size_ms: int, slide_ms: int) -> Column:
+    """Starts of the windows that hold a pane, one row for each."""
+    return F.explode(F.sequence(F.col(pane) - F.lit(size_ms - slide_ms), F.col(pane), F.lit(slide_ms)))
+
+
+def accumulate(df: DataFrame, time_col: str, size_ms: int, slide_ms: int | None, keys: list[str],
+               accumulators: dict[str, tuple[str, Column]], result: dict[str, Column]) -> DataFrame:
+    """A user-defined aggregate per window: own accumulators, merged, then a result.
+
+    ``accumulators`` maps names to ``(kind, column)``, kind being one of sum,
+    count, min, max (a struct's min or max gives min_by / max_by); these merge,
+    so they are partial before the shuffle and, in batch, per pane of a
+    sliding window.  ``result`` maps output names to columns over the merged
+    accumulators.  A reduce is one accumulator and itself as result.
+    """
+    first = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+    merge = first | {"count": F.sum}
+    if _paned(df, time_col, size_ms, slide_ms):
+        panes = df.where(F.col(time_col).isNotNull()).groupBy(_pane(time_col, slide_ms).alias("_pane"), *keys) \
+            .agg(*[first[k](c).alias(n) for n, (k, c) in accumulators.items()])
+        g = (panes.withColumn("window_start", _window_starts("_pane", size_ms, slide_ms))
+             .groupBy("window_start", *keys).agg(*[merge[k](n).alias(n) for n, (k, _) in accumulators.items()])
+             .withColumn("window_end", F.col("window_start") + F.lit(size_ms)))
+    else:
+        g = window_agg(df, time_col, size_ms, slide_ms, keys, [first[k](c).alias(n) for n, (k, c) in accumulators.items()])
+    return g.select("window_start", "window_end", *keys, *[c.alias(n) for n, c in result.items()])
+
+
 def count_per_window(df: DataFrame, time_col: str, size_ms: int, slide_ms: int | None = None,
                      keys: list[str] = (), out: str = "cnt", keep_window: bool = False) -> DataFrame:
-    """Tumbling/sliding count per key (``map(k -> 1)`` + ``reduce(+)``)."""
+    """Tumbling/sliding count per key (``map(k -> 1)`` + ``reduce(+)``).
+
+    A batch's sliding windows are added up from counts per pane, so rows are
+    not multiplied before the first aggregation."""
+    if _paned(df, time_col, size_ms, slide_ms) and not keep_window:
+        return accumulate(df, time_col, size_ms, slide_ms, list(keys), {out: ("count", F.lit(1))}, {out: F.col(out)})
     return window_agg(df, time_col, size_ms, slide_ms, list(keys),
                       [F.count(F.lit(1)).alias(out)], keep_window)
 
 
-def distinct_count(df: DataFrame, col: str, approx: bool = False) -> Column:
-    """Exact distinct count (``size(collect_set)`` on streams, where exact
-    ``count(distinct)`` is refused), or a HyperLogLog++ estimate with
-    bounded state per window when ``approx``."""
-    if approx:
-        return F.approx_count_distinct(F.col(col))
-    if df.isStreaming:
-        return F.size(F.collect_set(col))
-    return F.count_distinct(F.col(col))
-
-
 def distinct_per_window(df: DataFrame, time_col: str, size_ms: int, distinct_col: str,
                         slide_ms: int | None = None, keys: list[str] = (),
                         out: str = "uv", approx: bool = False) -> DataFrame:
     """Number of distinct ``distinct_col`` values per window."""
     if approx:
         return window_agg(df, time_col, size_ms, slide_ms, list(keys),
-                          [distinct_count(df, distinct_col, True).cast("bigint").alias(out)])
+                          [F.approx_count_distinct(distinct_col).cast("bigint").alias(out)])
     per = _per_value(df, time_col, size_ms, slide_ms, list(keys), distinct_col)
     g = per.groupBy("window", *keys).agg(F.count(F.lit(1)).alias(out))
     return g.select(*window_bounds_ms("window"), *keys, out)
@@ -93,7 +125,14 @@ def pv_per_uv(df: DataFrame, time_col: str, size_ms: int, slide_ms: int, user_co
     if approx:
         g = window_agg(df, time_col, size_ms, slide_ms, [],
                        [F.count(F.lit(1)).alias("pv"),
-                        distinct_count(df, user_col, True).cast("bigint").alias("uv")])
+                        F.approx_count_distinct(user_col).cast("bigint").alias("uv")])
+    elif _paned(df, time_col, size_ms, slide_ms):
+        panes = (df.where(F.col(time_col).isNotNull()).groupBy(_pane(time_col, slide_ms).alias("_pane"), user_col)
+                 .agg(F.count(F.lit(1)).alias("_rows")))
+        per = (panes.withColumn("window_start", _window_starts("_pane", size_ms, slide_ms))
+               .groupBy("window_start", user_col).agg(F.sum("_rows").alias("_rows")))
+        g = (per.groupBy("window_start").agg(F.sum("_rows").alias("pv"), F.count(user_col).alias("uv"))
+             .withColumn("window_end", F.col("window_start") + F.lit(size_ms)))
     else:
         per = _per_value(df, time_col, size_ms, slide_ms, [], user_col)
         g = (per.groupBy("window").agg(F.sum("_rows").alias("pv"), F.count(F.lit(1)).alias("uv"))

@@ -2,8 +2,7 @@
 
 The original jobs draw from endless generator sources.  Here a stream is
 read from files (``readStream`` over a folder of parquet or text files), so
-the same tables drive batch and streaming runs; ``rate_click_stream`` gives
-a live, self-feeding click stream for demos.
+the same tables drive batch and streaming runs.
 """
 
 from __future__ import annotations
@@ -16,11 +15,6 @@ from eventide.functions.time import millis_to_ts, to_millis
 
 EVENT_TIME = "event_time"
 
-# The user names and pages of the demo click source.
-DEMO_USERS = ["Mary", "Bob", "Alice", "Cary"]
-DEMO_URLS = ["./home", "./cart", "./fav", "./prod?id=1", "./prod?id=2"]
-
-
 def event_stream(spark: SparkSession, folder: str, schema: StructType | str,
                  ts_col: str = "ts", max_files_per_trigger: int | None = None,
                  fmt: str = "parquet") -> DataFrame:
@@ -42,23 +36,6 @@ def event_stream(spark: SparkSession, folder: str, schema: StructType | str,
     return df.withColumn(EVENT_TIME, millis_to_ts("ts_ms"))
 
 
-def rate_click_stream(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:
-    """Live click stream ``user, url, timestamp`` built from the ``rate`` source.
-
-    User and page are picked by hashing the sequence number, so every
-    executor produces its rows independently.
-    """
-    users = F.array(*[F.lit(u) for u in DEMO_USERS])
-    urls = F.array(*[F.lit(u) for u in DEMO_URLS])
-    df = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
-    return df.select(
-        F.element_at(users, (F.pmod(F.hash("value"), F.lit(len(DEMO_USERS))) + 1).cast("int")).alias("user"),
-        F.element_at(urls, (F.pmod(F.hash(F.col("value") * 31 + 7), F.lit(len(DEMO_URLS))) + 1).cast("int")).alias("url"),
-        F.unix_millis("timestamp").alias("timestamp"),
-        F.col("timestamp").alias(EVENT_TIME),
-    )
-
-
 def text_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
     """One string per line (column ``value``), bounded or as a file stream."""
     if streaming:

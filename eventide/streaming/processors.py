@@ -20,8 +20,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
@@ -370,31 +371,46 @@ def apply_reconcile(app: DataFrame, third: DataFrame, id_col: str, app_ts: str,
 
 # --- per-record rolling aggregate (changelog) ----------------------------------------------
 
+def _value_type(df: DataFrame, value: str | None) -> str:
+    """The state type of a value column: whole numbers stay whole."""
+    return "bigint" if value is None or isinstance(df.schema[value].dataType, IntegralType) else "double"
+
+
+def _values(pdf: pd.DataFrame, value: str, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Values as numpy numbers and which of them are there."""
+    there = pdf[value].notna().to_numpy()
+    return pdf[value].fillna(0).to_numpy(dtype=np.int64 if kind == "bigint" else np.float64), there
+
+
 class RollingAggregate(StatefulProcessor):
-    """One output row per input record with the key's running aggregate."""
+    """One output row per input record with the key's running aggregate.
+    Null values change nothing; before the first value it is null."""
 
-    def __init__(self, kind: str, value: str | None, order: list[str], id_col: str):
-        self.kind, self.value, self.order, self.id_col = kind, value, order, id_col
+    def __init__(self, kind: str, value: str | None, order: list[str], id_col: str, value_type: str):
+        self.kind, self.value, self.order, self.id_col, self.type = kind, value, order, id_col, value_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "acc bigint")
+        self.acc = handle.getValueState("acc", f"acc {self.type}")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
-        vals = (np.ones(len(pdf), dtype=np.int64) if self.kind == "count"
-                else pdf[self.value].to_numpy(dtype=np.int64))
+        vals, there = ((np.ones(len(pdf), np.int64), np.ones(len(pdf), bool)) if self.kind == "count"
+                       else _values(pdf, self.value, self.type))
         prev = self.acc.get()[0] if self.acc.exists() else None
         if self.kind in ("sum", "count"):
             run = np.cumsum(vals) + (prev or 0)
-        elif self.kind == "max":
-            run = np.maximum.accumulate(vals if prev is None else np.r_[prev, vals])[-len(vals):]
         else:
-            run = np.minimum.accumulate(vals if prev is None else np.r_[prev, vals])[-len(vals):]
-        self.acc.update((int(run[-1]),))
+            scan, edge = (np.maximum, "min") if self.kind == "max" else (np.minimum, "max")
+            least = getattr(np.iinfo(np.int64), edge) if self.type == "bigint" else (-np.inf if edge == "min" else np.inf)
+            run = scan.accumulate(np.r_[least if prev is None else prev, np.where(there, vals, least)])[1:]
+        known = np.logical_or.accumulate(there) | (prev is not None)
+        if known[-1]:
+            self.acc.update((run[-1].item(),))
         out = {"key": [key[0]] * len(pdf)}
         for c in dict.fromkeys([self.id_col, *self.order]):
             out[c] = pdf[c].to_numpy()
-        out["running"] = run
+        out["running"] = pd.array(run, dtype="Int64" if self.type == "bigint" else "Float64")
+        out["running"][~known] = pd.NA
         yield pd.DataFrame(out)
 
     def close(self) -> None:
@@ -404,14 +420,14 @@ class RollingAggregate(StatefulProcessor):
 def apply_rolling(df: DataFrame, key: str, kind: str, value: str | None, order: list[str],
                   id_col: str, out: str) -> DataFrame:
     """One row per input record: key, ``id_col``, the order columns and the
-    running aggregate ``out``."""
-    passed = list(dict.fromkeys([id_col, *order]))
+    running aggregate ``out`` (bigint for whole numbers and counts, else double)."""
+    passed, value_type = list(dict.fromkeys([id_col, *order])), _value_type(df, None if kind == "count" else value)
     schema = (f"key {_key_type(df, key)}, "
               + ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in passed)
-              + ", running bigint")
+              + f", running {value_type}")
     cols = [key, *passed] + ([value] if value else [])
     r = df.select(*dict.fromkeys(cols)).groupBy(key).transformWithStateInPandas(
-        RollingAggregate(kind, value, order, id_col), schema, "Append", "None")
+        RollingAggregate(kind, value, order, id_col, value_type), schema, "Append", "None")
     return r.select(F.col("key").alias(key), *passed, F.col("running").alias(out))
 
 
@@ -442,12 +458,10 @@ class ArrivalTimer(StatefulProcessor):
         pass
 
 
-def apply_arrival_timer(df: DataFrame, id_col: str, delay_ms: int = 1000, key: str | None = None) -> DataFrame:
-    """Without ``key`` all rows share one key (one timer per distinct
-    millisecond, as in the original); pass a key or shard column to spread
-    the work, timers are then unique per (key, ms)."""
-    k = F.col(key) if key else F.lit(True)
-    return (df.withColumn("timer_key", k).groupBy("timer_key")
+def apply_arrival_timer(df: DataFrame, id_col: str, key: Column, delay_ms: int = 1000) -> DataFrame:
+    """``key`` is the key or a shard of the ids, which spreads the work;
+    timers are unique per (key, ms)."""
+    return (df.withColumn("timer_key", key).groupBy("timer_key")
             .transformWithStateInPandas(ArrivalTimer(delay_ms, id_col),
                                         "kind string, event_id bigint, at_ms bigint",
                                         "Append", "ProcessingTime"))
@@ -496,27 +510,34 @@ def apply_strict_sequence_flat(df: DataFrame, key: str, predicates: list, time_c
 
 class RollingExtremeBy(StatefulProcessor):
     """Per record: the key's record with the largest (``max``) or smallest
-    (``min``) value so far; the first such record wins ties."""
+    (``min``) value so far; the first such record wins ties, nulls never do."""
 
-    def __init__(self, kind: str, value: str, order: list[str], id_col: str):
-        self.kind, self.value, self.order, self.id_col = kind, value, order, id_col
+    def __init__(self, kind: str, value: str, order: list[str], id_col: str, value_type: str):
+        self.kind, self.value, self.order, self.id_col, self.type = kind, value, order, id_col, value_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("best", "value bigint, id bigint")
+        self.best = handle.getValueState("best", f"value {self.type}, id bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
+        vals, there = _values(pdf, self.value, self.type)
+        ids = pdf[self.id_col].to_numpy(dtype=np.int64)
         best = self.best.get() if self.best.exists() else None
-        vals, ids = [], []
-        for v, i in zip(pdf[self.value].to_numpy(dtype=np.int64), pdf[self.id_col].to_numpy(dtype=np.int64)):
-            better = best is None or (v > best[0] if self.kind == "max" else v < best[0])
-            if better:
-                best = (int(v), int(i))
-            vals.append(best[0])
-            ids.append(best[1])
-        self.best.update(best)
+        if best is not None:  # the best so far as a record before these
+            vals, there, ids = np.r_[vals.dtype.type(best[0]), vals], np.r_[True, there], np.r_[best[1], ids]
+        place = np.flatnonzero(there)
+        sign = vals[place] if self.kind == "max" else -vals[place]
+        new = np.r_[True, sign[1:] > np.maximum.accumulate(sign)[:-1]] if len(place) else np.empty(0, bool)
+        at = np.full(len(vals), -1)
+        at[place[new]] = place[new]
+        at = np.maximum.accumulate(at)[len(vals) - len(pdf):]
+        if at[-1] >= 0:
+            self.best.update((vals[at[-1]].item(), int(ids[at[-1]])))
+        value = pd.array(vals[np.maximum(at, 0)], dtype="Int64" if self.type == "bigint" else "Float64")
+        record = pd.array(ids[np.maximum(at, 0)], dtype="Int64")
+        value[at < 0], record[at < 0] = pd.NA, pd.NA
         yield pd.DataFrame({"key": [key[0]] * len(pdf), self.id_col: pdf[self.id_col].to_numpy(),
-                            "best_value": vals, "best_id": ids})
+                            "best_value": value, "best_id": record})
 
     def close(self) -> None:
         pass
@@ -524,8 +545,9 @@ class RollingExtremeBy(StatefulProcessor):
 
 def apply_rolling_extreme_by(df: DataFrame, key: str, kind: str, value: str, order: list[str],
                              id_col: str) -> DataFrame:
-    schema = f"key {_key_type(df, key)}, {id_col} bigint, best_value bigint, best_id bigint"
+    value_type = _value_type(df, value)
+    schema = f"key {_key_type(df, key)}, {id_col} bigint, best_value {value_type}, best_id bigint"
     cols = list(dict.fromkeys([key, id_col, *order, value]))
     r = df.select(*cols).groupBy(key).transformWithStateInPandas(
-        RollingExtremeBy(kind, value, order, id_col), schema, "Append", "None")
+        RollingExtremeBy(kind, value, order, id_col, value_type), schema, "Append", "None")
     return r.withColumnRenamed("key", key)

@@ -27,16 +27,22 @@ def watermarked(df: DataFrame, ts_ms: str = "ts_ms", delay_ms: int = 0,
     return df.withWatermark(out, interval_str(delay_ms))
 
 
+TOP_N_PARTS = 64
+
+
 def top_n_stream(df: DataFrame, time_col: str, item: str, size_ms: int, slide_ms: int, n: int,
                  count_col: str = "cnt", rank_col: str = "rank") -> DataFrame:
-    """Top-N per window on a stream: count per (window, item), then a second
-    aggregation per window keeping the n best ``(-count, item)`` pairs.
-    Runs in append mode: a window is emitted once the watermark closes it."""
+    """Top-N per window on a stream: count per (window, item), the n best of
+    each of ``TOP_N_PARTS`` parts of a window's items, then the n best of
+    those.  No state holds all items of a window.  Runs in append mode: a
+    window is emitted once the watermark closes it."""
     counts = count_per_window(df, time_col, size_ms, slide_ms, [item], out=count_col, keep_window=True)
-    best = (counts.groupBy("window")
-            .agg(F.slice(F.sort_array(F.collect_list(
-                F.struct((-F.col(count_col)).alias("neg"), F.col(item).alias("item"),
-                         F.col(count_col).alias("cnt")))), 1, n).alias("top")))
+    entry = F.struct((-F.col(count_col)).alias("neg"), F.col(item).alias("item"), F.col(count_col).alias("cnt"))
+    part = F.pmod(F.xxhash64(item), F.lit(TOP_N_PARTS))
+    parts = (counts.groupBy("window", part.alias("part"))
+             .agg(F.slice(F.sort_array(F.collect_list(entry)), 1, n).alias("top")))
+    best = (parts.groupBy("window")
+            .agg(F.slice(F.sort_array(F.flatten(F.collect_list("top"))), 1, n).alias("top")))
     ex = best.select("window", F.posexplode("top").alias("pos", "t"))
     return ex.select(F.unix_millis("window.start").alias("window_start"),
                      F.unix_millis("window.end").alias("window_end"),
@@ -86,7 +92,8 @@ def full_history_join_stream(left: DataFrame, right: DataFrame, key: str) -> Dat
 def reconcile_stream(app: DataFrame, third: DataFrame, id_col: str, app_time: str, third_time: str,
                      wait_ms: int) -> DataFrame:
     """Payment reconciliation as a stream-stream full outer join: a pair
-    matches within ``wait_ms``; unmatched rows are emitted (as missing the
+    matches within ``wait_ms``; ids must not repeat on a side (``processors.
+    apply_reconcile`` is the form for repeats); unmatched rows are emitted (as missing the
     other side) once the watermark passes ``time + wait``."""
     a = app.select(F.col(id_col).alias("_a_id"), F.col(app_time).alias("_a_t"), *[c for c in app.columns if c not in (id_col, app_time)])
     t = third.select(F.col(id_col).alias("_t_id"), F.col(third_time).alias("_t_t"), *[c for c in third.columns if c not in (id_col, third_time)])

@@ -220,3 +220,69 @@ def test_periodic_counts_share_a_hot_key_between_tasks(spark, split):
     for period in (1, 50, 700, 10_000):
         got = sorted(tuple(r) for r in stateful.periodic_counts(df, "k", "t", period).collect())
         assert got == _periodic_model(rows, period)
+
+
+def _reconcile_model(rows, wait):
+    out = []
+    for k in {r[0] for r in rows}:
+        pending, timers = None, []
+
+        def report():
+            if pending:
+                out.append((k, pending[0], None, "missing_third_party") if pending[1] == 0 else (k, None, pending[0], "missing_app"))
+        for _, t, s in sorted(r for r in rows if r[0] == k):
+            if any(x < t for x in timers):
+                report()
+                pending, timers = None, [x for x in timers if x >= t]
+            if pending and pending[1] != s:
+                out.append((k, *((t, pending[0]) if s == 0 else (pending[0], t)), "ok"))
+                pending = None
+            else:
+                pending = (t, s)
+                timers.append(t + wait)
+        report()
+    return sorted(out, key=repr)
+
+
+@given(st.integers(0, 10_000), st.integers(1, 60))
+@settings(**SETTINGS)
+def test_reconcile_overwrites_and_consumes_repeated_ids(spark, seed, wait):
+    rnd = random.Random(seed)
+    rows = [(f"p{rnd.randint(0, 12)}", rnd.randint(0, 200), rnd.randint(0, 1)) for _ in range(90)]
+    app = spark.createDataFrame([r[:2] for r in rows if r[2] == 0] + [(None, 7)], "id string, t bigint")
+    third = spark.createDataFrame([r[:2] for r in rows if r[2] == 1] + [(None, 7)], "id string, t bigint")
+    got = sorted((tuple(r) for r in joins.reconcile(app, third, "id", "t", "t", wait).collect() if r.pay_id), key=repr)
+    assert got == _reconcile_model(rows, wait)
+    alone = [tuple(r) for r in joins.reconcile(app, third, "id", "t", "t", wait).collect() if r.pay_id is None]
+    assert sorted(alone, key=repr) == [(None, 7, None, "missing_third_party"), (None, None, 7, "missing_app")]
+
+
+def test_two_events_a_side_do_not_multiply(spark):
+    app = spark.createDataFrame([("p", 1), ("p", 2)], "id string, t bigint")
+    third = spark.createDataFrame([("p", 3), ("p", 4)], "id string, t bigint")
+    got = sorted(r.status for r in joins.reconcile(app, third, "id", "t", "t", 100).collect())
+    assert got == ["missing_app", "ok"]
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    rows = _events(11, 150)
+    left = spark.createDataFrame([(r[1], r[0]) for r in rows] + [(None, -1)], "k string, lid bigint")
+    right = spark.createDataFrame([(r[1], r[0]) for r in rows] + [(None, -1)], "k string, rid bigint")
+    exp = sorted((a[1], a[0], b[0]) for a in rows for b in rows if a[1] == b[1])
+    for size in (1, 10, 1000):
+        out = joins.full_history_join(left, right, "k", rows_per_salt=size)
+        assert sorted((r.k, r.lid, r.rid) for r in out.collect()) == exp
+        assert "_salt" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_accumulators_in_panes_equal_plain_windows(spark):
+    from eventide.operators import windows
+    rows = [(r[0], r[1], r[2] * 100 - 3000, r[3]) for r in _events(13)] + [(999, "k1", None, 5)]
+    df = spark.createDataFrame(rows, "id bigint, k string, t bigint, v bigint")
+    acc = {"s": ("sum", F.col("v")), "n": ("count", F.col("v")), "last": ("max", F.struct("t", "id", "v"))}
+    res = {"avg": F.col("s") / F.col("n"), "latest": F.col("last.v"), "n": F.col("n")}
+    paned = windows.accumulate(df, "t", 3000, 1000, ["k"], acc, res)
+    stamped = df.withColumn("ts", F.timestamp_millis("t"))  # a timestamp: the plain windows
+    plain = windows.accumulate(stamped, "ts", 3000, 1000, ["k"], acc, res)
+    key = lambda r: tuple(map(repr, r))
+    assert sorted(map(key, paned.collect())) == sorted(map(key, plain.collect())) != []

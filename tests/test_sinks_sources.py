@@ -5,12 +5,13 @@ import os
 import time
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from eventide.operators import sinks
 from eventide.session import shared_path
-from eventide.sources.streams import event_stream, rate_click_stream
+from eventide.sources.streams import event_stream, text_lines
 from eventide.sources.tables import events
 from eventide.streaming import processors as P
 from eventide.streaming import streams as S
@@ -39,28 +40,38 @@ def test_json_lines_writer_is_idempotent(spark, scratch):
 
 def test_upsert_keeps_latest_per_key_across_batches(spark, scratch):
     path = os.path.join(scratch, "kv")
-    write = sinks.upsert_into(path, "k", "ts")
-    write(spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], "k string, ts bigint, v string"), 0)
-    write(spark.createDataFrame([("a", 2, "z"), ("b", 0, "old")], "k string, ts bigint, v string"), 1)
-    write(spark.createDataFrame([("a", 9, "replayed")], "k string, ts bigint, v string"), 1)  # replay ignored
-    got = sorted((r.k, r.v) for r in sinks.read_upserted(spark, path).collect())
-    assert got == [("a", "z"), ("b", "y")]
+    write = sinks.upsert_writer(sinks.parquet_store(path), "k", ["v"], ["ts", "id"])
+    schema = "k string, ts bigint, id bigint, v string"
+    write(spark.createDataFrame([("a", 1, 1, "x"), ("a", 3, 2, "tie"), ("a", 3, 4, "y"), ("b", 2, 3, "z"), (None, 1, 9, "n")], schema), 0)
+    second = spark.createDataFrame([("a", 2, 5, "late"), ("b", 5, 6, "new"), ("c", 1, 7, "c")], schema)
+    write(second, 1)
+    write(second, 1)  # a replay
+    got = {r.k: (r.v, r.id) for r in sinks.latest(spark, path, "k", ["v"], ["ts", "id"]).collect()}
+    assert got == {"a": ("y", 4), "b": ("new", 6), "c": ("c", 7), None: ("n", 9)}
+
+
+def test_checkpoint_folder_is_required_outside_local_mode():
+    from eventide.session import ensure_checkpoint_dir
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
 
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
 
-def test_memory_print_sink(spark):
-    s = rate_click_stream(spark, rows_per_second=50)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_memory_print_sink(spark, scratch):
+    folder = os.path.join(scratch, "printed")
+    schema = split_by_time(spark, os.path.join(SF_SMALL, "events.parquet"), folder, 2)
+    s = event_stream(spark, folder, schema).select("event_id")
     name = "print_" + uuid.uuid4().hex[:6]
-    q = sinks.print_sink(s, name, shared_path(spark, "ck")).format("memory").start()
-    try:
-        deadline = time.time() + 60
-        while time.time() < deadline and spark.table(name).count() == 0:
-            time.sleep(0.5)
-    finally:
-        q.stop()
-    rows = spark.table(name).collect()
-    assert rows
-    assert {r.user for r in rows} <= {"Mary", "Bob", "Alice", "Cary"}
-    assert all(r.url.startswith("./") for r in rows)
+    q = sinks.print_sink(s, name, shared_path(spark, "ck")).format("memory").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert spark.table(name).count() == 1000
 
 
 def test_processing_time_timers(spark, scratch):
@@ -78,7 +89,7 @@ def test_processing_time_timers(spark, scratch):
                  and any(f.endswith(".parquet") for f in os.listdir(d))]
         return spark.read.parquet(*parts) if parts else None
 
-    q = (P.apply_arrival_timer(s.select("event_id"), "event_id", 200).writeStream.foreachBatch(writer)
+    q = (P.apply_arrival_timer(s.select("event_id"), "event_id", F.pmod("event_id", F.lit(3)), 200).writeStream.foreachBatch(writer)
          .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(processingTime="1 second").start())
     try:
         deadline = time.time() + 90
@@ -112,23 +123,19 @@ def test_flat_map_reads_watermark(spark, scratch):
     assert final_watermark_ms(q) == b.agg(F.max("ts_ms")).first()[0]
 
 
-def test_upsert_replay_finishes_an_interrupted_publish(spark, scratch):
-    """A batch whose staging output is complete but whose publish was cut
-    short is finished by the replay, not skipped."""
-    path = os.path.join(scratch, "kv2")
-    write = sinks.upsert_into(path, "k", "ts", buckets=4)
-    first = spark.createDataFrame([(f"k{i}", 1, "a") for i in range(20)], "k string, ts bigint, v string")
-    write(first, 0)
-    second = spark.createDataFrame([(f"k{i}", 2, "b") for i in range(20)], "k string, ts bigint, v string")
-    write(second, 1)
-    # simulate a crash after publishing only part of batch 1: remove its commit
-    # marker and move one published bucket back to staging
-    import shutil
-    os.remove(os.path.join(path, "_commits", "v000000000001"))
-    bucket_dirs = sorted(d for d in os.listdir(path) if d.startswith("bucket="))
-    shutil.move(os.path.join(path, bucket_dirs[0], "v000000000001"),
-                os.path.join(path, "_staging", "v000000000001", bucket_dirs[0]))
-    assert {r.v for r in sinks.read_upserted(spark, path).collect()} == {"a"}  # batch 1 not visible
-    write(second, 1)  # replay
-    assert {r.v for r in sinks.read_upserted(spark, path).collect()} == {"b"}
-    assert sinks.read_upserted(spark, path).count() == 20
+def test_text_lines_bounded_and_streaming(spark, scratch):
+    path = os.path.join(scratch, "lines")
+    sinks.write_text(spark.createDataFrame([("one",), ("two",)], "value string"), path)
+    assert sorted(r.value for r in text_lines(spark, path).collect()) == ["one", "two"]
+    assert text_lines(spark, path, streaming=True).isStreaming
+
+
+def test_flat_map_with_any_code(spark):
+    from eventide.operators.relational import flat_map
+
+    def fn(row):
+        for i in range(row["n"]):
+            yield row["k"].upper(), i
+
+    df = spark.createDataFrame([("a", 2), ("b", 0), ("c", 1)], "k string, n int")
+    assert sorted(tuple(r) for r in flat_map(df, fn, "k string, i int").collect()) == [("A", 0), ("A", 1), ("C", 0)]

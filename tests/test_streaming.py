@@ -126,9 +126,9 @@ def test_full_history_join_stream_equals_batch(spark, folder):
 
 def test_reconcile_stream_closed_part(spark, folder):
     def sides(df, with_time):
-        cols = [F.col("user_id").alias("id"), "ts_ms"] + (["event_time"] if with_time else [])
-        return (df.where(F.col("event_type") == "purchase").select(*cols),
-                df.where(F.col("event_type") == "view").select(*cols))
+        # one event per id and side, as the join form assumes
+        cols = [F.floor(F.col("event_id") / 2).alias("id"), "ts_ms"] + (["event_time"] if with_time else [])
+        return df.where("event_id % 2 = 0").select(*cols), df.where("event_id % 2 = 1").select(*cols)
     app, third = sides(_stream(spark, folder), True)
     st, _ = _run(spark, S.reconcile_stream(app, third, "id", "event_time", "event_time", H))
     ba, bt = sides(_batch(spark), False)
@@ -246,7 +246,7 @@ def test_reconcile_processor_fixture(spark, scratch):
 def test_sql_over_stream(spark, folder):
     from eventide.operators.relational import sql_over
     s = _stream(spark, folder)
-    st, _ = _run(spark, sql_over(s, "clicks_stream", "SELECT event_type, user_id FROM clicks_stream"))
+    st, _ = _run(spark, sql_over(s, "clicks_stream", "SELECT event_type, user_id FROM {clicks_stream}"))
     assert st.count() == _batch(spark).count()
 
 
@@ -409,3 +409,53 @@ def test_late_rows_strict_filter(spark, scratch):
     finally:
         spark.conf.unset(conf)
     assert got == [(0, 1), (20000, 1), (40000, 1)]
+
+
+def test_five_second_delay_keeps_rows_that_are_less_late(spark, scratch):
+    """Bounded out-of-orderness of 5 s: 4000 after 6000 still counts, 4500
+    after 12000 does not, 8000 after 12000 does."""
+    folder = os.path.join(scratch, "delay5")
+    for ts in [[1000, 6000], [4000], [12000], [4500, 8000], [30000]]:
+        spark.createDataFrame([("u", "x", t) for t in ts], "user string, url string, timestamp bigint") \
+            .coalesce(1).write.mode("append").parquet(folder)
+    conf = "spark.sql.streaming.statefulOperator.allowMultiple"
+    spark.conf.set(conf, "false")
+    try:
+        s = event_stream(spark, folder, "user string, url string, timestamp bigint", ts_col="timestamp",
+                         max_files_per_trigger=1)
+        st, _ = _run(spark, windows.count_per_window(S.watermarked(s, "ts_ms", 5000), "event_time", 5000))
+        got = sorted((r.window_start, r.cnt) for r in st.collect())
+    finally:
+        spark.conf.unset(conf)
+    assert got == [(0, 2), (5000, 2), (10000, 1)]
+
+
+@pytest.mark.parametrize("kind,expected", [("sum", [None, 1.5, 0.75, 0.75, 3.0]), ("max", [None, 1.5, 1.5, 1.5, 2.25]),
+                                           ("min", [None, 1.5, -0.75, -0.75, -0.75])])
+def test_rolling_stream_keeps_fractions_and_skips_nulls(spark, scratch, kind, expected):
+    folder = os.path.join(scratch, "doubles")
+    for part in ([(1, None), (2, 1.5)], [(3, -0.75), (4, None), (5, 2.25)]):
+        spark.createDataFrame([("u", i, i * 1000, v) for i, v in part], "k string, id bigint, timestamp bigint, v double") \
+            .coalesce(1).write.mode("append").parquet(folder)
+    s = event_stream(spark, folder, "k string, id bigint, timestamp bigint, v double", ts_col="timestamp", max_files_per_trigger=1)
+    st, _ = _run(spark, P.apply_rolling(s, "k", kind, "v", ["ts_ms", "id"], "id", "r"))
+    assert [r.r for r in st.orderBy("id").collect()] == expected
+    if kind != "sum":
+        s = event_stream(spark, folder, "k string, id bigint, timestamp bigint, v double", ts_col="timestamp", max_files_per_trigger=1)
+        st, _ = _run(spark, P.apply_rolling_extreme_by(s, "k", kind, "v", ["ts_ms", "id"], "id"))
+        assert [r.best_value for r in st.orderBy("id").collect()] == expected
+
+
+def test_reconcile_stream_equals_batch_on_repeats(spark, scratch):
+    rows = [("app", "p", 1000), ("app", "p", 2000), ("third", "p", 3000), ("third", "p", 9000), ("app", "q", 1000),
+            ("third", "q", 20000), ("app", "z", 90000)]
+    folder = os.path.join(scratch, "repeats")
+    for part in (rows[:3], rows[3:5], rows[5:]):
+        spark.createDataFrame(part, "side string, id string, timestamp bigint").coalesce(1).write.mode("append").parquet(folder)
+    s = S.watermarked(event_stream(spark, folder, "side string, id string, timestamp bigint", ts_col="timestamp",
+                                   max_files_per_trigger=1), "ts_ms", 0)
+    st, _ = _run(spark, P.apply_reconcile(s.where("side = 'app'"), s.where("side = 'third'"), "id", "ts_ms", "ts_ms", 5000))
+    df = spark.createDataFrame(rows, "side string, id string, ts bigint")
+    b = joins.reconcile(df.where("side = 'app'"), df.where("side = 'third'"), "id", "ts", "ts", 5000).where("pay_id <> 'z'")
+    cols = ["pay_id", "app_ts", "third_ts", "status"]
+    assert _set(st, cols) == _set(b, cols) and b.count() == 4
