@@ -56,6 +56,11 @@ def _mixing_oracle() -> str:
     return ORACLE
 
 
+def _secrets_oracle() -> str:
+    from eventide.llm.secrets_scan import oracle
+    return oracle()
+
+
 @query("op5_line_dedup", _line_dedup_oracle())
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.line_dedup import dedup_lines
@@ -68,7 +73,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_query(documents(spark, sf_dir))
 
 
-@query("op3_secrets")
+@query("op3_secrets", _secrets_oracle())
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.secrets_scan import secrets_query
     return secrets_query(documents(spark, sf_dir))

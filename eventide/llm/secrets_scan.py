@@ -130,3 +130,48 @@ def secrets_query(docs: DataFrame) -> DataFrame:
         "doc_id", n("assign").alias("n_assign"), n("access").alias("n_access"), n("hex").alias("n_hex"),
         F.sha2(_joined(F.filter(spans, lambda s: s["kind"] != "entropy")).cast("binary"), 256).alias("base_sha256"),
         _joined(spans).alias("spans"))
+
+
+def _oracle_kind(name: str, order: int, pattern: str, ok: str) -> str:
+    p = pattern.replace("'", "''")
+    return f"""
+  SELECT row, doc_id, '{name}' AS kind, {order} AS ord, i, m, {ok} AS ok,
+         CAST(sum(length(gap) + length(m)) OVER (PARTITION BY row ORDER BY i) AS BIGINT) AS stop
+  FROM (SELECT row, doc_id, unnest(range(len(ms))) AS i, unnest(ms) AS m, unnest(gaps[1:len(ms)]) AS gap
+        FROM (SELECT row, doc_id, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS gaps FROM d))"""
+
+
+def oracle() -> str:
+    """The same result in DuckDB: window entropies from plain counts."""
+    allowed = " OR ".join("regexp_matches(m, '{}')".format(a) for a in ALLOW if "\\1" not in a)
+    run = f"[{ENTROPY_CHARS}]{{{WINDOW},}}"
+    assign = ASSIGN.replace("'", "''")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
+a AS ({_oracle_kind("assign", 1, ASSIGN, f"length(regexp_extract(m, '{assign}', 2)) >= {ASSIGN_MIN}")}
+  UNION ALL {_oracle_kind("access", 2, ACCESS, "true")}
+  UNION ALL {_oracle_kind("hex", 3, HEX, "true")}),
+b AS (SELECT *, stop - length(m) AS start FROM a WHERE ok),
+c AS (SELECT *, stop - length(m) AS start FROM ({_oracle_kind("entropy", 4, run, "regexp_matches(m, '[0-9]')")}
+  ) WHERE ok AND NOT ({allowed}) AND len(list_distinct(string_split(m, ''))) > 1),
+e AS (
+  SELECT row, i, max(bits) AS bits FROM (
+    SELECT row, i, w, sum(-n / {WINDOW}.0 * log2(n / {WINDOW}.0)) AS bits FROM (
+      SELECT row, i, w, substr(m, CAST(w + k + 1 AS BIGINT), 1) AS ch, count(*) AS n
+      FROM (SELECT row, i, m, unnest(range(length(m) - {WINDOW} + 1)) AS w FROM c), range({WINDOW}) r(k) GROUP BY ALL)
+    GROUP BY ALL) GROUP BY ALL),
+f AS (
+  SELECT c.* FROM c JOIN e ON c.row = e.row AND c.i = e.i
+  WHERE e.bits >= CASE WHEN regexp_full_match(m, '[0-9a-f]+') THEN {THRESHOLDS["hex"]} WHEN regexp_matches(m, '[+/_=]') THEN {THRESHOLDS["signs"]}
+                       WHEN regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') THEN {THRESHOLDS["mixed"]} ELSE {THRESHOLDS["single"]} END
+    AND NOT EXISTS (SELECT 1 FROM b WHERE b.row = c.row AND b.start < c.stop AND b.stop > c.start)),
+s AS (SELECT row, kind, ord, start, kind || ':' || start || ':' || stop AS span FROM b
+      UNION ALL SELECT row, kind, ord, start, kind || ':' || start || ':' || stop FROM f),
+g AS (
+  SELECT row, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         coalesce(string_agg(span, ',' ORDER BY start, ord) FILTER (kind <> 'entropy'), '') AS base,
+         string_agg(span, ',' ORDER BY start, ord) AS spans FROM s GROUP BY row)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g ON d.row = g.row"""

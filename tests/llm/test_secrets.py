@@ -68,3 +68,15 @@ def test_entropy_spans_and_allow_list(spark):
 
 def test_empty_table(spark):
     assert secrets_scan.secrets_query(frame(spark, [])).collect() == []
+
+
+def test_oracle_on_odd_rows(spark):
+    import duckdb
+    data = rows() + [(500 + i, t, None, None, 0) for i, t in enumerate(TEXTS)]
+    df = frame(spark, data)
+    con = duckdb.connect()
+    con.register("documents", df.toPandas().astype({"doc_id": "Int64"}))
+    res = con.execute(secrets_scan.oracle())
+    cols = [d[0] for d in res.description]
+    exp = sorted((tuple(r) for r in res.fetchall()), key=repr)
+    assert sorted((tuple(r[c] for c in cols) for r in secrets_scan.secrets_query(df).collect()), key=repr) == exp
