@@ -2,17 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-import eventide.llm
 from eventide.llm.common import documents
 from eventide.sources.tables import read_table
 
-# Functions of this subpackage travel to the workers by value, so that a
-# cluster needs no copy of the library on its machines.
-cloudpickle.register_pickle_by_value(eventide.llm)
-
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
