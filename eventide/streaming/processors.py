@@ -114,21 +114,15 @@ class CountWindowAverage(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         t = _rows(rows, self.order)[self.time_col].to_numpy(dtype=np.int64)
         total, acc = self.state.get() if self.state.exists() else (0, 0)
-        out = []
-        for v in t:
-            total += 1
-            if self.repeat:
-                acc += int(v)
-                if total % self.n == 0:
-                    out.append((key[0], total // self.n - 1, acc // self.n))
-                    acc = 0
-            elif total <= self.n:
-                acc += int(v)
-                if total == self.n:
-                    out.append((key[0], 0, acc // self.n))
-        self.state.update((total, acc))
-        if out:
-            yield _frame(["key", "window_no", "avg_ts"], out)
+        used = t if self.repeat else t[:max(0, self.n - total)]
+        sums = np.r_[0, acc + np.cumsum(used)]
+        nth = total + np.arange(1, len(used) + 1)
+        ends = np.flatnonzero(nth % self.n == 0)  # the events that fill a window
+        full = np.diff(np.r_[0, sums[ends + 1]])
+        left = sums[-1] - (sums[ends[-1] + 1] if len(ends) else 0) if len(used) else acc
+        self.state.update((total + len(t), int(left)))
+        if len(ends):
+            yield pd.DataFrame({"key": [key[0]] * len(ends), "window_no": nth[ends] // self.n - 1, "avg_ts": full // self.n})
 
     def close(self) -> None:
         pass
@@ -143,6 +137,51 @@ def apply_count_window_avg(df: DataFrame, key: str, time_col: str, order: list[s
     return out if repeat else out.drop("window_no")
 
 
+# --- hand-made tumbling window on map state ------------------------------------------------
+
+class WindowCountByMap(StatefulProcessor):
+    """Events per tumbling window of a key, counted in a map from window
+    start to count; a timer at a window's last millisecond reports its count
+    and drops the entry.  Rows of windows already closed are dropped."""
+
+    def __init__(self, size_ms: int, time_col: str):
+        self.size, self.time_col = int(size_ms), time_col
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.counts = handle.getMapState("counts", "window_start bigint", "n bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        t = np.concatenate([pdf[self.time_col].to_numpy(np.int64) for pdf in rows])
+        start, n = np.unique(t - t % self.size, return_counts=True)
+        closed = timerValues.getCurrentWatermarkInMs()
+        for s, k in zip(start.tolist(), n.tolist()):
+            if s + self.size - 1 <= closed:
+                continue
+            if self.counts.containsKey((s,)):
+                k += self.counts.getValue((s,))[0]
+            else:
+                self.handle.registerTimer(s + self.size - 1)
+            self.counts.updateValue((s,), (k,))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        start = expiredTimerInfo.getExpiryTimeInMs() - self.size + 1
+        if self.counts.containsKey((start,)):
+            n = self.counts.getValue((start,))[0]
+            self.counts.removeKey((start,))
+            yield _frame(["key", "window_start", "window_end", "pv"], [(key[0], start, start + self.size, n)])
+
+    def close(self) -> None:
+        pass
+
+
+def apply_window_count_by_map(df: DataFrame, key: str, time_col: str, size_ms: int) -> DataFrame:
+    schema = f"key {_key_type(df, key)}, window_start bigint, window_end bigint, pv bigint"
+    out = df.groupBy(key).transformWithStateInPandas(WindowCountByMap(size_ms, time_col), schema, "Append", "EventTime")
+    return out.withColumnRenamed("key", key)
+
+
 # --- buffering sink ------------------------------------------------------------------------
 
 class Buffer(StatefulProcessor):
@@ -209,19 +248,23 @@ class StrictSequence(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, self.order)
-        held = [(int(t), list(f)) for t, f in self.tail.get()] if self.tail.exists() else []
-        new = [(int(t), [bool(x) for x in fl]) for t, fl in
-               zip(pdf[self.time_col].to_numpy(), pdf[self.flags].to_numpy())]
-        seq = held + new
-        out = []
-        for end in range(max(len(held), self.n - 1), len(seq)):
-            start = end - self.n + 1
-            if all(seq[start + i][1][i] for i in range(self.n)):
-                out.append((key[0],) + tuple(seq[start + i][0] for i in range(self.n)))
-        keep = seq[-(self.n - 1):] if self.n > 1 else []
-        self.tail.put(keep) if keep else self.tail.clear()
-        if out:
-            yield _frame(["key"] + [f"ts_{i}" for i in range(self.n)], out)
+        held = list(self.tail.get()) if self.tail.exists() else []
+        ts = np.r_[np.array([t for t, _ in held], np.int64), pdf[self.time_col].to_numpy(np.int64)]
+        flags = np.vstack([np.array([list(f) for _, f in held], bool).reshape(-1, self.n),
+                           pdf[self.flags].fillna(False).to_numpy(bool)])
+        places = max(0, len(ts) - self.n + 1)
+        hit = np.ones(places, bool)
+        for i in range(self.n):
+            hit &= flags[i:places + i, i]
+        start = np.flatnonzero(hit)
+        start = start[start + self.n - 1 >= len(held)]  # earlier ones were reported
+        keep = range(max(0, len(ts) - self.n + 1), len(ts))
+        if len(keep):
+            self.tail.put([(int(ts[i]), flags[i].tolist()) for i in keep])
+        else:
+            self.tail.clear()
+        if len(start):
+            yield pd.DataFrame({"key": [key[0]] * len(start), **{f"ts_{i}": ts[start + i] for i in range(self.n)}})
 
     def close(self) -> None:
         pass

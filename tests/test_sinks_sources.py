@@ -139,3 +139,13 @@ def test_flat_map_with_any_code(spark):
 
     df = spark.createDataFrame([("a", 2), ("b", 0), ("c", 1)], "k string, n int")
     assert sorted(tuple(r) for r in flat_map(df, fn, "k string, i int").collect()) == [("A", 0), ("A", 1), ("C", 0)]
+
+
+def test_parallelism_and_processing_time_clock(spark):
+    from eventide.functions.time import processing_time
+    from eventide.operators.partitioning import with_parallelism
+    df = spark.range(100)
+    assert with_parallelism(df, 3).rdd.getNumPartitions() == 3
+    assert with_parallelism(df, 5, ["id"]).rdd.getNumPartitions() == 5
+    now = df.limit(1).select(F.unix_millis(processing_time()).alias("ms")).first().ms
+    assert abs(now - time.time() * 1000) < 600_000

@@ -459,3 +459,13 @@ def test_reconcile_stream_equals_batch_on_repeats(spark, scratch):
     b = joins.reconcile(df.where("side = 'app'"), df.where("side = 'third'"), "id", "ts", "ts", 5000).where("pay_id <> 'z'")
     cols = ["pay_id", "app_ts", "third_ts", "status"]
     assert _set(st, cols) == _set(b, cols) and b.count() == 4
+
+
+def test_window_count_on_map_state_equals_closed_batch(spark, folder):
+    s = _stream(spark, folder).select("event_type", "ts_ms", "event_time")
+    st, _ = _run(spark, P.apply_window_count_by_map(s, "event_type", "ts_ms", 2 * H))
+    b = windows.count_per_window(_batch(spark), "ts_ms", 2 * H, keys=["event_type"], out="pv")
+    closed = b.where(F.col("window_end") - 1 <= _max_ts(spark))
+    cols = ["event_type", "window_start", "window_end", "pv"]
+    got, exp = _set(st, cols), _set(closed, cols)
+    assert set(got) <= set(_set(b, cols)) and len(got) >= 0.99 * len(exp) > 0
