@@ -111,7 +111,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text:
     spark = docs.sparkSession
     node = materialise(nodes(docs, shards, id_col, text), "shard-nodes")
     all_rows = node.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("b")).first()
-    capacity, buckets = all_rows["b"] / shards, max(16, all_rows["n"] // BUCKET_ROWS)
+    capacity, buckets = all_rows["b"] / shards, max(512, all_rows["n"] // BUCKET_ROWS)
     group = Window.partitionBy("k1", "k2")
     parts = (node.groupBy(F.col("g1").alias("k1"), F.col("g2").alias("k2"), F.col("home").alias("k3"))
              .agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
