@@ -69,10 +69,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rep
     # a document's own positions: bounded by its text
     covered = (later.groupBy("doc", "mark").agg(F.sort_array(F.collect_set("pos")).alias("covered"))
                .select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), "covered"))
-    mark, doc, hit, lines, kept = fresh(docs, "mark", "doc_key", "covered", "lines", "kept")
-    covered = covered.toDF(doc, f"{mark}_r", hit)
+    mark, doc, same, hit, lines, kept = fresh(docs, "mark", "doc_key", "mark_key", "covered", "lines", "kept")
+    covered = covered.toDF(doc, same, hit)
     marked = docs.withColumn(mark, F.xxhash64(F.col(text)))
-    joined = marked.join(covered, F.col(id_col).eqNullSafe(F.col(doc)) & (F.col(mark) == F.col(f"{mark}_r")), "left")
+    joined = marked.join(covered, F.col(id_col).eqNullSafe(F.col(doc)) & (F.col(mark) == F.col(same)), "left")
     # the stretches before, between and after the merged windows
     m = F.size(hit)
     start = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.element_at(hit, F.greatest(k, F.lit(1))) + SPAN)
