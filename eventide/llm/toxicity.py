@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import held_out, labelled_sample, materialise
+from eventide.llm.common import fresh, held_out, labelled_sample, materialise
 
 # Ordinary insults with weights, and phrases in which they are harmless.
 BASE_LEXICON = {"idiot": 3.0, "moron": 3.0, "imbecile": 3.0, "stupid": 2.0, "dumbass": 3.0, "loser": 2.0,
@@ -48,6 +48,7 @@ SAMPLE_ROWS = 16_000          # labelled texts that the lexicon is learned from,
 STEM_MIN, STEM_MAX = 4, 14    # letters of a learned stem
 MIN_CONTEXTS = 5              # different contexts a learned stem needs in toxic texts
 MIN_TOXIC_SHARE = 0.95        # of a learned stem's contexts
+PURER = 0.002                 # toxic share by which a longer stem is better than a shorter one
 THRESHOLD = 0.3
 
 
@@ -103,16 +104,17 @@ class ToxicityModel:
 
     def match(self, text: str | None) -> list[tuple[int, int, str, float]]:
         """(start, end, entry, weight) of the counted matches in folded text."""
-        t = fold(text or "")
-        a = self._matcher()
+        text, a = text or "", self._matcher()
         if not len(a):
             return []
         found, spared = [], []
-        for last, (term, weight) in a.iter(t):
-            start = last + 1 - len(term)
-            if start and t[start - 1].isalpha():
-                continue
-            (spared if weight is None else found).append((start, last + 1, term, weight))
+        # a 1 stands for an i or for an l; both foldings keep the places
+        for t in [fold(text), *([fold(text.replace("1", "l"))] if "1" in text else [])]:
+            for last, (term, weight) in a.iter(t):
+                start = last + 1 - len(term)
+                if start and t[start - 1].isalpha():
+                    continue
+                (spared if weight is None else found).append((start, last + 1, term, weight))
         if spared:
             found = [m for m in found if not any(s <= m[0] and m[1] <= e for s, e, _, _ in spared)]
         best = {}  # of the entries that begin at one place the longest counts
@@ -161,11 +163,38 @@ def _words_in_context(batches):
         yield pd.DataFrame(out, columns=["y", "word", "context"])
 
 
+def _counted_texts(sample: DataFrame, stems: list[str]) -> dict[str, tuple[int, int]]:
+    """For each stem the toxic and other texts that have it, as the distinct
+    contexts of its first place in a text: copies of a text count once, and
+    so does a long text with many words of one stem."""
+    known = set(stems)
+
+    def first_places(batches):
+        for pdf in batches:
+            out = []
+            for text, y in zip(pdf["text"], pdf["y"]):
+                words = ["", *_WORD.findall(fold(text or "")), ""]
+                first: dict[str, int] = {}
+                for i in range(1, len(words) - 1):
+                    for k in range(STEM_MIN, min(len(words[i]), STEM_MAX) + 1):
+                        stem = words[i][:k]
+                        if stem in known and stem not in first:
+                            first[stem] = zlib.crc32(f"{words[i - 1]} {words[i + 1]}".encode())
+                out += [(int(y), s, c) for s, c in first.items()]
+            yield pd.DataFrame(out, columns=["y", "stem", "context"])
+
+    rows = (sample.select("text", "y").mapInPandas(first_places, "y int, stem string, context long").distinct()
+            .groupBy("stem").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("o")).collect())
+    return {r["stem"]: (r["t"], r["o"]) for r in rows}
+
+
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     """Stems of toxic texts in ``sample`` (text, y) with log-odds weights.
 
-    A stem is kept if so many toxic contexts would hardly arise by chance
-    among all stems (binomial tail with Bonferroni's correction).
+    Candidates are the stems whose words' contexts are nearly all toxic and
+    more than chance would give among all stems (binomial tail with
+    Bonferroni's correction); kept are those that pass the same test when
+    only texts count.
     """
     words = (sample.select("text", "y").mapInPandas(_words_in_context, "y int, word string, context long")
              .distinct().groupBy("word", "y").count())
@@ -179,11 +208,19 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     rows = (stems.where((F.col("t") >= MIN_CONTEXTS) & (F.col("t") >= MIN_TOXIC_SHARE * (F.col("t") + F.col("o")))
                         & (F.col("t") * -math.log(rate) >= math.log(tests)))
             .collect())  # bounded by the sample
-    kept = {r["stem"]: (r["t"], r["o"]) for r in rows}
+    texts = {r["y"]: r["count"] for r in sample.select("text", "y").distinct().groupBy("y").count().collect()}
+    share = texts[1] / (texts[0] + texts[1])
+    kept = {s: (t, o) for s, (t, o) in _counted_texts(sample, [r["stem"] for r in rows]).items()
+            if t >= MIN_CONTEXTS and t >= MIN_TOXIC_SHARE * (t + o) and t * -math.log(share) >= math.log(tests)}
+    purest = {}  # the largest toxic share among a stem and those that extend it
+    for stem, (t, o) in kept.items():
+        for k in range(STEM_MIN, len(stem) + 1):
+            purest[stem[:k]] = max(purest.get(stem[:k], 0.0), t / (t + o))
     out: dict[str, float] = {}
-    for stem in sorted(kept, key=lambda k: (len(k), k)):  # a longer stem adds nothing to a kept shorter one
-        if not any(stem[:k] in out for k in range(STEM_MIN, len(stem))):
-            t, o = kept[stem]
+    for stem in sorted(kept, key=lambda k: (len(k), k)):
+        t, o = kept[stem]
+        # a longer stem adds nothing to a kept shorter one, unless it is purer
+        if t / (t + o) >= purest[stem] - PURER and not any(stem[:k] in out for k in range(STEM_MIN, len(stem))):
             out[stem] = round(math.log((t + 0.5) / (o + 0.5)), 6)
     return out
 
@@ -223,7 +260,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", sample_
             f = [m.features(t) for t in pdf["text"]]
             yield pd.DataFrame({"a": [v[0] for v in f], "b": [v[1] for v in f], "y": pdf["y"].to_numpy("int32")})
 
-    rows = sample.select("text", "y").mapInPandas(described, "a double, b double, y int").orderBy("a", "b", "y").toPandas()
+    rows = sample.select("text", "y").mapInPandas(described, "a double, b double, y int").toPandas()
+    rows = rows.sort_values(["a", "b", "y"])  # bounded by the sample; in one order whatever the layout
     if len(rows) and 0 < rows["y"].sum() < len(rows):
         model.curve = _fit_curve(rows[["a", "b"]].to_numpy(float), rows["y"].to_numpy(float))
     return model
@@ -244,9 +282,10 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
                              "matches": np.array([n for _, _, n in f], "int32")})
 
     kept = [c for c in docs.columns if c.lower() not in ("score", "predicted", "matches")]
-    return (docs.select(*[docs[c] for c in kept], scored(docs[text]).alias("_toxicity"))
-            .select(*kept, "_toxicity.score", (F.col("_toxicity.score") >= THRESHOLD).cast("int").alias("predicted"),
-                    "_toxicity.matches"))
+    own, = fresh(docs, "toxicity")
+    return (docs.select(*[docs[c] for c in kept], scored(docs[text]).alias(own))
+            .select(*kept, f"{own}.score", (F.col(f"{own}.score") >= THRESHOLD).cast("int").alias("predicted"),
+                    f"{own}.matches"))
 
 
 def toxicity_query(docs: DataFrame, labels: DataFrame) -> DataFrame:

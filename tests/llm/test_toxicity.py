@@ -14,6 +14,7 @@ def test_matches_exceptions_and_length():
     m = ToxicityModel(lexicon={"idiot": 3.0, "idiots": 4.0, "scum": 2.0}, exceptions=("pond scum",))
     assert [x[2] for x in m.match("An 1d10ts of IDIOT pond scum, scum; preidiot")] == ["idiots", "idiot", "scum"]
     assert m.match(None) == m.match("") == []
+    assert [x[2] for x in ToxicityModel().match("c1own l0ser w0rth1ess 1oser")] == ["clown", "loser", "worthless", "loser"]
     assert m.score("idiot") > m.score("idiot " + "word " * 500) > m.score("word " * 500) == m.score("") == m.score(None)
 
 
