@@ -35,8 +35,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = 1_000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches held to ``BATCH_ROWS`` rows:
+    10,000 texts at once would take most of a worker's memory."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(conf.get(name)) > BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents")
+    return small_batches(read_table(spark, sf_dir, "documents"))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import span_hashes
+from eventide.llm.common import small_batches, span_hashes
 
 LEAST, NORMAL, MOST = 8, 32, 128       # bytes of a chunk
 STRICT, LOOSE = 0xFE000000, 0xF0000000  # masks on the hash's top bits
@@ -220,6 +220,6 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "
                     held.append((i, t))
                     size += len(t)
 
-    ordered = in_order(docs, id_col, text)
+    ordered = in_order(small_batches(docs), id_col, text)
     return ordered.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                                    "edited_fingerprint string, near_edited double, near_next double")

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from eventide.llm.common import materialise, ranked, segments, slices, span_hashes, string_parts
+from eventide.llm.common import materialise, ranked, segments, slices, small_batches, span_hashes, string_parts
 
 LENGTH = 2048
 END = 1
@@ -174,7 +174,7 @@ def document_pieces(docs: DataFrame, path: str | None = None, id_col: str = "doc
                                              names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return (docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    return (small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
             .mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"))
 
 

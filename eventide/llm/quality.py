@@ -27,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import held_out, labelled_sample, segments, slices, span_hashes, string_parts
+from eventide.llm.common import held_out, labelled_sample, segments, slices, small_batches, span_hashes, string_parts
 
 BUCKETS = 8192
 DIM = 32
 NONZERO = 4            # entries of an index vector, half of them negative
 WINDOW = 2
-SLICE_BYTES = 1 << 20  # of text handled at once in a task
+SLICE_BYTES = 1 << 20  # of text whose neighbours a task counts at once
+POOL_BYTES = 1 << 18   # of text pooled at once: DIM numbers for each token
 SAMPLE_ROWS = 16_000   # labelled documents the network is trained on, at most
 HIDDEN = 24
 EPOCHS = 400
@@ -117,10 +118,10 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 def pooled(raw: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Feature rows (n, FEATURES) of the documents in one buffer."""
     n = len(offsets) - 1
-    cuts, row_of = segments(raw, offsets, SLICE_BYTES)  # sums of a long text's pieces add up
+    cuts, row_of = segments(raw, offsets, POOL_BYTES)  # sums of a long text's pieces add up
     count, total, square = np.zeros(n), np.zeros((n, DIM)), np.zeros((n, DIM))
     near, again, steps = np.zeros(n), np.zeros(n), np.zeros(n)
-    for i, j in slices(cuts, SLICE_BYTES):
+    for i, j in slices(cuts, POOL_BYTES):
         bucket, h, first = tokens(raw[cuts[i]:cuts[j]], cuts[i:j + 1] - cuts[i])
         some = np.flatnonzero(np.diff(first))
         if not len(some):
@@ -187,7 +188,7 @@ def train(x: np.ndarray, y: np.ndarray) -> dict:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> dict:
     """Word vectors from all documents, the network from a bounded sample."""
-    vectors = word_vectors(docs, text)
+    vectors = word_vectors(small_batches(docs), text)
     sample = labelled_sample(docs, labels, "quality", text, sample_rows)
 
     def described(batches):
@@ -225,7 +226,7 @@ def score_quality(docs: DataFrame, model: dict, text: str = "text") -> DataFrame
                                              names=[*kept, "score", "predicted"])
 
     schema = docs.select(*kept).schema.add("score", "double").add("predicted", "integer")
-    return docs.select(*kept).mapInArrow(scored, schema)
+    return small_batches(docs).select(*kept).mapInArrow(scored, schema)
 
 
 def quality_query(docs: DataFrame, labels: DataFrame) -> DataFrame:

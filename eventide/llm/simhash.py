@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import fresh, materialise
+from eventide.llm.common import fresh, materialise, small_batches
 
 SHINGLE = 4
 DISTANCE = 4
@@ -111,7 +111,7 @@ def add_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", shingl
             f = fingerprints_of(batch.column(0).to_pylist(), shingle)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(f.view(np.int64))], names=[*kept, out])
 
-    return docs.select(F.col(text).cast("string"), *kept).mapInArrow(run, docs.select(*kept).schema.add(out, "long"))
+    return small_batches(docs).select(F.col(text).cast("string"), *kept).mapInArrow(run, docs.select(*kept).schema.add(out, "long"))
 
 
 # --- vantage-point trees --------------------------------------------------------
@@ -342,13 +342,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group: that of the smallest id (null ids
     last; of rows that repeat an id the one with the smallest hash)."""
-    own, = fresh(docs, "row_hash")
+    own, kept_id, kept_hash = fresh(docs, "row_hash", "kept_id", "kept_hash")
     hashed = docs.withColumn(own, F.xxhash64(*docs.columns))
     marked = materialise(add_fingerprint(hashed.select(F.col(id_col).alias("id"), F.col(own).alias("h"), F.col(text).alias("text"))),
                          "simhash-rows")
     least = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("h").alias("h"))
-    kept = components(marked, least).select(F.col("component.id").alias("_kid"), F.col("component.h").alias("_kh")).distinct()
-    return (hashed.join(kept, F.col(id_col).eqNullSafe(F.col("_kid")) & (F.col(own) == F.col("_kh")), "left_semi")
+    kept = components(marked, least).select(F.col("component.id").alias(kept_id), F.col("component.h").alias(kept_hash)).distinct()
+    return (hashed.join(kept, F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.col(own) == F.col(kept_hash)), "left_semi")
             .dropDuplicates([id_col, own]).select(*docs.columns))
 
 

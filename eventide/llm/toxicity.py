@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import fresh, held_out, labelled_sample, materialise
+from eventide.llm.common import fresh, held_out, labelled_sample, materialise, small_batches
 
 # Ordinary insults with weights, and phrases in which they are harmless.
 BASE_LEXICON = {"idiot": 3.0, "moron": 3.0, "imbecile": 3.0, "stupid": 2.0, "dumbass": 3.0, "loser": 2.0,
@@ -283,7 +283,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
 
     kept = [c for c in docs.columns if c.lower() not in ("score", "predicted", "matches")]
     own, = fresh(docs, "toxicity")
-    return (docs.select(*[docs[c] for c in kept], scored(docs[text]).alias(own))
+    return (small_batches(docs).select(*[docs[c] for c in kept], scored(docs[text]).alias(own))
             .select(*kept, f"{own}.score", (F.col(f"{own}.score") >= THRESHOLD).cast("int").alias("predicted"),
                     f"{own}.matches"))
 

@@ -55,7 +55,7 @@ def test_long_text_in_pieces_pools_like_the_whole(monkeypatch):
     vectors /= np.sqrt((vectors ** 2).sum(1))[:, None]
     raw = np.frombuffer((words(random.Random(1), 4000)).encode(), np.uint8)
     whole = quality.pooled(raw, np.array([0, len(raw)]), vectors)
-    monkeypatch.setattr(quality, "SLICE_BYTES", 1000)
+    monkeypatch.setattr(quality, "POOL_BYTES", 1000)
     assert len(common.segments(raw, np.array([0, len(raw)]), 1000)[1]) > 10
     assert np.allclose(whole, quality.pooled(raw, np.array([0, len(raw)]), vectors), atol=0.01)
 
