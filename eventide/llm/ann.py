@@ -8,12 +8,19 @@ its own first symbol and at the next most likely ones, to the entries with the l
 prefix, and then ascends all trees at once, one symbol at a time, until the
 entries that share the prefix number ``wanted``; the entries of that level are
 scored with the exact cosine in double precision.  If one symbol is still too
-few, the query is held against all rows, in blocks.
+few, the query is held against all rows, in blocks.  An entry that several
+trees find counts about once.
+
+No query stops below a level whose recall holds: ``SAMPLE`` of the queries are
+held against all entries, and the deepest level is taken at which their
+descents would still reach ``RECALL`` of the true neighbours, or all rows if
+none does.  So recall does not depend on the number of rows.
 
 Equal vectors are searched once: a class of them is one entry that knows its
 smallest ids, so a vector that a third of all rows share costs one entry.
 Sorted arrays above ``BLOCK_ROWS`` entries are cut into blocks from counted
-sizes (``trees * 2 * dims`` numbers, the only thing collected).
+sizes.  Only these (``trees * 2 * dims`` numbers) and the sample with its
+neighbours (``SAMPLE * (k + 1)`` vectors) are collected.
 
 Defined results: vectors that are null, empty, zero, of another length than
 the most common one, or hold null or non-finite components take no part, neither as query nor as
@@ -40,6 +47,9 @@ AXES = 64              # of a rotation, at most
 PROBES = 6             # first symbols a query starts from in each tree
 BLOCK_ROWS = 65_536    # entries of one sorted array, at most
 BLOCK_QUERIES = 16_384
+ROOT_BLOCKS = 8        # blocks of all rows, at least
+SAMPLE = 256           # queries whose true neighbours are sought, at most
+RECALL = 0.97          # of the sample's true neighbours that a descent must reach
 SEED = 20_011
 
 
@@ -100,15 +110,17 @@ def _levels(queries: pa.Table, members: pa.Table) -> pa.Table:
     """Of one sorted array: entries sharing 1, 2, ... symbols with each query."""
     q = queries.column("hash").to_numpy()
     m = np.sort(members.column("hash").to_numpy())
-    ids, levels, counts = [], [], []
+    ids, trees, levels, counts = [], [], [], []
     for level in range(1, SYMBOLS + 1):
         width = 128 ** (SYMBOLS - level)
         low = q // width * width
         n = np.searchsorted(m, low + width) - np.searchsorted(m, low)
         ids.append(queries.column("class_id").to_numpy())
+        trees.append(queries.column("tree").to_numpy())
         levels.append(np.full(len(q), level, np.int32))
         counts.append(n.astype(np.int64))
-    return pa.table({"query_class": np.concatenate(ids), "level": np.concatenate(levels), "n": np.concatenate(counts)})
+    return pa.table({"query_class": np.concatenate(ids), "tree": np.concatenate(trees),
+                     "level": np.concatenate(levels), "n": np.concatenate(counts)})
 
 
 def _best(dim: int, k: int):
@@ -150,6 +162,73 @@ def _best(dim: int, k: int):
     return run
 
 
+def _true_neighbours(ids: np.ndarray, q: np.ndarray, k: int):
+    """The k nearest entries of a task's rows for each vector of the sample."""
+    def run(batches):
+        qn = q / np.sqrt((q * q).sum(1))[:, None]
+        names, score, vecs = np.empty((len(q), 0), np.int64), np.empty((len(q), 0)), np.empty((len(q), 0, q.shape[1]))
+        kind = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kind = batch.schema.field("v").type
+            m, own = _matrix(batch.column("v"), q.shape[1]), batch.column("class_id").to_numpy()
+            s = qn @ (m / np.sqrt((m * m).sum(1))[:, None]).T
+            s[ids[:, None] == own[None, :]] = -np.inf
+            top = np.argpartition(-s, min(k, s.shape[1]) - 1, axis=1)[:, :k]
+            names = np.concatenate([names, own[top]], 1)
+            score = np.concatenate([score, np.take_along_axis(s, top, 1)], 1)
+            vecs = np.concatenate([vecs, m[top]], 1)
+            top = np.argpartition(-score, min(k, score.shape[1]) - 1, axis=1)[:, :k]
+            names, score = np.take_along_axis(names, top, 1), np.take_along_axis(score, top, 1)
+            vecs = np.take_along_axis(vecs, top[:, :, None], 1)
+        real = score > -np.inf
+        if real.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(ids, score.shape[1])[real.ravel()]), pa.array(names[real]),
+                 pa.array(list(vecs[real]), pa.list_(kind.value_type)), pa.array(score[real])],
+                names=["query_class", "class_id", "v", "score"])
+    return run
+
+
+def _reached(q: np.ndarray, m: np.ndarray, trees: int, probes: int) -> np.ndarray:
+    """The most symbols by which a descent of ``q[i]`` finds ``m[i]`` in any tree."""
+    rot = _rotations(q.shape[1], trees)
+    q, m = [(x / np.sqrt((x * x).sum(1))[:, None]).astype(np.float32) for x in (q, m)]
+    best = np.zeros(len(q), np.int64)
+    for t in range(trees):
+        p = q @ rot[t, 0]
+        both = np.stack([-p, p], axis=2).reshape(len(q), -1)
+        firsts = np.argsort(-both, axis=1, kind="stable")[:, :probes]
+        same = (firsts == _symbols(m, rot[t, 0])[:, None]).any(1)
+        depth = same.astype(np.int64)
+        for s in range(1, SYMBOLS):
+            same &= _symbols(q, rot[t, s]) == _symbols(m, rot[t, s])
+            depth += same
+        best = np.maximum(best, depth)
+    return best
+
+
+def _deepest(entries: DataFrame, searched: DataFrame, level: DataFrame, dim: int, k: int, trees: int, probes: int) -> int:
+    """The deepest level at which the sample's descents reach ``RECALL``."""
+    sample = searched.orderBy(F.xxhash64("class_id"), "class_id").limit(SAMPLE).collect()
+    if not sample:
+        return SYMBOLS
+    ids, q = np.array([r["class_id"] for r in sample]), np.array([r["v"] for r in sample], np.float64)
+    near = Window.partitionBy("query_class").orderBy(F.desc("score"), "class_id")
+    element = entries.schema["v"].dataType.simpleString()
+    true = (entries.mapInArrow(_true_neighbours(ids, q, k), f"query_class long, class_id long, v {element}, score double")
+            .withColumn("r", F.row_number().over(near)).where(F.col("r") <= k).select("query_class", "v").collect())
+    if not true:
+        return SYMBOLS
+    stops = {r["class_id"]: r["level"] for r in level.where(F.col("class_id").isin(ids.tolist())).collect()}
+    at = {c: i for i, c in enumerate(ids.tolist())}
+    mine = np.array([at[r["query_class"]] for r in true])
+    found = _reached(q[mine], np.array([r["v"] for r in true], np.float64), trees, probes)
+    stop = np.array([stops.get(r["query_class"], 0) for r in true])
+    return next(x for x in range(SYMBOLS, -1, -1) if x == 0 or (found >= np.minimum(stop, x)).mean() >= RECALL)
+
+
 def _dealt(df: DataFrame, own: dict, other: dict, salt: Column, mine: str, theirs: str) -> DataFrame:
     """Rows with a block number of their own and one copy per block opposite.
 
@@ -205,7 +284,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     element = classes.schema["v"].dataType.simpleString()
     hashed = f"class_id long, v {element}, tree int, symbol int, hash long"
     members = entries.mapInArrow(_hashed(dim, trees, 1), hashed)
-    queries = searched.mapInArrow(_hashed(dim, trees, min(probes, 2 * min(AXES, dim))), hashed)
+    probes = min(probes, 2 * min(AXES, dim))
+    queries = searched.mapInArrow(_hashed(dim, trees, probes), hashed)
     large, many = _block_counts(members, BLOCK_ROWS), _block_counts(queries, BLOCK_QUERIES)
     salt = F.xxhash64("class_id")
     keys = ["tree", "symbol", "member_block", "query_block"]
@@ -213,17 +293,23 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     q = lambda df: _dealt(df, many, large, salt, "query_block", "member_block")
 
     counted = (q(queries.drop("v")).groupBy(*keys).cogroup(m(members.drop("v")).groupBy(*keys))
-               .applyInArrow(_levels, "query_class long, level int, n long"))
+               .applyInArrow(_levels, "query_class long, tree int, level int, n long"))
     enough = wanted(n)
-    level = (counted.groupBy("query_class", "level").agg(F.sum("n").alias("n"))
+    # different entries, as if each tree chose by itself: n (1 - product of (1 - share of the tree))
+    missed = F.exp(F.sum(F.log1p(-F.least(F.col("n") / n, F.lit(1 - 1e-12)))))
+    level = (counted.groupBy("query_class", "level", "tree").agg(F.sum("n").alias("n"))
+             .groupBy("query_class", "level").agg((n * (1 - missed)).alias("n"))
              .groupBy("query_class").agg(F.coalesce(F.max(F.when(F.col("n") >= enough, F.col("level"))), F.lit(0)).alias("level")))
     level = materialise(level.withColumnRenamed("query_class", "class_id"), "ann-levels")
+    if n >= enough:
+        deepest = _deepest(entries, searched, level, dim, k, trees, probes)
+        level = level.withColumn("level", F.least("level", F.lit(deepest)))
 
     stopped = q(queries).join(level.where("level > 0"), "class_id")
     found = (stopped.groupBy(*keys).cogroup(m(members).groupBy(*keys))
              .applyInArrow(_best(dim, k + 1), "query_class long, class_id long, score double"))
     # the top of the climb: the remaining queries against all entries, in blocks
-    blocks, query_blocks = -(-n // BLOCK_ROWS), max(1, n // (50 * BLOCK_QUERIES))
+    blocks, query_blocks = max(ROOT_BLOCKS, -(-n // BLOCK_ROWS)), max(1, n // (50 * BLOCK_QUERIES))
     rest = (searched.join(level.where("level = 0"), "class_id").withColumn("hash", F.lit(0).cast("long"))
             .withColumn("query_block", F.pmod(salt, F.lit(query_blocks)).cast("int"))
             .withColumn("member_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))

@@ -45,6 +45,14 @@ def test_forest_recall_against_brute_force(spark, monkeypatch):
     assert hit >= 0.9 * 5 * len(exp)
 
 
+def test_recall_holds_where_the_count_would_stop_too_deep(spark, monkeypatch):
+    monkeypatch.setattr(ann, "wanted", lambda n: 3)  # as a large table fills its deep levels
+    v = np.random.default_rng(6).standard_normal((6000, 32))
+    exp, got = brute(v, list(range(6000)), range(0, 6000, 50)), search(vectors(spark, v))
+    hit = sum(len({x[0] for x in exp[q]} & {x[0] for x in got[q]}) for q in exp)
+    assert hit >= 0.95 * 5 * len(exp)
+
+
 def test_blocks_of_large_arrays(spark, monkeypatch):
     v = np.random.default_rng(3).standard_normal((400, 8))
     a = search(vectors(spark, v))
