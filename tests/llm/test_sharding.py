@@ -46,6 +46,20 @@ def test_group_larger_than_a_shard_is_split_evenly(spark):
     assert len(used) < sharding.SHARDS  # the group gathers where there is room
 
 
+def test_mostly_small_groups_stay_whole_and_even(spark):
+    for size, linked in ((2, 1.0), (3, 0.8)):
+        n = int(4800 * linked) // size
+        data = [(i, f"copy {i // size} " + "y" * 60, None, None, 0) for i in range(n * size)]
+        data += [(9000 + i, f"single {i} " + "y" * 60, None, None, 0) for i in range(4800 - n * size)]
+        got, load = check(spark, data)
+        assert max(load) < 1.02 * sum(load) / len(load) and min(load) > 0.98 * sum(load) / len(load)
+        where = defaultdict(set)
+        for r in got:
+            if r["doc_id"] < 9000:
+                where[r["doc_id"] // size].add(r["shard"])
+        assert len(where) == n and sum(len(s) > 1 for s in where.values()) < sharding.SHARDS
+
+
 def test_levels():
     assert sharding._levels([0, 0, 0], 9) == [3, 3, 3]
     assert sharding._levels([5, 0, 1], 3) == [0, 2, 1]
