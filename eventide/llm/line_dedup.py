@@ -7,6 +7,10 @@ positions of its document; covered positions are merged and those lines go.
 A removed line always has an equal one at an earlier place, so no line of the
 corpus is lost altogether.
 
+With ``long_words`` (the pipeline's stage: 50) a passage of one or two lines
+that holds so many words is a window by itself, whatever stands around it.
+Passages that share only a part of a line are not caught.
+
 Only DataFrame functions: windows are counted with map-side partial sums, a
 passage that a third of all documents share is one row after them; occurrences
 meet the repeated windows in an equi-join whose hot keys Spark splits.
@@ -23,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import fresh
+from eventide.llm.common import WORD, fresh
 
 BLANKS = " \t\r"
 SPAN = 3
@@ -33,8 +37,29 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def long_windows(docs: DataFrame, words: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, mark, pos, h1, h2, span): windows of one line of ``words`` words or
+    more, and of two lines that reach them together and not by themselves."""
+    lines = F.transform(_lines(F.col("t")), lambda x: F.trim(x, F.lit(BLANKS)))
+    # a text with fewer characters cannot hold so many words
+    count = lambda x: F.regexp_count(x, F.lit(WORD))
+    at = lambda k: F.element_at("l", F.col("i") + k)
+    n = lambda k: F.element_at("n", F.col("i") + k)
+    two = (F.col("i") < F.size("l")) & (n(0) < words) & (n(0) > 0)
+    rows = (docs.where(F.length(text) >= 2 * words - 1)
+            .select(F.col(id_col).alias("doc"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("t"))
+            .select("doc", "mark", lines.alias("l")).withColumn("n", F.transform("l", count))
+            .withColumn("i", F.explode(F.sequence(F.lit(1), F.size("l")))))
+    one = rows.where(n(0) >= words).select("doc", "mark", (F.col("i") - 1).alias("pos"), F.xxhash64(at(0)).alias("h1"),
+                                           F.xxhash64(F.lit(1), at(0), F.length(at(0))).alias("h2"), F.lit(1).alias("span"))
+    pair = rows.where(two).where((n(1) < words) & (n(1) > 0) & (n(0) + n(1) >= words)) \
+        .select("doc", "mark", (F.col("i") - 1).alias("pos"), F.xxhash64(at(0), at(1)).alias("h1"),
+                F.xxhash64(F.lit(2), at(1), at(0)).alias("h2"), F.lit(2).alias("span"))
+    return one.unionByName(pair)
+
+
 def window_occurrences(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, mark, pos, h1, h2): a row for each window; ``mark`` tells the texts of one id apart."""
+    """(doc, mark, pos, h1, h2, span): a row for each window; ``mark`` tells the texts of one id apart."""
     lines = F.transform(_lines(F.col("t")), lambda x: F.trim(x, F.lit(BLANKS)))
     at = lambda k: F.element_at(F.col("l"), F.col("pos") + k)
     return (docs.where(F.col(text).contains("\n"))
@@ -48,24 +73,29 @@ def window_occurrences(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
                     F.xxhash64(F.lit(SPAN), F.element_at("l", i + 2), F.element_at("l", i + 1), F.element_at("l", i)).alias("h2"),
                     (F.length(F.element_at("l", i)) + F.length(F.element_at("l", i + 1)) + F.length(F.element_at("l", i + 2))
                      > 0).alias("any")))).alias("w"))
-            .where("w.any").select("doc", "mark", "w.pos", "w.h1", "w.h2"))
+            .where("w.any").select("doc", "mark", "w.pos", "w.h1", "w.h2", F.lit(SPAN).alias("span")))
 
 
 def later_occurrences(occurrences: DataFrame) -> DataFrame:
-    """(doc, mark, pos) of every occurrence of a repeated window but its first."""
+    """(doc, mark, pos, span) of every occurrence of a repeated window but its first."""
     firsts = (occurrences.groupBy(F.col("h1").alias("k1"), F.col("h2").alias("k2"))
               .agg(F.min(F.struct("doc", "pos", "mark")).alias("first"), F.count(F.lit(1)).alias("n"))
               .where("n > 1"))
     same = (F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("pos") == F.col("first.pos"))
             & (F.col("mark") == F.col("first.mark")))
     return (occurrences.join(firsts, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
-            .where(~same).select("doc", "mark", "pos"))
+            .where(~same).select("doc", "mark", "pos", "span"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", report: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", report: bool = False,
+                long_words: int | None = None) -> DataFrame:
     """``docs`` without repeated passages; with ``report`` also the columns
-    ``n_lines`` and ``removed_lines`` (in place of any of those names)."""
-    later = later_occurrences(window_occurrences(docs, id_col, text))
+    ``n_lines`` and ``removed_lines`` (in place of any of those names).  With
+    ``long_words``, one or two lines that hold so many words are a window too."""
+    windows = window_occurrences(docs, id_col, text)
+    if long_words:
+        windows = windows.unionByName(long_windows(docs, long_words, id_col, text))
+    later = later_occurrences(windows).withColumn("pos", F.explode(F.sequence("pos", F.col("pos") + F.col("span") - 1)))
     # a document's own positions: bounded by its text
     covered = (later.groupBy("doc", "mark").agg(F.sort_array(F.collect_set("pos")).alias("covered"))
                .select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), "covered"))
@@ -73,9 +103,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rep
     covered = covered.toDF(doc, same, hit)
     marked = docs.withColumn(mark, F.xxhash64(F.col(text)))
     joined = marked.join(covered, F.col(id_col).eqNullSafe(F.col(doc)) & (F.col(mark) == F.col(same)), "left")
-    # the stretches before, between and after the merged windows
+    # the stretches before, between and after the covered lines
     m = F.size(hit)
-    start = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.element_at(hit, F.greatest(k, F.lit(1))) + SPAN)
+    start = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.element_at(hit, F.greatest(k, F.lit(1))) + 1)
     end = lambda k: F.when(k == m, F.size(lines)).otherwise(F.element_at(hit, F.least(k + 1, m)))
     pieces = F.flatten(F.transform(F.sequence(F.lit(0), m), lambda k: F.slice(
         F.col(lines), start(k) + 1, F.greatest(end(k) - start(k), F.lit(0)))))

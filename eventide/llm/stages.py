@@ -22,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat an earlier passage."""
     from eventide.llm.line_dedup import dedup_lines
-    return dedup_lines(docs)
+    return dedup_lines(docs, long_words=50)
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,14 @@ def test_shared_passages_blank_windows_and_overlaps(spark):
     assert gone[(True, 5, data[4][1])] == data[4][1] and gone[(True, 8, data[7][1])] == "p"
 
 
+def test_long_passages_of_one_and_two_lines(spark):
+    from eventide.llm import stages
+    p, a, b = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("p", 55), ("a", 30), ("b", 30)))
+    texts = {1: f"x\n{p}\ny", 2: f"u\n {p}\t\nv", 3: p, 4: f"k\n{a}\n{b}\nl", 5: f"m\n{a}\n{b}\nn", 6: f"o\n{a}\nq"}
+    got = {r["doc_id"]: r["text"] for r in stages.line_dedup(spark, frame(spark, [(i, t, None, None, 0) for i, t in texts.items()]), "").collect()}
+    assert got == texts | {2: "u\nv", 3: "", 5: "m\nn"}
+
+
 def test_columns_and_report(spark):
     df = frame(spark, clash=True)
     got = dedup_lines(df)
