@@ -1,14 +1,14 @@
-"""Mixing sources to target sizes by Pareto order sampling.
+"""Mixing sources to target sizes by random order within each source.
 
 The sources, in code-point order with null last, weigh 5, 2, 1, 5, 2, 1, ...
 and share ``BUDGET`` times the words of the corpus.  A source's target stops
 at ``MAX_REPEAT`` times its words; what lies above is shared among the rest by
 weight until no target is above.  A source whose target is t times its words
 gives floor(t) certain whole copies of every document; for the fraction f left
-its documents are ranked by Pareto's order, random odds over inclusion odds
-(u / (1 - u)) / (f / (1 - f)), and taken in that order up to the document that
-brings the words nearest to the target.  The odds differ between sources, the
-number taken is fixed, not random.
+its documents are ranked by u and taken in that order up to the document that
+brings the words nearest to the target.  Pareto's order, random odds over
+inclusion odds (u / (1 - u)) / (f / (1 - f)), is the same one, since f is equal
+within a source: a simple random sample of each source, no odds are computed.
 
 u comes from a digest of id and text, so reruns agree.  Only DataFrame
 functions: a source's documents are ranked in buckets of u, so one source may
