@@ -165,7 +165,7 @@ def test_followed_by_deadline_is_strict(spark):
 
 
 def test_process_window_user_code_matches_builtin(spark):
-    from conftest import SF_SMALL
+    from data_dirs import SF_SMALL
     from eventide.operators import windows
     from eventide.sources.tables import events
     ev = events(spark, SF_SMALL)

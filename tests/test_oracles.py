@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from eventide import catalog
-from conftest import SF_SMALL
+from data_dirs import SF_SMALL
 
 TABLES = ["orders", "lineitem", "events"]
 NAMES = sorted(catalog.ORACLES)

@@ -8,7 +8,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from data_dirs import SF_SMALL
 from eventide.operators import sinks
 from eventide.session import shared_path
 from eventide.sources.streams import event_stream, text_lines
