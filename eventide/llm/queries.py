@@ -95,3 +95,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.fingerprints import fingerprint_documents
     return fingerprint_documents(documents(spark, sf_dir))
+
+
+def _audit_oracle() -> str:
+    from eventide.llm.filter_audit import ORACLE
+    return ORACLE
+
+
+@query("op11_filter_audit", _audit_oracle())
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.filter_audit import audit_query
+    return audit_query(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
