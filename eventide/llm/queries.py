@@ -106,3 +106,9 @@ def _audit_oracle() -> str:
 def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.filter_audit import audit_query
     return audit_query(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.token_alignment import alignment_query
+    return alignment_query(documents(spark, sf_dir))
