@@ -42,7 +42,8 @@ from pyspark.sql.window import Window
 from eventide.llm.common import materialise, slices, string_parts
 
 SLICE_BYTES = 4 << 20
-CACHE_UNITS = 200_000       # aligned units a worker remembers before it starts anew
+RUN_BYTES = 1 << 15         # units laid end to end for one call of a tokenizer
+CACHE_UNITS = 300_000       # aligned units a worker remembers before it starts anew
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
@@ -109,6 +110,8 @@ class Aligner:
         self.b = SentencePieceProcessor(model_file=b_path)
         self.a_bytes, self.b_bytes = byte_level_entries(self.a), piece_entries(self.b)
         self.a_size, self.b_size = (np.array([len(x) for x in v]) for v in (self.a_bytes, self.b_bytes))
+        self.a_table, self.b_table = (pa.array(v, pa.binary()) for v in (self.a_bytes, self.b_bytes))
+        self.digits = pa.array([str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))], pa.string())
         self.blank = self.b.piece_to_id("▁")
         self.check()
         self.forget()
@@ -127,16 +130,57 @@ class Aligner:
         self.first = np.zeros(1, np.int64)                # of a unit's pairs
         self.pair, self.times = np.empty(0, np.int64), np.empty(0, np.int64)
 
+    def encode(self, units: list[bytes]) -> tuple[list[bytes], tuple, tuple]:
+        """The units in a new order, and (ids, first id of each unit) of A and of B.
+
+        Units that end in a visible character tokenize alike side by side and
+        alone, so they are laid end to end and cut again by the bytes of the
+        tokens; the others, and those whose run does not come back byte for
+        byte, go one by one.
+        """
+        size = np.array([len(u) for u in units])
+        tail = np.array([u[-1] for u in units])
+        head = np.array([u[-2] if len(u) > 1 else 0 for u in units])
+        joins = ((tail > 32) & (tail < 127)) | ((head == 0xC3) & (tail >= 128))
+        side, alone = np.flatnonzero(joins), np.flatnonzero(~joins).tolist()
+        runs = np.split(side, np.flatnonzero(np.diff(np.cumsum(size[side]) // RUN_BYTES)) + 1) if len(side) else []
+        texts = [b"".join(map(units.__getitem__, r.tolist())) for r in runs]
+        said = [t.decode() for t in texts]
+        order, ids, counts = [], ([], []), ([], [])
+        for r, text, *both in zip(runs, texts, self._a(said), self._b(said)):
+            cuts, ends = np.cumsum(size[r]), [np.cumsum(n[x]) for n, x in zip((self.a_size, self.b_size), both)]
+            if not all(len(e) and e[-1] == len(text) and np.isin(cuts, e).all() and b"".join(map(v.__getitem__, x.tolist())) == text
+                       for e, x, v in zip(ends, both, (self.a_bytes, self.b_bytes))):
+                alone += r.tolist()
+                continue
+            order += r.tolist()
+            for k in (0, 1):
+                ids[k].append(both[k])
+                counts[k].append(np.diff(np.searchsorted(ends[k], cuts), prepend=-1))
+        one = [units[u].decode() for u in alone]
+        for k, got in enumerate((self._a(one), self._b(one))):
+            ids[k].extend(got)
+            counts[k].append(np.array([len(x) for x in got], np.int64))
+        sides = [(np.concatenate(x), np.concatenate([[0], np.cumsum(np.concatenate(n))])) for x, n in zip(ids, counts)]
+        return [units[u] for u in order + alone], *sides
+
+    def _a(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _b(self, texts: list[str]) -> list[np.ndarray]:
+        """Texts begin with the blank that the model adds by itself, but to an empty text."""
+        return [np.array(x if t != " " else [self.blank], np.int64)
+                for t, x in zip(texts, self.b.encode([t[1:] for t in texts], num_threads=1))]
+
     def learn(self, units: list[bytes]) -> None:
-        texts = [u.decode() for u in units]
-        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        b = [x if u != b" " else [self.blank] for u, x in zip(units, self.b.encode([t[1:] for t in texts], num_threads=1))]
-        whole = np.array([b"".join(map(self.a_bytes.__getitem__, x)) == u and b"".join(map(self.b_bytes.__getitem__, y)) == u
-                          for u, x, y in zip(units, a, b)], bool)
-        a = [x if ok else [] for x, ok in zip(a, whole.tolist())]
-        b = [x if ok else [] for x, ok in zip(b, whole.tolist())]
-        n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
-        a_ids, b_ids = (np.fromiter((i for x in side for i in x), np.int64, n.sum()) for side, n in ((a, n_a), (b, n_b)))
+        units, (a_ids, a_first), (b_ids, b_first) = self.encode(units)
+        given = pa.array(units, pa.binary())
+        whole = np.ones(len(units), bool)
+        for ids, first, entries in ((a_ids, a_first, self.a_table), (b_ids, b_first, self.b_table)):
+            back = _joined(entries.take(ids), first, b"")
+            whole &= pc.equal(back, given).to_numpy(zero_copy_only=False)
+        a_ids, b_ids = a_ids[np.repeat(whole, np.diff(a_first))], b_ids[np.repeat(whole, np.diff(b_first))]
+        n_a, n_b = np.diff(a_first) * whole, np.diff(b_first) * whole
         a_group, b_group, left, right = coalesce(self.a_size[a_ids], self.b_size[b_ids])
         unit_of_a = np.repeat(np.arange(len(units)), n_a)
         n = int(a_group[-1]) + 1 if len(a_group) else 0
@@ -144,17 +188,11 @@ class Aligner:
         unit_of_group[a_group] = unit_of_a
         n_groups = np.bincount(unit_of_group, minlength=len(units))
         n_links = np.bincount(unit_of_a[left], minlength=len(units))
-        # the groups as text
-        sa, sb = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-        ea, eb = np.cumsum(np.bincount(a_group, minlength=n)).tolist(), np.cumsum(np.bincount(b_group, minlength=n)).tolist()
-        said, i, j = [], 0, 0
-        for x, y in zip(ea, eb):
-            said.append(",".join(sa[i:x]) + "|" + ",".join(sb[j:y]))
-            i, j = x, y
-        at = 0
-        for k in n_groups.tolist():
-            self.groups.append(";".join(said[at:at + k]))
-            at += k
+        # the groups as text: ids joined by commas, sides by a bar, groups by semicolons
+        def sides(ids, group):
+            return _joined(self.digits.take(ids), np.searchsorted(group, np.arange(n + 1)), ",")
+        said = pc.binary_join_element_wise(sides(a_ids, a_group), sides(b_ids, b_group), "|")
+        self.groups += _joined(said, np.concatenate([[0], np.cumsum(n_groups)]), ";").to_pylist()
         # each unit's pairs and how often it has them
         pair, unit = a_ids[left] << 32 | b_ids[right], unit_of_a[left]
         order = np.lexsort((pair, unit))
@@ -213,6 +251,11 @@ class Aligner:
                 "places": place, "times": times, "ends": np.cumsum(np.bincount(row, minlength=n))}
 
 
+def _joined(values: pa.Array, first: np.ndarray, between) -> pa.Array:
+    """Runs of values joined; run i is ``values[first[i]:first[i + 1]]``."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(first, pa.int32()), values), pa.scalar(between, values.type))
+
+
 def _summed(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order and the sum of their values."""
     if not len(key):
