@@ -112,3 +112,14 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.token_alignment import alignment_query
     return alignment_query(documents(spark, sf_dir))
+
+
+def _license_oracle() -> str:
+    from eventide.llm.license_scan import oracle
+    return oracle()
+
+
+@query("op13_licenses", _license_oracle())
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.license_scan import licenses
+    return licenses(documents(spark, sf_dir))
