@@ -105,7 +105,9 @@ def detections(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
               .withColumn("label", F.when(F.col("ord").isNotNull(), told("label"))))
     rule = F.col("tier") < 4
     order = Window.partitionBy("row").orderBy("start", F.desc("end"), "ord")
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    # the rows that follow, read backwards: a frame to the end of the group would be computed anew for each row
+    after = Window.partitionBy("row").orderBy(F.desc("start"), "end", F.desc("ord")).rowsBetween(Window.unboundedPreceding, -1)
     outer = placed.withColumn("alone", rule & (F.coalesce(F.max(F.when(rule, F.col("end"))).over(before), F.lit(0)) < F.col("end")))
     overlaps = F.lit(False)
     for tier in (1, 2):
