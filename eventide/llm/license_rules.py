@@ -19,7 +19,7 @@ _GRANT = "(licensed|released|distributed|available|published|provided|covered)(
 _NAMED = [
     ("agpl-3.0", "affero", "gnu affero general public license( as published by the free software foundation)?( either)?( version)?( v)? ?3( 0)?", "agpl 3 0( only| or later)?"),
     ("agpl", "affero", "(gnu )?affero general public licen[cs]e", "agpl 1 0( only| or later)?"),
-    ("lgpl-2.1", "lesser", "(gnu )?(lesser|library) general public licen[cs]e( either)?( version)? (v2|2) 1", "lgpl 2 1( only| or later)?"),
+    ("lgpl-2.1", "general", "(gnu )?(lesser|library) general public licen[cs]e( either)?( version)? (v2|2) 1", "lgpl 2 1( only| or later)?"),
     ("lgpl-3.0", "lesser", "(gnu )?lesser general public licen[cs]e( either)?( version)? v?3( 0)?", "lgpl 3 0( only| or later)?"),
     ("lgpl", "general", "(gnu )?(lesser|library) general public licen[cs]e", "lgpl 2 0( only| or later)?"),
     ("gpl-2.0", "general", "(gnu )?general public licen[cs]e( as published by the free software foundation)?( either)?( version)? v?2( 0)?", "gpl 2 0( only| or later)?"),
@@ -29,7 +29,7 @@ _NAMED = [
     ("apache-2.0", "apache", "apache( software)? licen[cs]e( version)? (v2|2)( 0)?", "apache 2 0"),
     ("apache-1.1", "apache", "apache( software)? licen[cs]e( version)? 1 1", "apache 1 1"),
     ("apache-1.0", "apache", "apache( software)? licen[cs]e( version)? 1 0", "apache 1 0"),
-    ("mit-0", "mit", "mit no attribution( licen[cs]e)?", "mit 0"),
+    ("mit-0", "mit", "mit no attribution licen[cs]e", "mit 0"),
     ("mit", "mit", "mit( style| x11)? licen[cs]e", "mit"),
     ("x11", "x11", "x11 licen[cs]e", "x11"),
     ("bsd-4-clause", "bsd", "(4|four) clause bsd licen[cs]e", "bsd 4 clause( uc)?"),
@@ -135,8 +135,8 @@ _WORDINGS = [
     ("unlicense", 1, "unencumbered", "this is free and unencumbered software released into the public domain"),
     ("unlicense", 1, "anyone", "anyone is free to copy modify publish use compile sell or distribute this software"),
     ("wtfpl", 1, "want", "you just do what the ~ you want to"),
-    ("beerware", 1, "beer", "as long as you retain this notice you can do whatever you want with this stuff"),
-    ("json", 1, "evil", "the software shall be used for good not evil"),
+    ("beerware", 1, "retain", "as long as you retain this notice you can do whatever you want with this stuff"),
+    ("json", 1, "software", "the software shall be used for good not evil"),
     ("ofl-1.1", 1, "font", "this font software is licensed under the sil open font license version 1 1"),
     ("postgresql", 1, "permission", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
     ("hpnd", 1, "permission", "permission to use copy modify and distribute this software and its documentation for any purpose and without fee is hereby granted"),
@@ -157,7 +157,8 @@ _WORDINGS = [
     ("proprietary", 2, "reproduced", "no part of this (publication|work|document|book) may be reproduced( or transmitted)?"),
     ("proprietary", 2, "permission", "without( the)?( express| prior)?( express| prior)? written permission of the (publisher|author|owner|copyright holder)"),
     ("proprietary", 2, "trade", "contains trade secrets"),
-    ("proprietary", 3, "eula", "(end user licen[cs]e agreement|eula)"),
+    ("proprietary", 3, "agreement", "end user licen[cs]e agreement"),
+    ("proprietary", 3, "eula", "eula"),
     ("commercial", 2, "commercial", "commercial licen[cs]e( agreement)?"),
     ("commercial", 2, "purchase", "requires( the)? purchase of a licen[cs]e"),
     ("evaluation", 2, "evaluation", "for evaluation( purposes)? only"),

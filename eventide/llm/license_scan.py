@@ -37,7 +37,7 @@ BASE = {"mit license": "mit", "apache license": "apache", "general public licens
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: What parts words, in lower-cased and in raw texts.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RAW_GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def over_words(expression: str) -> str:
@@ -62,10 +62,12 @@ def signatures() -> list[dict]:
             for i, (label, tier, e, gate, keyword) in enumerate(found)]
 
 
+def _words(text: Column, gaps: str) -> Column:
+    return F.filter(F.split(text, gaps, -1), lambda w: w != "")
+
+
 def _spaced_words(text: Column) -> Column:
-    lower = F.translate(text, UPPER, UPPER.lower())
-    words = F.filter(F.split(lower, GAPS, -1), lambda w: w != "")
-    return F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))
+    return F.concat(F.lit(" "), F.array_join(_words(F.translate(text, UPPER, UPPER.lower()), GAPS), "  "), F.lit(" "))
 
 
 def _word_count(c: Column) -> Column:
@@ -82,7 +84,7 @@ def detections(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     t = F.coalesce(F.col(text), F.lit(""))
     gated = F.lit(False)
     for word in sorted({s["gate"] for s in known}):
-        gated = gated | F.lower(t).contains(word)
+        gated = gated | F.col("_lower").contains(word)
 
     def matches(rule: Column) -> Column:
         pairs = F.zip_with(F.split(F.col("_words"), rule["pattern"], -1), F.regexp_extract_all(F.col("_words"), rule["pattern"], F.lit(0)),
@@ -92,8 +94,9 @@ def detections(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 
     gates = lambda r: F.col("_words").contains(r["gate"]) & F.col("_words").contains(r["keyword"])
     found = F.when(F.col("_words").isNotNull(), F.flatten(F.transform(F.filter(table, gates), matches)))
-    rows = (docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
-                        F.regexp_count(t, F.lit(RAW_WORD)).cast("long").alias("n_words"), F.when(gated, _spaced_words(t)).alias("_words"))
+    rows = (docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), t.alias("_text"), F.lower(t).alias("_lower"))
+            .select("row", "doc_id", F.size(_words(F.col("_text"), RAW_GAPS)).cast("long").alias("n_words"),
+                    F.when(gated, _spaced_words(F.col("_text"))).alias("_words"))
             .select("row", "doc_id", "n_words", F.explode_outer(found).alias("m")).select("row", "doc_id", "n_words", "m.*")
             .repartition("row"))
     nth = F.col("ord") + 1

@@ -82,6 +82,8 @@ def _sample(rng, parsed):
             out += _sample(rng, rng.choice(arg[1]))
         elif name == "MAX_REPEAT":
             out += "".join(_sample(rng, arg[2]) for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 1))))
+        elif name == "NOT_LITERAL":
+            out += "w"
         elif name == "IN":
             negated = str(arg[0][0]) == "NEGATE"
             out += "w" if negated else chr(rng.choice([x for k, v in arg for x in ([v] if str(k) == "LITERAL" else range(v[0], v[1] + 1))]))
