@@ -30,6 +30,7 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 
 import numpy as np
@@ -41,9 +42,9 @@ from pyspark.sql.window import Window
 
 from eventide.llm.common import materialise, slices, string_parts
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 RUN_BYTES = 1 << 15         # units laid end to end for one call of a tokenizer
-CACHE_UNITS = 300_000       # aligned units a worker remembers before it starts anew
+CACHE_UNITS = 80_000        # aligned units a worker remembers before it starts anew
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
@@ -103,6 +104,7 @@ class Aligner:
     """Two tokenizers and the aligned units met so far."""
 
     def __init__(self, a_path: str, b_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"     # a task has one core
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_file(a_path)
