@@ -36,17 +36,49 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 BATCH_ROWS = 1_000
+BATCH_BYTES = 4 << 20
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, with the session's Arrow batches held to ``BATCH_ROWS`` rows:
-    10,000 texts at once would take most of a worker's memory."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(conf.get(name)) > BATCH_ROWS:
-        conf.set(name, str(BATCH_ROWS))
+    """``df``, with the session's Arrow batches held to ``BATCH_ROWS`` rows and
+    ``BATCH_BYTES`` (a longer text is a batch by itself): 10,000 texts at once,
+    or a thousand of 1 MB, would take a worker's memory.
+
+    These are settings of the session: Spark reads them when a job runs, which
+    for a returned frame is later, so they stay.
+    """
+    conf, rows, size = df.sparkSession.conf, *(f"spark.sql.execution.arrow.{x}" for x in ("maxRecordsPerBatch", "maxBytesPerBatch"))
+    if not 0 < int(conf.get(rows)) <= BATCH_ROWS:
+        conf.set(rows, str(BATCH_ROWS))
+    if df.sparkSession._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch() > BATCH_BYTES:
+        conf.set(size, str(BATCH_BYTES))
     return df
 
 
+def frugal(fn):
+    """``fn`` over Arrow batches, giving freed memory back to the machine.
+
+    A Python worker stays when its task ends, and the allocators keep what
+    they once took; beside a JVM at its full heap that adds up.
+    """
+    def run(batches):
+        try:
+            for out in fn(batches):
+                yield out
+                give_back_memory()
+        finally:
+            give_back_memory()
+    return run
+
+
+def give_back_memory() -> None:
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return small_batches(read_table(spark, sf_dir, "documents"))
 

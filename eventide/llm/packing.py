@@ -5,6 +5,8 @@ pieces of ``LENGTH`` and one rest.  Whole pieces are sequences by themselves.
 The rests are the items of a cutting-stock problem whose demands are the
 histogram of their lengths, in classes ``UNIT`` tokens wide:
 
+* items of one short length go in bundles of eight or four, which fill whole
+  units without rounding, so short documents pack as tightly as long ones;
 * a linear program over patterns (how many items of each class share one
   sequence) is solved by the simplex method, its columns generated by a
   knapsack dynamic program over the dual prices until no pattern prices out;
@@ -20,13 +22,15 @@ known by a 64-bit hash; texts are cut where the tokenizer itself always cuts
 through it.
 
 Defined results: null and empty texts are the single id ``END``; strings of
-special tokens in a text are ordinary text; repeated rows are packed each;
+special tokens in a text are those tokens, as the tokenizer reads them by
+itself; repeated rows are packed each;
 null ids are kept; an empty table gives an empty result; other columns are
 ignored.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -36,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from eventide.llm.common import materialise, ranked, segments, slices, small_batches, span_hashes, string_parts
+from eventide.llm.common import frugal, materialise, ranked, segments, slices, small_batches, span_hashes, string_parts
 
 LENGTH = 2048
 END = 1
@@ -65,14 +69,22 @@ def _byte_classes() -> np.ndarray:
     return c
 
 
-def word_pieces(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of stretches that the tokenizer never joins."""
+def word_pieces(raw: np.ndarray, offsets: np.ndarray, special: list[bytes] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of stretches that the tokenizer never joins; strings of
+    special tokens are stretches of their own."""
     cls = _byte_classes()[raw]
     cut = np.empty(len(raw), bool)
     cut[0] = True
     a, b = cls[:-1], cls[1:]
     cut[1:] = (a != b) & (a < 4) & (b < 4) | (a == 0) | (b == 0) | (a == 2) & (b == 2)
     cut[offsets[:-1][offsets[:-1] < len(raw)]] = True
+    text = raw.tobytes() if len(special) else b""
+    for m in re.finditer(b"|".join(map(re.escape, special)), text) if len(special) else ():
+        a, b = m.span()
+        if np.searchsorted(offsets, a, "right") == np.searchsorted(offsets, b - 1, "right"):  # within one text
+            cut[a:b + 1] = False
+            cut[a] = True
+            cut[b:b + 1] = True
     at = np.flatnonzero(cut)
     ends = np.append(at[1:], len(raw))
     some = cls[at] > 0
@@ -85,7 +97,7 @@ class Tokens:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
     def forget(self):
@@ -111,7 +123,7 @@ class Tokens:
         """All ids of the rows in one buffer, and each row's first (n + 1)."""
         if not len(raw):
             return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)
-        starts, ends = word_pieces(raw, offsets)
+        starts, ends = word_pieces(raw, offsets, self.special)
         # lower case where the tokenizer would do just that (no mark follows)
         upper = (raw >= 65) & (raw <= 90)
         upper[:-1] &= raw[1:] < 128
@@ -175,7 +187,7 @@ def document_pieces(docs: DataFrame, path: str | None = None, id_col: str = "doc
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-            .mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"))
+            .mapInArrow(frugal(run), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"))
 
 
 # --- cutting stock ---------------------------------------------------------------
@@ -276,26 +288,59 @@ def plan(demand: dict[int, int], room: int = LENGTH // UNIT) -> tuple[list[tuple
     return rows, sequence
 
 
+def bundle(length: int) -> int:
+    """Items of one length that go together: eight (four) of a short length
+    fill whole units, where each by itself would be rounded up."""
+    return 8 if length < LENGTH // 16 else 4 if length < LENGTH // 8 else 1
+
+
+def bundles(counts: dict[int, int]) -> tuple[list[tuple[int, ...]], dict[int, int]]:
+    """For each length (length, items of a bundle, items in whole bundles, the
+    bundles' class and first rank, the class and first rank of the items left
+    over), and the demand of all classes."""
+    rows, demand = [], {}
+    for length, n in sorted(counts.items()):
+        m = bundle(length)
+        row = [length, m, n // m * m]
+        for size, items in ((m * length, n // m), (length, n % m)):
+            c = -(-size // UNIT)
+            row += [c, demand.get(c, 0)]
+            demand[c] = demand.get(c, 0) + items
+        rows.append(tuple(row))
+    return rows, demand
+
+
+def _table(spark, rows: list[tuple], names: str) -> DataFrame:
+    columns = names.split()
+    return spark.createDataFrame(pd.DataFrame(rows, columns=columns).astype("int64"), ", ".join(f"{c} long" for c in columns))
+
+
 def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id and offset."""
     spark = docs.sparkSession
-    size_class = F.when(F.col("length") == LENGTH, 0).otherwise(F.ceil(F.col("length") / UNIT)).cast("int")
-    pieces = materialise(document_pieces(docs, path, id_col, text).withColumn("size_class", size_class), "pack-pieces")
-    demand = {r["size_class"]: r["count"] for r in pieces.groupBy("size_class").count().collect()}  # LENGTH / UNIT + 1 rows
-    total, whole = sum(demand.values()), demand.pop(0, 0)
+    pieces = materialise(document_pieces(docs, path, id_col, text), "pack-pieces")
+    counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # LENGTH rows at most
+    total, whole = sum(counts.values()), counts.pop(LENGTH, 0)
+    lengths, demand = bundles(counts)
     rows, sequences = plan(demand)
     if whole:  # whole pieces: one in each sequence
+        lengths.append((LENGTH, 1, whole, 0, 0, 0, whole))
         rows.append((0, 0, whole, sequences, 1))
-    table = spark.createDataFrame(pd.DataFrame(rows or [(0, 0, 0, 0, 1)], columns=["c", "low", "high", "base", "each"]).astype("int64"),
-                                  "c long, low long, high long, base long, each long")
+    known = _table(spark, lengths, "of m full class1 first1 class2 first2")
+    table = _table(spark, rows, "c low high base each")
     buckets = max(16, total // BUCKET_ROWS)
-    numbered = ranked(pieces, ["size_class"], [F.col("doc_id"), F.col("start"), F.col("ids_crc32")],
+    numbered = ranked(pieces, ["length"], [F.col("doc_id"), F.col("start"), F.col("ids_crc32")],
                       F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)), "nth")
-    hit = (F.col("size_class") == F.col("c")) & (F.col("nth") >= F.col("low")) & (F.col("nth") < F.col("high"))
-    placed = (numbered.join(F.broadcast(table), hit)  # bounded: patterns by their classes
-              .withColumn("sequence_id", (F.col("base") + F.floor((F.col("nth") - F.col("low")) / F.col("each"))).cast("long"))
-              .withColumn("place", (F.col("nth") - F.col("low")) % F.col("each")))
-    ahead = Window.partitionBy("sequence_id").orderBy("size_class", "place").rowsBetween(Window.unboundedPreceding, -1)
+    together = F.col("nth") < F.col("full")
+    classed = (numbered.join(F.broadcast(known), F.col("length") == F.col("of"))  # LENGTH rows at most
+               .withColumn("size_class", F.when(together, F.col("class1")).otherwise(F.col("class2")))
+               .withColumn("rank", F.when(together, F.col("first1") + F.floor(F.col("nth") / F.col("m")))
+                           .otherwise(F.col("first2") + F.col("nth") - F.col("full")))
+               .withColumn("inner", F.when(together, F.col("nth") % F.col("m")).otherwise(F.lit(0))))
+    hit = (F.col("size_class") == F.col("c")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
+    placed = (classed.join(F.broadcast(table), hit)  # bounded: patterns by their classes
+              .withColumn("sequence_id", (F.col("base") + F.floor((F.col("rank") - F.col("low")) / F.col("each"))).cast("long")))
+    ahead = Window.partitionBy("sequence_id").orderBy("size_class", "rank", "inner").rowsBetween(Window.unboundedPreceding, -1)
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
                          F.coalesce(F.sum("length").over(ahead), F.lit(0)).cast("long").alias("offset"))

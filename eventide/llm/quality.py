@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import held_out, labelled_sample, segments, slices, small_batches, span_hashes, string_parts
+from eventide.llm.common import frugal, held_out, labelled_sample, segments, slices, small_batches, span_hashes, string_parts
 
 BUCKETS = 8192
 DIM = 32
@@ -103,7 +103,7 @@ def _context_sums(batches):
 def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Unit word vectors (BUCKETS, DIM) from all documents."""
     dims = [f"d{k}" for k in range(DIM)]
-    sums = (docs.select(F.col(text).alias("text")).mapInArrow(_context_sums, "word long, " + ", ".join(f"{d} long" for d in dims))
+    sums = (docs.select(F.col(text).alias("text")).mapInArrow(frugal(_context_sums), "word long, " + ", ".join(f"{d} long" for d in dims))
             .groupBy("word").agg(*[F.sum(d).alias(d) for d in dims]))
     rows = sums.toPandas()  # BUCKETS rows at most
     out = np.zeros((BUCKETS, DIM))
@@ -198,7 +198,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, text: str = "text", sample_r
                                              names=["doc_id", "y", "x"])
 
     rows = (sample.select(F.col("doc_id").cast("long").alias("doc_id"), "y", "text")
-            .mapInArrow(described, "doc_id long, y int, x array<double>").toPandas())
+            .mapInArrow(frugal(described), "doc_id long, y int, x array<double>").toPandas())
     rows = rows[rows["y"].isin((0, 1))].sort_values(["doc_id", "y"], kind="stable")
     y = rows["y"].to_numpy(float)
     if len(np.unique(y)) < 2:
@@ -226,7 +226,7 @@ def score_quality(docs: DataFrame, model: dict, text: str = "text") -> DataFrame
                                              names=[*kept, "score", "predicted"])
 
     schema = docs.select(*kept).schema.add("score", "double").add("predicted", "integer")
-    return small_batches(docs).select(*kept).mapInArrow(scored, schema)
+    return small_batches(docs).select(*kept).mapInArrow(frugal(scored), schema)
 
 
 def quality_query(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -241,5 +241,5 @@ def quality_query(docs: DataFrame, labels: DataFrame) -> DataFrame:
                                              names=["doc_id", "score", "predicted"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return (docs.select("doc_id", "text").mapInArrow(scored, f"doc_id {kind}, score double, predicted int")
+    return (docs.select("doc_id", "text").mapInArrow(frugal(scored), f"doc_id {kind}, score double, predicted int")
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"))

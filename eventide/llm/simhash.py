@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import fresh, materialise, small_batches
+from eventide.llm.common import fresh, frugal, materialise, small_batches
 
 SHINGLE = 4
 DISTANCE = 4
@@ -111,7 +111,7 @@ def add_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", shingl
             f = fingerprints_of(batch.column(0).to_pylist(), shingle)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(f.view(np.int64))], names=[*kept, out])
 
-    return small_batches(docs).select(F.col(text).cast("string"), *kept).mapInArrow(run, docs.select(*kept).schema.add(out, "long"))
+    return small_batches(docs).select(F.col(text).cast("string"), *kept).mapInArrow(frugal(run), docs.select(*kept).schema.add(out, "long"))
 
 
 # --- vantage-point trees --------------------------------------------------------

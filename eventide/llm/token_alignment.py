@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from eventide.llm.common import materialise, slices, string_parts
+from eventide.llm.common import frugal, materialise, slices, string_parts
 
 SLICE_BYTES = 2 << 20
 RUN_BYTES = 1 << 15         # units laid end to end for one call of a tokenizer
@@ -304,7 +304,7 @@ def align(docs: DataFrame, id_col: str = "doc_id", text: str = "text", paths: tu
                 number += 1
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(blocks, f"id {kind}, {_STORED}")
+    return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(frugal(blocks), f"id {kind}, {_STORED}")
 
 
 def pair_counts(aligned: DataFrame) -> tuple[DataFrame, DataFrame]:

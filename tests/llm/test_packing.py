@@ -2,17 +2,17 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from corpus_fixture import frame, rows
 from eventide.llm import packing
 from tokenizers import Tokenizer
 
 ODD = ["don't we'll IT'S x'sabc !'s", "a<|endoftext|>b", "24be64439e3e é≠ Á J̌ İ ﬁ ½²", "....,,,;;; $$$%%% a_b-c",
-       "tab\there\rcr nbsp em\u0085nel", "日本語 テキスト한국어", "\U0001f600\U0001f600!!́", "'", "''s 's", "9's 4'", "ŉ ǰ"]
+       "tab\there\rcr nbsp em\u0085nel", "日本語 テキスト한국어", "\U0001f600\U0001f600!!́", "'", "''s 's", "9's 4'", "ŉ ǰ", "--<|endoftext|>é<|startoftext|> <|ENDOFTEXT|> <|endoftext|><|endoftext|>x <|endoftext", "|> <|endoftext |>"]
 
 
 def test_ids_equal_the_tokenizers_own():
     t = Tokenizer.from_file(packing.tokenizer_path())
-    t.encode_special_tokens = True
     own = packing.Tokens(packing.tokenizer_path())
     texts = [r[1] or "" for r in rows()] + ODD
     for _ in range(2):  # learned, then remembered
@@ -24,7 +24,6 @@ def test_ids_equal_the_tokenizers_own():
 
 def check(spark, data):
     t = Tokenizer.from_file(packing.tokenizer_path())
-    t.encode_special_tokens = True
     got = packing.pack(frame(spark, data)).collect()
     docs = sorted((len(i), str(d), [zlib.crc32(np.array(i, "<u4").tobytes())]) for d, x, *_ in data
                   for i in [t.encode(x or "", add_special_tokens=False).ids + [1]] if len(i) <= packing.LENGTH)
@@ -61,6 +60,15 @@ def test_little_padding(spark):
     assert sizes.sum() >= 0.98 * packing.LENGTH * len(sizes)
 
 
+@pytest.mark.parametrize("low, high", [(0, 1), (8, 9), (4, 40), (30, 90), (120, 300)])
+def test_little_padding_of_short_documents(spark, low, high):
+    rng = np.random.default_rng(4)
+    data = [(i, "word " * int(n), "en", "s", 0) for i, n in enumerate(rng.integers(low, high, 12_000))]
+    got = packing.pack(frame(spark, data)).groupBy("sequence_id").sum("length").collect()
+    sizes = np.array([r[1] for r in got])
+    assert sizes.max() <= packing.LENGTH and sizes.sum() >= 0.98 * packing.LENGTH * (len(sizes) - 1)
+
+
 def test_plan_covers_each_item_once():
     rng = np.random.default_rng(5)
     for demand in ({}, {7: 1}, {256: 5, 1: 3}, {100: 1000}, {int(c): int(n) for c, n in zip(range(1, 256, 5), rng.integers(0, 400, 51))}):
