@@ -4,8 +4,9 @@ Base patterns, leftmost and non-overlapping each: key assignments, access keys
 and long hexadecimal strings.  The method adds spans: candidate strings (runs
 of ``ENTROPY_CHARS`` with a digit) are read by a window of ``WINDOW``
 characters that moves one character at a time; it keeps the counts of its
-characters and the sum of c * log2(c), adding the character that enters and
-taking away the one that leaves, so each step costs the same.  The largest
+characters (small counters packed in six longs) and the sum of c * log2(c),
+adding the character that enters and taking away the one that leaves, so each
+step costs the same and a candidate of any length takes time in proportion.  The largest
 Shannon entropy of a window is held against the threshold of the candidate's
 character class (digits and a-f, one letter case with digits, both cases with
 digits, with signs).  An allow-list drops known harmless forms; candidates
@@ -22,6 +23,8 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,48 +41,78 @@ WINDOW = 20
 CANDIDATE = rf"(?<![{ENTROPY_CHARS}])(?=[A-Za-z+/_=]*+[0-9])[{ENTROPY_CHARS}]{{{WINDOW},}}+"
 #: Bits a window must reach, by character class.
 THRESHOLDS = {"hex": 3.0, "single": 3.6, "mixed": 3.9, "signs": 3.9}
-#: Candidates of these forms are harmless.
+#: Candidates of these forms are harmless: what they match and, if given, may
+#: not hold.  No group is repeated, so texts of any length are matched in a loop.
 ALLOW = (
-    r"^[0-9_/=+]+$",                                   # numbers, dates, separators
-    r"^[A-Za-z]+([_/][A-Za-z]+)*[_/]?[0-9]{1,4}$",      # names with a short number
-    r"^[a-z]+://",                                      # addresses
-    r"(?i)example|placeholder|lorem|x{8,}|0{8,}|1234567",
-    r"^(.)\1+$",
-)
+    (r"^[0-9_/=+]+$", None),                                      # numbers, dates, separators
+    (r"^[A-Za-z][A-Za-z_/]*[0-9]{1,4}$", "[_/]{2}"),              # names with a short number
+    (r"^[a-z]+://", None),                                        # addresses
+    (r"(?i)example|placeholder|lorem|x{8,}|0{8,}|1234567", None),
+)                                                                 # and one character repeated
+#: A counter of a window's characters: 5 bits each, 12 in a long.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_="
+BITS, IN_LONG = 32, 12
+LONGS = -(-len(ALPHABET) // IN_LONG)
+UNIT = 1 << 40      # c * log2(c) in whole numbers, so that sums do not drift
 
 
 def _kind(name: str, text: Column, pattern: str, usable) -> Column:
     """Structs (kind, nth, gap, length, ok, body) of all matches of one kind."""
-    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    matches = F.transform(found, lambda m, i: F.struct(
-        F.lit(name).alias("kind"), i.alias("nth"), F.length(F.element_at(gaps, i + 1)).alias("gap"),
-        F.length(m).alias("length"), usable(m).alias("ok"), (m if name == "entropy" else F.lit("")).alias("body")))
+    # both lists are made once; the text behind the last match has none of its own
+    pairs = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                       lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("m")))
+    matches = F.transform(F.filter(pairs, lambda p: p["m"].isNotNull()), lambda p, i: F.struct(
+        F.lit(name).alias("kind"), i.alias("nth"), p["gap"].alias("gap"), F.length(p["m"]).alias("length"),
+        usable(p["m"]).alias("ok"), (p["m"] if name == "entropy" else F.lit("")).alias("body")))
     none = F.array().cast("array<struct<kind:string,nth:int,gap:int,length:int,ok:boolean,body:string>>")
     return F.when(text.rlike(pattern), matches).otherwise(none)
 
 
-def _xlog(c: Column) -> Column:
-    return F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
-
-
 def window_entropy(body: Column, width: int = WINDOW) -> Column:
-    """The largest Shannon entropy, in bits, of ``width`` neighbouring characters."""
-    chars = F.transform(F.split(body, "", -1), lambda c: F.ascii(c))
-    zero = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("s"), F.lit(0.0).alias("best"))
-
-    def step(state, i):
-        enters = F.element_at(chars, i)
-        leaves = F.when(i > width, F.element_at(chars, F.greatest(i - width, F.lit(1))))
-        entered = F.element_at(state["counts"], enters + 1)
-        s1 = state["s"] - _xlog(entered) + _xlog(entered + 1)
-        left = F.when(leaves.isNotNull(), F.element_at(state["counts"], leaves + 1) + (leaves == enters).cast("int"))
-        s2 = F.when(left.isNotNull(), s1 - _xlog(left) + _xlog(left - 1)).otherwise(s1)
-        counts = F.transform(state["counts"], lambda c, k: c + (k == enters).cast("int")
-                             - F.coalesce((k == leaves).cast("int"), F.lit(0)))
-        bits = F.when(i >= width, F.log2(F.lit(float(width))) - s2 / width).otherwise(F.lit(0.0))
-        return F.struct(counts.alias("counts"), s2.alias("s"), F.greatest(state["best"], bits).alias("best"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.length(body)), zero, step, lambda state: state["best"])
+    """The largest Shannon entropy, in bits, of ``width`` neighbouring characters.
+
+    One pass: the state holds the counters and the sum of c * log2(c); a step
+    raises the counter of the character that enters and lowers that of the one
+    that leaves, whatever the length of the text.
+    """
+    table = lambda values, kind: F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
+    place = {ord(c): i for i, c in enumerate(ALPHABET)}
+    which = table([place.get(c, 0) // IN_LONG for c in range(128)], "int")
+    one = table([BITS ** (place.get(c, 0) % IN_LONG) for c in range(128)], "bigint")
+    xlog = table([round(c * math.log2(c) * UNIT) if c > 1 else 0 for c in range(BITS)], "bigint")
+    codes = F.transform(F.split(body, "", -1), lambda c: F.ascii(c))
+    # an empty last piece of the split is no character
+    codes = F.slice(codes, 1, F.length(body))
+    late = F.concat(F.array_repeat(F.lit(None).cast("int"), width), codes)
+    steps = F.slice(F.zip_with(codes, late, lambda enters, leaves: F.struct(enters.alias("enters"), leaves.alias("leaves"))), 1, F.length(body))
+    names = [f"c{k}" for k in range(LONGS)]
+    zero = F.struct(*[F.lit(0).cast("bigint").alias(n) for n in names], F.lit(0).cast("bigint").alias("s"), F.lit(0).alias("n"),
+                    F.lit(None).cast("bigint").alias("least"))
+
+    def counted(counts: list[Column], char: Column) -> Column:
+        word = F.element_at(F.array(*counts), F.element_at(which, char + 1) + 1)
+        return (F.call_function("div", word, F.element_at(one, char + 1)) % BITS).cast("int")
+
+    def moved(counts: list[Column], char: Column, by: int) -> list[Column]:
+        change = F.element_at(one, char + 1) * by
+        return [c + F.when(F.element_at(which, char + 1) == k, change).otherwise(0) for k, c in enumerate(counts)]
+
+    def step(state, x):
+        counts = [state[n] for n in names]
+        out = counted(counts, x["leaves"])
+        weight = lambda c: F.element_at(xlog, c + 1)
+        same = x["leaves"] == x["enters"]
+        now = counted(counts, x["enters"])
+        gone = F.when(x["leaves"].isNull(), F.lit(0)).otherwise(weight(out) - weight(out - 1))
+        left = [F.when(x["leaves"].isNull(), a).otherwise(b) for a, b in zip(counts, moved(counts, x["leaves"], -1))]
+        base = now - F.when(F.coalesce(same, F.lit(False)), 1).otherwise(0)
+        s = state["s"] - gone + weight(base + 1) - weight(base)
+        n = state["n"] + 1
+        return F.struct(*[c.alias(k) for k, c in zip(names, moved(left, x["enters"], 1))], s.alias("s"), n.alias("n"),
+                        F.when(n >= width, F.least(state["least"], s)).otherwise(state["least"]).alias("least"))
+
+    bits = lambda state: F.coalesce(F.lit(math.log2(width)) - state["least"] / F.lit(float(width * UNIT)), F.lit(0.0))
+    return F.aggregate(steps, zero, step, bits)
 
 
 def suspicious(body: Column) -> Column:
@@ -87,9 +120,9 @@ def suspicious(body: Column) -> Column:
     lower, upper, sign = body.rlike("[a-z]"), body.rlike("[A-Z]"), body.rlike("[+/_=]")
     least = (F.when(body.rlike("^[0-9a-f]+$"), THRESHOLDS["hex"]).when(sign, THRESHOLDS["signs"])
              .when(lower & upper, THRESHOLDS["mixed"]).otherwise(THRESHOLDS["single"]))
-    allowed = F.lit(False)
-    for form in ALLOW:
-        allowed = allowed | body.rlike(form)
+    allowed = F.length(F.replace(body, F.substring(body, 1, 1), F.lit(""))) == 0
+    for form, but in ALLOW:
+        allowed = allowed | (body.rlike(form) & ~body.rlike(but) if but else body.rlike(form))
     return F.when(allowed, False).otherwise(window_entropy(body) >= least)
 
 
@@ -106,9 +139,11 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     placed = (rows.withColumn("end", F.sum(F.col("gap") + F.col("length")).over(along))
               .withColumn("start", F.col("end") - F.col("length")))
     base = F.col("kind").isin(*KINDS) & F.col("ok")  # a dropped match only took up its place
-    order = Window.partitionBy("row").orderBy("start", "end")
-    reached = F.max(F.when(base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.min(F.when(base, F.col("start"))).over(order.rowsBetween(0, Window.unboundedFollowing))
+    # both ways from the group's ends: a frame to its other end would be computed anew for each row
+    order = ["start", "end", "kind", "nth"]
+    upto = lambda by: Window.partitionBy("row").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    reached = F.max(F.when(base, F.col("end"))).over(upto(order))
+    ahead = F.min(F.when(base, F.col("start"))).over(upto([F.desc(c) for c in order]))
     alone = F.coalesce(reached <= F.col("start"), F.lit(True)) & F.coalesce(ahead >= F.col("end"), F.lit(True))
     kept = (placed.withColumn("alone", alone)
             .withColumn("keep", F.when(F.col("kind").isNull() | ~F.col("ok"), False).when(base, True)
@@ -143,7 +178,7 @@ def _oracle_kind(name: str, order: int, pattern: str, ok: str) -> str:
 
 def oracle() -> str:
     """The same result in DuckDB: window entropies from plain counts."""
-    allowed = " OR ".join("regexp_matches(m, '{}')".format(a) for a in ALLOW if "\\1" not in a)
+    allowed = " OR ".join(f"regexp_matches(m, '{a}')" + (f" AND NOT regexp_matches(m, '{b}')" if b else "") for a, b in ALLOW)
     run = f"[{ENTROPY_CHARS}]{{{WINDOW},}}"
     assign = ASSIGN.replace("'", "''")
     return f"""

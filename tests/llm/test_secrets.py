@@ -66,6 +66,28 @@ def test_entropy_spans_and_allow_list(spark):
     assert got[9] == "assign:0:38,hex:6:38"  # a base span is not found twice
 
 
+def test_very_long_candidates(spark):
+    rng = random.Random(7)
+    chars = secrets_scan.ALPHABET
+    blob = "".join(rng.choice(chars) for _ in range(1_000_000))
+    texts = [blob, "a_" * 500_000 + "b1", "x" * 1_000_000, "gh" * 500_000 + "1", "k1 " + KEY + " " + "mit7 " * 100_000, "token=abcdef " * 20_000]
+    df = frame(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)])
+    got = {r["doc_id"]: r["spans"] for r in secrets_scan.secrets_query(df).select("doc_id", F.substring("spans", 1, 40).alias("spans")).collect()}
+    assert got[0].endswith("entropy:0:1000000") or "assign" in got[0] or "hex" in got[0] or "access" in got[0]
+    assert got[1] == got[2] == got[3] == "" and got[4] == f"entropy:3:{3 + len(KEY)}" and got[5].startswith("assign:0:12")
+
+
+def test_entropy_time_is_linear(spark):
+    import time
+    rng, took = random.Random(8), []
+    for n in (50_000, 400_000):
+        df = spark.createDataFrame([("".join(rng.choice(secrets_scan.ALPHABET) for _ in range(n)),)], "t string")
+        t0 = time.perf_counter()
+        df.select(secrets_scan.window_entropy(F.col("t"))).collect()
+        took.append(time.perf_counter() - t0)
+    assert took[1] < 8 * 4 * (took[0] + 0.5)
+
+
 def test_empty_table(spark):
     assert secrets_scan.secrets_query(frame(spark, [])).collect() == []
 
