@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.functions.time import duration_ms
-from eventide.operators import cep, joins, partitioning, relational, rolling, stateful, sinks, topn, windows
+from eventide.operators import cep, joins, partitioning, relational, rolling, stateful, sinks, topn, usercode, windows
 from eventide.session import shared_path
 from eventide.sources.tables import events, read_table, with_millis
 
@@ -42,6 +42,8 @@ COUNT_WINDOW = 5
 NTH_EVENT = 6
 BUFFER_THRESHOLD = 10
 CEP_WITHIN_MS = 24 * H
+SESSION_GAP_MS = 6 * H
+ANSWER_WAIT_MS = 48 * H
 
 ORDER = ["ts_ms", "event_id"]   # total order of events within a user
 
@@ -440,6 +442,120 @@ def buffered_batches(spark, sf):
     return stateful.buffered_batches(df, ORDER, BUFFER_THRESHOLD)
 
 
+# --- own code ------------------------------------------------------------------------
+
+class Sessions(usercode.KeyedProcess):
+    """A user's activity, closed by a timer that each event moves."""
+
+    output = "user_id bigint, first_ts bigint, last_ts bigint, n bigint, errors bigint"
+
+    def __init__(self, gap_ms: int):
+        self.gap = gap_ms
+
+    def on_event(self, ctx, row):
+        first, last, n, errors = ctx.state or (row["ts_ms"], None, 0, 0)
+        if last is not None:
+            ctx.delete_timer(last + self.gap)
+        ctx.state = (first, row["ts_ms"], n + 1, errors + (row["event_type"] == "error"))
+        ctx.set_timer(row["ts_ms"] + self.gap)
+
+    def on_timer(self, ctx, at):
+        ctx.emit(*ctx.key, *ctx.state)
+        ctx.state = None
+
+
+@query("keyed_process_sessions", f"""
+WITH s AS (SELECT user_id, event_type, ts_ms, event_id,
+                  coalesce(ts_ms - lag(ts_ms) OVER (PARTITION BY user_id ORDER BY ts_ms, event_id) > {SESSION_GAP_MS}, true) AS opens FROM ({EV})),
+     n AS (SELECT *, sum(CAST(opens AS INTEGER)) OVER ({RUN}) AS nth FROM s)
+SELECT user_id, min(ts_ms) AS first_ts, max(ts_ms) AS last_ts, count(*) AS n, count(*) FILTER (event_type = 'error') AS errors
+FROM n GROUP BY user_id, nth""")
+def keyed_process_sessions(spark, sf):
+    df = _ev(spark, sf).select("user_id", "event_type", "ts_ms", "event_id")
+    return usercode.keyed_process(df, ["user_id"], ORDER, Sessions(SESSION_GAP_MS))
+
+
+class SignupAnswer(usercode.KeyedProcess):
+    """Two inputs: the purchases of a user that follow the latest signup within a time."""
+
+    output = "user_id bigint, signup_ts bigint, purchases bigint"
+
+    def __init__(self, wait_ms: int):
+        self.wait = wait_ms
+
+    def on_event(self, ctx, row):
+        if row["side"] == 0:
+            if ctx.state:
+                ctx.delete_timer(ctx.state[0] + self.wait)
+                ctx.emit(*ctx.key, *ctx.state)
+            ctx.state = (row["ts_ms"], 0)
+            ctx.set_timer(row["ts_ms"] + self.wait)
+        elif ctx.state:
+            ctx.state = (ctx.state[0], ctx.state[1] + 1)
+
+    def on_timer(self, ctx, at):
+        ctx.emit(*ctx.key, *ctx.state)
+        ctx.state = None
+
+
+@query("connected_process", f"""
+WITH e AS (SELECT user_id, event_id, ts_ms, event_type = 'signup' AS s FROM ({EV}) WHERE event_type IN ('signup', 'purchase')),
+     g AS (SELECT *, sum(CAST(s AS INTEGER)) OVER ({RUN}) AS nth FROM e),
+     f AS (SELECT *, min(ts_ms) FILTER (s) OVER (PARTITION BY user_id, nth) AS signup_ts FROM g WHERE nth > 0)
+SELECT user_id, signup_ts, count(*) FILTER (NOT s AND ts_ms <= signup_ts + {ANSWER_WAIT_MS}) AS purchases
+FROM f GROUP BY user_id, nth, signup_ts""")
+def connected_process(spark, sf):
+    side = lambda kind: _ev(spark, sf).where(F.col("event_type") == kind).select("user_id", "ts_ms", "event_id")
+    both = usercode.connect(side("signup"), side("purchase"))
+    return usercode.keyed_process(both, ["user_id"], ORDER, SignupAnswer(ANSWER_WAIT_MS))
+
+
+class Visitors(usercode.UserAggregate):
+    """Page views per visitor from a set of visitors and a count."""
+
+    output = "pv bigint, uv bigint, pv_per_uv double"
+
+    def create(self):
+        return set(), 0
+
+    def add(self, acc, row):
+        acc[0].add(row["user_id"])
+        return acc[0], acc[1] + 1
+
+    def merge(self, a, b):
+        return a[0] | b[0], a[1] + b[1]
+
+    def result(self, acc):
+        return acc[1], len(acc[0]), acc[1] / len(acc[0])
+
+
+@query("user_aggregate_visitors", f"""
+SELECT w AS window_start, w + {PV_UV_SIZE_MS} AS window_end, event_type, count(*) AS pv, count(DISTINCT user_id) AS uv,
+       CAST(count(*) AS DOUBLE) / count(DISTINCT user_id) AS pv_per_uv
+FROM (SELECT event_type, user_id, unnest(generate_series(ts_ms - ts_ms % {PV_UV_SLIDE_MS} - {PV_UV_SIZE_MS - PV_UV_SLIDE_MS},
+                                                         ts_ms - ts_ms % {PV_UV_SLIDE_MS}, {PV_UV_SLIDE_MS})) AS w FROM ({EV}))
+GROUP BY w, event_type""")
+def user_aggregate_visitors(spark, sf):
+    df = _ev(spark, sf).select("event_type", "user_id", "ts_ms")
+    return usercode.window_aggregate(df, "ts_ms", PV_UV_SIZE_MS, PV_UV_SLIDE_MS, ["event_type"], Visitors())
+
+
+def _largest_and_times(a: tuple, b: tuple) -> tuple:
+    """The larger value and how often it has come."""
+    return a if a[0] > b[0] else b if b[0] > a[0] else (a[0], a[1] + b[1])
+
+
+@query("running_reduce_largest", f"""
+WITH m AS (SELECT *, max(value) OVER ({RUN}) AS largest FROM ({EV}))
+SELECT event_id, user_id, ts_ms, largest,
+       count(*) FILTER (value = largest) OVER (PARTITION BY user_id, largest ORDER BY ts_ms, event_id) AS times
+FROM m""")
+def running_reduce_largest(spark, sf):
+    df = _ev(spark, sf).select("event_id", "user_id", "ts_ms", "value", F.lit(1).cast("bigint").alias("one"))
+    return usercode.running_reduce(df, ["user_id"], ORDER, ["value", "one"], _largest_and_times, ["largest", "times"]) \
+        .select("event_id", "user_id", "ts_ms", "largest", "times")
+
+
 # --- event patterns -----------------------------------------------------------------
 
 def _err():

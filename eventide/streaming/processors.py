@@ -16,15 +16,19 @@ the batch result that the watermark has closed.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import IntegralType
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from eventide.operators.usercode import KeyedProcess, KeyedRun
+
 
 def _rows(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
     pdf = pd.concat(list(rows), ignore_index=True)
@@ -474,6 +478,67 @@ def apply_rolling(df: DataFrame, key: str, kind: str, value: str | None, order:
     return r.select(F.col("key").alias(key), *passed, F.col("running").alias(out))
 
 
+# --- own code per record --------------------------------------------------------------------
+
+class KeyedUserCode(StatefulProcessor):
+    """Drives a ``usercode.KeyedProcess``: its state and timers are kept
+    pickled in value state, timers due between rows fire in between."""
+
+    def __init__(self, code: KeyedProcess, fields: list[str], order: list[str]):
+        self.code, self.fields, self.order = code, fields, order
+        self.names = [f.name for f in T._parse_datatype_string(code.output).fields]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.run = handle.getValueState("run", "run binary")
+
+    def _load(self, key) -> tuple[KeyedRun, set[int]]:
+        if not self.run.exists():
+            return KeyedRun(self.code, tuple(key)), set()
+        state, timers = pickle.loads(self.run.get()[0])
+        return KeyedRun(self.code, tuple(key), state, timers), set(timers)
+
+    def _save(self, run: KeyedRun, known: set[int]) -> Iterator[pd.DataFrame]:
+        # a timer is due once the watermark has passed it
+        for at in known - run.armed:
+            self.handle.deleteTimer(at + 1)
+        for at in run.armed - known:
+            self.handle.registerTimer(at + 1)
+        if run.armed or run.state != self.code.start():
+            self.run.update((pickle.dumps((run.state, sorted(run.armed))),))
+        else:
+            self.run.clear()
+        if run.out:
+            yield pd.DataFrame(run.taken(), columns=self.names, dtype=object)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _rows(rows, self.order)[self.fields].astype(object)
+        columns = [pdf[f].where(pdf[f].notna(), None).tolist() for f in self.fields]
+        run, known = self._load(key)
+        time = self.fields.index(self.order[0])
+        for values in zip(*columns):
+            if values[time] is not None:
+                run.event(int(values[time]), dict(zip(self.fields, values)))
+        yield from self._save(run, known)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        run, known = self._load(key)
+        at = expiredTimerInfo.getExpiryTimeInMs() - 1
+        known.discard(at)           # it has gone off
+        run.fire_before(at + 1)
+        yield from self._save(run, known)
+
+    def close(self) -> None:
+        pass
+
+
+def apply_keyed_process(df: DataFrame, keys: list[str], order: list[str], code: KeyedProcess, fields: list[str]) -> DataFrame:
+    """The stream form of ``usercode.keyed_process``: the same ``code``, which
+    gets ``fields`` (keys and ``order`` among them) of each record."""
+    fields = list(dict.fromkeys([*keys, *order, *fields]))
+    return df.groupBy(*keys).transformWithStateInPandas(KeyedUserCode(code, fields, order), code.output, "Append", "EventTime")
+
+
 # --- arrival row + processing-time timer ----------------------------------------------------
 
 class ArrivalTimer(StatefulProcessor):
