@@ -22,20 +22,48 @@ def prefixed(df: DataFrame, prefix: str, keep: list[str] = ()) -> DataFrame:
 
 
 ROWS_PER_SALT = 100_000
+HEAVY_KEYS = 10_000
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """Inner equi-join whose keys are cut by counted size.
+def heavy_keys(left: DataFrame, right: DataFrame, on: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """(*on, _a, _b): how many blocks the left and the right rows of a key are
+    cut into, for keys with more than ``rows_per_salt`` rows on a side.
 
-    A key with n right rows gets ``ceil(n / rows_per_salt)`` salts: its right
-    rows are dealt over them by a hash, its left rows go to each.  No task
-    holds more than about ``rows_per_salt`` right rows of one key, and the
-    left rows of a key meet that many at a time.
+    At most the ``HEAVY_KEYS`` heaviest, so the table may be broadcast; any
+    other key holds less than a 1 / HEAVY_KEYS share of the rows.
     """
-    salts = right.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_salt)).alias("_salts"))
-    dealt = right.join(salts, on).withColumn("_salt", F.pmod(F.xxhash64(*right.columns), F.col("_salts"))).drop("_salts")
-    copied = left.join(salts, on).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_salts") - 1))).drop("_salts")
-    return copied.join(dealt, [*on, "_salt"]).drop("_salt")
+    side = lambda df, l, r: df.select(*on, F.lit(l).alias("_l"), F.lit(r).alias("_r"))
+    sizes = (side(left, 1, 0).unionByName(side(right, 0, 1)).groupBy(*on)
+             .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+             .where((F.col("_l") > 0) & (F.col("_r") > 0) & (F.greatest("_l", "_r") > rows_per_salt)))
+    blocks = lambda c: F.ceil(F.col(c) / F.lit(rows_per_salt)).cast("int")
+    return (sizes.orderBy(F.greatest("_l", "_r").desc(), *on).limit(HEAVY_KEYS)
+            .select(*on, blocks("_l").alias("_a"), blocks("_r").alias("_b")))
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Inner equi-join in which a heavy key is a grid of blocks.
+
+    The left rows of such a key are dealt over ``_a`` blocks by a hash and its
+    right rows over ``_b``; every pair of a left and a right block is a cell
+    and a join key by itself, so no cell holds more than about
+    ``rows_per_salt`` rows of a side and neither side of a hot key stays whole.
+    Block counts are attached by a broadcast of the bounded ``heavy_keys``,
+    before any row is shuffled; the rows of all other keys have one cell and
+    are not copied.
+    """
+    heavy = heavy_keys(left, right, on, rows_per_salt)
+    names = [f"_h{i}" for i in range(len(on))]
+    table = F.broadcast(heavy.toDF(*names, "_a", "_b"))
+
+    def celled(df: DataFrame, own: str, own_cell: str, other: str, other_cell: str) -> DataFrame:
+        known = df.join(table, [F.col(k) == F.col(n) for k, n in zip(on, names)], "left")
+        deal = F.when(F.col(own).isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*df.columns), F.col(own)).cast("int"))
+        copies = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
+        return known.withColumn(own_cell, deal).withColumn(other_cell, F.explode(copies)).drop(*names, "_a", "_b")
+
+    l, r = celled(left, "_a", "_salt_l", "_b", "_salt_r"), celled(right, "_b", "_salt_r", "_a", "_salt_l")
+    return l.join(r, [*on, "_salt_l", "_salt_r"]).drop("_salt_l", "_salt_r")
 
 
 def window_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
@@ -43,7 +71,7 @@ def window_join(left: DataFrame, right: DataFrame, key: str, left_time: str, rig
     """Inner join of rows with equal ``key`` in the same tumbling window.
 
     The window start is part of the equi-join key, so a hot key is spread
-    over its windows; a hot (key, window) is salted.
+    over its windows; a hot (key, window) is a grid of blocks.
     """
     l = left.withColumn("window_start", tumble_start(left_time, size_ms))
     r = right.withColumn("window_start", tumble_start(right_time, size_ms))
@@ -63,7 +91,7 @@ def full_history_join(left: DataFrame, right: DataFrame, key: str, rows_per_salt
 
     This is the operator's definition (each side keeps its whole history),
     so the output size is the sum of per-key products; the work of a hot key
-    is spread by salts.
+    is spread over a grid of blocks of both sides.
     """
     return salted_join(left, right, [key], rows_per_salt)
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from eventide.functions.time import interval_str, window_bounds_ms
+from eventide.plans.ordered import running
 
 
 def event_time(df: DataFrame, time_col: str) -> Column:
@@ -105,6 +106,9 @@ def distinct_per_window(df: DataFrame, time_col: str, size_ms: int, distinct_col
     if approx:
         return window_agg(df, time_col, size_ms, slide_ms, list(keys),
                           [F.approx_count_distinct(distinct_col).cast("bigint").alias(out)])
+    if _paned(df, time_col, size_ms, slide_ms):
+        g = _paned_distinct(df, time_col, size_ms, slide_ms, distinct_col, list(keys), nulls=True)
+        return g.select("window_start", "window_end", *keys, F.col("uv").alias(out))
     per = _per_value(df, time_col, size_ms, slide_ms, list(keys), distinct_col)
     g = per.groupBy("window", *keys).agg(F.count(F.lit(1)).alias(out))
     return g.select(*window_bounds_ms("window"), *keys, out)
@@ -119,6 +123,43 @@ def _per_value(df: DataFrame, time_col: str, size_ms: int, slide_ms: int | None,
             .agg(F.count(F.lit(1)).alias("_rows")))
 
 
+def _paned_distinct(df: DataFrame, time_col: str, size_ms: int, slide_ms: int, value_col: str, keys: list[str],
+                    nulls: bool = False) -> DataFrame:
+    """``window_start, window_end, *keys, pv, uv``: rows and exact distinct
+    values (a null counts as one only with ``nulls``) of every sliding window.
+
+    Nothing is copied to its windows.  A value's pane covers the windows that
+    begin from ``size - slide`` before the pane up to the pane; those that the
+    value's previous pane covers already are left out, so each (window, value)
+    is covered once.  What is left is an interval of windows: +1 where it
+    begins, -1 behind its end.  A running sum over the window starts (in
+    slices of the order) turns the ends into counts; rows are counted by the
+    same ends, all of them added up per start first.
+    """
+    reach = size_ms - slide_ms
+    panes = (df.where(F.col(time_col).isNotNull()).groupBy(*keys, F.col(value_col).alias("_value"), _pane(time_col, slide_ms).alias("_pane"))
+             .agg(F.count(F.lit(1)).alias("_rows")))
+    by_value = running(panes, [*keys, "_value"], ["_pane"], {"_earlier": ("max", F.col("_pane"))}, include_current=False,
+                       like=df.select(_pane(time_col, slide_ms).alias("_pane")))
+    begins = F.greatest(F.col("_pane") - F.lit(reach), F.coalesce(F.col("_earlier") + F.lit(slide_ms), F.col("_pane") - F.lit(reach)))
+    counted = F.lit(1) if nulls else F.col("_value").isNotNull().cast("int")
+    end = lambda at, rows, uv: F.struct(at.cast("bigint").alias("window_start"), rows.cast("bigint").alias("pv"), uv.cast("bigint").alias("uv"))
+    past = F.col("_pane") + F.lit(slide_ms)
+    ends = (by_value.select(*keys, F.explode(F.array(
+                end(F.col("_pane") - F.lit(reach), F.col("_rows"), F.lit(0)), end(begins, F.lit(0), counted),
+                end(past, -F.col("_rows"), -counted))).alias("e"))
+            .select(*keys, "e.*").groupBy(*keys, "window_start").agg(F.sum("pv").alias("_pv"), F.sum("uv").alias("_uv")))
+    # the windows themselves: of panes, of which there are few, not of rows or values
+    starts = (df.where(F.col(time_col).isNotNull()).select(*keys, _pane(time_col, slide_ms).alias("_pane")).distinct()
+              .select(*keys, _window_starts("_pane", size_ms, slide_ms).alias("window_start")).distinct())
+    marks = (ends.unionByName(starts.select(*keys, "window_start", F.lit(0).cast("bigint").alias("_pv"), F.lit(0).cast("bigint").alias("_uv")))
+             .groupBy(*keys, "window_start").agg(F.sum("_pv").alias("_pv"), F.sum("_uv").alias("_uv")))
+    sums = running(marks, keys, ["window_start"], {"pv": ("sum", F.col("_pv")), "uv": ("sum", F.col("_uv"))},
+                   like=df.select(_pane(time_col, slide_ms).alias("window_start")))
+    return (sums.where(F.col("pv") > 0).withColumn("window_end", F.col("window_start") + F.lit(size_ms))
+            .select("window_start", "window_end", *keys, "pv", "uv"))
+
+
 def pv_per_uv(df: DataFrame, time_col: str, size_ms: int, slide_ms: int, user_col: str,
               out: str = "pv_per_uv", approx: bool = False) -> DataFrame:
     """Global sliding window: page views divided by distinct users (double)."""
@@ -127,12 +168,7 @@ def pv_per_uv(df: DataFrame, time_col: str, size_ms: int, slide_ms: int, user_co
                        [F.count(F.lit(1)).alias("pv"),
                         F.approx_count_distinct(user_col).cast("bigint").alias("uv")])
     elif _paned(df, time_col, size_ms, slide_ms):
-        panes = (df.where(F.col(time_col).isNotNull()).groupBy(_pane(time_col, slide_ms).alias("_pane"), user_col)
-                 .agg(F.count(F.lit(1)).alias("_rows")))
-        per = (panes.withColumn("window_start", _window_starts("_pane", size_ms, slide_ms))
-               .groupBy("window_start", user_col).agg(F.sum("_rows").alias("_rows")))
-        g = (per.groupBy("window_start").agg(F.sum("_rows").alias("pv"), F.count(user_col).alias("uv"))
-             .withColumn("window_end", F.col("window_start") + F.lit(size_ms)))
+        g = _paned_distinct(df, time_col, size_ms, slide_ms, user_col, [])
     else:
         per = _per_value(df, time_col, size_ms, slide_ms, [], user_col)
         g = (per.groupBy("window").agg(F.sum("_rows").alias("pv"), F.count(F.lit(1)).alias("uv"))
