@@ -1,3 +1,4 @@
+import random
 import re
 from collections import defaultdict
 
@@ -79,3 +80,60 @@ def test_copies_keep_rows_and_columns(spark):
 def test_empty_table(spark):
     assert mixing.mixing_query(frame(spark, [])).collect() == []
     assert mixing.mixed_documents(frame(spark, [])).collect() == []
+
+
+def _plain(data):
+    """Copies by plain Python: c by bisection, Pareto's ratio, the nearest prefix."""
+    import hashlib
+
+    def uniform(doc, text):
+        own = f"{mixing.SEED}:{'' if doc is None else doc}:{hashlib.md5((text or '').encode()).hexdigest()}"
+        return (int(hashlib.md5(own.encode()).hexdigest()[:12], 16) + 0.5) / (1 << 48)
+
+    size, target = expected_targets(data)
+    taken, odds = {}, {}
+    for s in size:
+        docs = [(d, size_of(t), uniform(d, t)) for d, t, _, source, _ in data if source == s]
+        whole = min(2, int(target[s] // size[s])) if size[s] else 0
+        left = target[s] - whole * size[s]
+        low, high = 0.0, 1.0
+        for _ in range(200):
+            c = (low + high) / 2
+            low, high = (c, high) if sum(min(1.0, c * x) * x for _, x, _ in docs) < left else (low, c)
+        c = (low + high) / 2
+        for d, x, u in docs:
+            odds[d] = min(1.0, c * x)
+            taken[d] = whole * x
+        if left > 1e-6 and whole < 2:
+            sure = [(d, x) for d, x, _ in docs if c * x >= 1 - 1e-12]
+            room = left - sum(x for _, x in sure)
+            for d, x in sure:
+                taken[d] += x
+            before = 0
+            for _, d, x in sorted((u / (1 - u) / (c * x / (1 - c * x)), d, x) for d, x, u in docs if 0 < c * x < 1 - 1e-12):
+                if 2 * before + x < 2 * room:
+                    taken[d] += x
+                before += x
+    return taken, odds
+
+
+def test_equals_plain_pareto_sampling(spark):
+    rng = random.Random(9)
+    data = [(i, "w " * rng.choice([0, 1, 3, 9, 40, 40, 200, rng.randint(1, 600)]), "en", rng.choice(["a", "a", "b", "c", "d", None]), 1)
+            for i in range(1500)]
+    want, odds = _plain(data)
+    got = {r["doc_id"]: r["taken"] for r in mixing.mixing_query(frame(spark, data)).collect()}
+    assert got == want
+    assert len({round(p, 6) for p in odds.values()}) > 100 and any(p == 1.0 for p in odds.values())
+
+
+def test_inclusion_rises_with_size(spark):
+    rng = random.Random(10)
+    data = [(i, "w " * rng.choice([10, 50]), "en", "a" if i % 4 else "b", 1) for i in range(8000)]
+    got = mixing.mixing_query(frame(spark, data)).collect()
+    target = {r["source_size"]: r["target"] / r["source_size"] for r in got}
+    for source_size, t in target.items():
+        extra = {x: [r["taken"] / x - int(t) for r in got if r["size"] == x and r["source_size"] == source_size] for x in (10, 50)}
+        if 0.05 < t - int(t) < 0.8:
+            share = {x: sum(e) / len(e) for x, e in extra.items()}
+            assert 3.5 < share[50] / share[10] < 6.5 or share[50] > 0.9
