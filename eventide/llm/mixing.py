@@ -42,7 +42,7 @@ from eventide.llm.common import WORD, fresh, materialise, ranked
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 MAX_REPEAT = 2
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 5_000
 SEED = "mix-1"
 
 
@@ -120,7 +120,7 @@ def take(sized: DataFrame, source: str, size: str, u: str, id_col: str) -> DataF
     drawn = F.coalesce((F.col(room) > 0) & (F.col(size) > 0) & (F.col(size) <= F.col(most)), F.lit(False))
     certain = F.coalesce((F.col(size) > F.col(most)) & (F.col(whole) < MAX_REPEAT), F.lit(False))
     sure = joined.where(~drawn).withColumn("copies", (F.col(whole) + certain.cast("int")).cast("int"))
-    buckets = max(64, sized.count() // BUCKET_ROWS)
+    buckets = max(1024, sized.count() // BUCKET_ROWS)
     ordered = joined.where(drawn).withColumn(v, pareto(F.col(u), F.col(c) * F.col(size), F.col(share)))
     numbered = ranked(ordered, [source], [F.col(v), F.col(id_col), F.col(size)],
                       F.least(F.floor(F.col(v) * buckets), F.lit(buckets - 1)), rank, size, before)
