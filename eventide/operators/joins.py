@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.time import tumble_start
 from eventide.plans.bucketing import bucketed_range_join
+from eventide.plans.ordered import running
 
 
 def prefixed(df: DataFrame, prefix: str, keep: list[str] = ()) -> DataFrame:
@@ -101,8 +102,26 @@ STATUS_MISSING_THIRD = "missing_third_party"
 STATUS_MISSING_APP = "missing_app"
 
 
+HEAVY_ID_ROWS = 100_000
+
+
+def quiet_segments(events: DataFrame, wait_ms: int) -> DataFrame:
+    """``events`` (pay_id, ts, side) with ``segment``: the time at which the
+    id's events begin anew after a gap of more than ``wait_ms``.
+
+    Behind such a gap all timers have fired and nothing is pending, so a
+    segment is a scan by itself.  The event before and the segment's start are
+    running maxima in slices of the order, so a hot id is in no single task.
+    """
+    like, order = events.select("ts"), ["ts", "side"]
+    before = running(events, ["pay_id"], order, {"before": ("max", F.col("ts"))}, include_current=False, like=like)
+    opens = F.col("before").isNull() | (F.col("ts") - F.col("before") > wait_ms)
+    return (running(before.withColumn("opened", F.when(opens, F.col("ts"))), ["pay_id"], order,
+                    {"segment": ("max", F.col("opened"))}, like=like).select("pay_id", "ts", "side", "segment"))
+
+
 def reconcile(app: DataFrame, third: DataFrame, id_col: str, app_time: str, third_time: str,
-              wait_ms: int = 5000) -> DataFrame:
+              wait_ms: int = 5000, heavy_rows: int = HEAVY_ID_ROWS) -> DataFrame:
     """Match each payment id across the two inputs, waiting ``wait_ms``.
 
     One event is pending per id at a time.  An event consumes a pending event
@@ -113,16 +132,18 @@ def reconcile(app: DataFrame, third: DataFrame, id_col: str, app_time: str, thir
     Ids whose events do not repeat thus match when ``|t_app - t_third| <=
     wait_ms`` and are reported on both sides otherwise.
 
-    Events are hash-partitioned by id and sorted; the scan keeps one pending
-    event and the armed timers, whatever the number of an id's events.  Null
-    ids match nothing.  Output: ``pay_id, app_ts, third_ts, status``.
+    Events are hash-partitioned by (id, segment) and sorted; the scan keeps one
+    pending event and the armed timers.  The ids with more than ``heavy_rows``
+    events (the ``HEAVY_KEYS`` heaviest; any other holds less than that share
+    of the events) are cut into ``quiet_segments``; an id without a gap longer
+    than ``wait_ms`` is one segment.  Null ids match nothing.  Output: ``pay_id, app_ts, third_ts, status``.
     """
     wait, kind = int(wait_ms), app.schema[id_col].dataType.simpleString()
     side = lambda df, t, n: df.select(F.col(id_col).alias("pay_id"), F.col(t).cast("bigint").alias("ts"), F.lit(n).alias("side"))
     events = side(app, app_time, 0).unionByName(side(third, third_time, 1))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, pending, timers, out = None, None, [], []
+        key, segment, pending, timers, out = None, None, None, [], []
 
         def report():
             if pending is not None:
@@ -130,10 +151,10 @@ def reconcile(app: DataFrame, third: DataFrame, id_col: str, app_time: str, thir
                 out.append((key, t, None, STATUS_MISSING_THIRD) if s == 0 else (key, None, t, STATUS_MISSING_APP))
 
         for pdf in batches:
-            for k, t, s in zip(pdf["pay_id"].tolist(), pdf["ts"].tolist(), pdf["side"].tolist()):
-                if k != key:
+            for k, g, t, s in zip(*(pdf[c].tolist() for c in ("pay_id", "segment", "ts", "side"))):
+                if k != key or g != segment:
                     report()
-                    key, pending, timers = k, None, []
+                    key, segment, pending, timers = k, g, None, []
                 if timers and timers[0] < t:
                     report()
                     pending, timers = None, [x for x in timers if x >= t]
@@ -148,8 +169,15 @@ def reconcile(app: DataFrame, third: DataFrame, id_col: str, app_time: str, thir
         report()
         yield _reconciled(out)
 
-    known = (events.where(F.col("pay_id").isNotNull()).repartition("pay_id")
-             .sortWithinPartitions("pay_id", "ts", "side")
+    own = events.where(F.col("pay_id").isNotNull())
+    heavy = (own.groupBy("pay_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > heavy_rows)
+             .orderBy(F.desc("n"), "pay_id").limit(HEAVY_KEYS).select(F.col("pay_id").alias("heavy_id")).collect())
+    cut = own.withColumn("segment", F.lit(0).cast("bigint"))
+    if heavy:
+        table = F.broadcast(app.sparkSession.createDataFrame(heavy, f"heavy_id {kind}"))     # HEAVY_KEYS rows at most
+        same = F.col("pay_id") == F.col("heavy_id")
+        cut = cut.join(table, same, "left_anti").unionByName(quiet_segments(own.join(table, same, "left_semi"), wait))
+    known = (cut.repartition("pay_id", "segment").sortWithinPartitions("pay_id", "segment", "ts", "side")
              .mapInPandas(scan, f"pay_id {kind}, app_ts bigint, third_ts bigint, status string"))
     alone = events.where(F.col("pay_id").isNull()).select(
         "pay_id", F.when(F.col("side") == 0, F.col("ts")).alias("app_ts"), F.when(F.col("side") == 1, F.col("ts")).alias("third_ts"),

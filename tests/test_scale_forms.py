@@ -88,3 +88,45 @@ def test_heavy_keys_are_bounded(spark):
     got = {r.k: (r._a, r._b) for r in joins.heavy_keys(rows, rows.limit(20), ["k"], rows_per_salt=3).collect()}
     assert set(got) == {0, 1, 2, 3} and all(a == 4 and b == 2 for a, b in got.values())
     assert joins.heavy_keys(rows, rows, ["k"], rows_per_salt=100).collect() == []
+
+
+def _plain_reconcile(rows, wait):
+    out = []
+    for k in {r[0] for r in rows}:
+        pending, timers = None, []
+
+        def report():
+            if pending is not None:
+                out.append((k, pending[0], None, "missing_third_party") if pending[1] == 0 else (k, None, pending[0], "missing_app"))
+
+        for _, t, side in sorted((r for r in rows if r[0] == k), key=lambda r: r[1:]):
+            if any(x < t for x in timers):
+                report()
+                pending, timers = None, [x for x in timers if x >= t]
+            if pending is not None and pending[1] != side:
+                out.append((k, *((t, pending[0]) if side == 0 else (pending[0], t)), "ok"))
+                pending = None
+            else:
+                pending = (t, side)
+                timers.append(t + wait)
+        report()
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("heavy_rows", [1, 60, 100_000])
+@pytest.mark.parametrize("wait", [3, 15])
+def test_reconcile_cut_at_gaps(spark, heavy_rows, wait):
+    rng = random.Random(wait)
+    rows = [(rng.choice(["hot"] * 6 + ["a", "b", "c"]), rng.choice([rng.randint(0, 60), rng.randint(100, 2_000)]), rng.randint(0, 1)) for _ in range(400)]
+    side = lambda n: spark.createDataFrame([r[:2] for r in rows if r[2] == n], "id string, t bigint")
+    got = joins.reconcile(side(0), side(1), "id", "t", "t", wait, heavy_rows=heavy_rows)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == _plain_reconcile(rows, wait)
+
+
+def test_one_hot_id_is_reconciled_in_several_tasks(spark, plain_shuffles):
+    app = spark.range(4_000).select(F.lit("hot").alias("id"), (F.col("id") * 100).alias("t"))
+    third = spark.range(4_000).select(F.lit("hot").alias("id"), (F.col("id") * 100 + 7).alias("t"))
+    got = joins.reconcile(app, third, "id", "t", "t", 50, heavy_rows=1_000)
+    tasks = got.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert sum(r.n for r in tasks) == 4_000 and len(tasks) >= 8 and max(r.n for r in tasks) < 1_000
+    assert got.where("status != 'ok' or third_ts - app_ts != 7").count() == 0
