@@ -107,14 +107,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, text: str, l
     exact and the choice is by a hash of the id, so it does not depend on how
     the tables are laid out; being bounded, the sample may be broadcast.
     A label that is null, and a repeated id with two different labels, is
-    left out.
+    left out; of the rows that repeat an id the smallest text counts.
     """
     lab = (labels.where(~held_out(F.col("doc_id")) & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
            .groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("y2"))
            .where("y = y2").select("doc_id", F.col("y").cast("int").alias("y"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
     return (docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
-            .join(F.broadcast(lab), "doc_id"))
+            .join(F.broadcast(lab), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")))
 
 
 def ranked(df: DataFrame, group: list[str], order: list[Column], bucket: Column, rank: str,

@@ -197,8 +197,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, text: str = "text", sample_r
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(list(x), pa.list_(pa.float64()))],
                                              names=["doc_id", "y", "x"])
 
-    rows = (sample.select(F.col("doc_id").cast("long").alias("doc_id"), "y", "text")
-            .mapInArrow(frugal(described), "doc_id long, y int, x array<double>").toPandas())
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = (sample.select("doc_id", "y", "text")
+            .mapInArrow(frugal(described), f"doc_id {kind}, y int, x array<double>").toPandas())
     rows = rows[rows["y"].isin((0, 1))].sort_values(["doc_id", "y"], kind="stable")
     y = rows["y"].to_numpy(float)
     if len(np.unique(y)) < 2:

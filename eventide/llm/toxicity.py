@@ -25,7 +25,9 @@ import math
 import re
 import unicodedata
 import zlib
+from bisect import bisect_right
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -116,7 +118,10 @@ class ToxicityModel:
                     continue
                 (spared if weight is None else found).append((start, last + 1, term, weight))
         if spared:
-            found = [m for m in found if not any(s <= m[0] and m[1] <= e for s, e, _, _ in spared)]
+            # of the phrases that begin at or before a match the one that reaches farthest
+            starts, reach = zip(*sorted((s, e) for s, e, _, _ in spared))
+            reach = list(accumulate(reach, max))
+            found = [m for m in found if not ((k := bisect_right(starts, m[0])) and reach[k - 1] >= m[1])]
         best = {}  # of the entries that begin at one place the longest counts
         for m in found:
             if m[0] not in best or m[1] > best[m[0]][1]:

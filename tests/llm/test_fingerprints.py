@@ -65,3 +65,41 @@ def test_chunks_depend_on_the_text_alone_and_resist_shifts():
 def test_empty_fingerprints():
     e, x = fp.fingerprint(["", "abc"])
     assert fp.likeness(e, e) == 1 and fp.likeness(e, x) == 0 and fp.as_text(e) == ""
+
+
+def _plain_chunks(text: bytes) -> list[bytes]:
+    """Byte by byte: the gear hash of the bytes so far, and a cut where its bits fit."""
+    from eventide.llm import fingerprints as m
+    gear, out, start = [int(x) for x in m._gear()], [], 0
+    while len(text) - start > m.LEAST:
+        stop = None
+        for end in range(start + m.LEAST, len(text) + 1):
+            size = end - start
+            if size >= m.MOST:
+                stop = end
+                break
+            h = 0
+            for b in text[max(0, end - m.REACH):end]:
+                h = (h * 2 + gear[b]) % (1 << 32)
+            if h & m.LOOSE == 0 and (size >= m.NORMAL or h & m.STRICT == 0) and end < len(text):
+                stop = end
+                break
+        if stop is None:
+            break
+        out.append(text[start:stop])
+        start = stop
+    return out + ([text[start:]] if start < len(text) else [])
+
+
+def test_chunks_equal_a_plain_loop():
+    import random
+
+    import numpy as np
+    from eventide.llm import fingerprints as m
+    rng = random.Random(8)
+    texts = [b"", b"short", b"x" * 3_000, bytes(rng.randrange(1, 256) for _ in range(4_000)),
+             " ".join(rng.choice(["an", "be", "car", "dote", "e"]) for _ in range(900)).encode(), b"ab" * m.LEAST]
+    for text, got in zip(texts, m.chunk_sets(texts)):
+        chunks = set(_plain_chunks(text))
+        assert len(got) == len(chunks)
+        assert sorted((got & np.uint64(0xFFFF)).tolist()) == sorted(len(c) for c in chunks)

@@ -59,3 +59,49 @@ def test_odd_rows_without_labels(spark):
     none = toxicity.toxicity_query(frame(spark), labels(spark, [])).collect()
     assert len(none) == len(rows()) and {r["predicted"] for r in none} == {0}
     assert toxicity.toxicity_query(frame(spark, []), labels(spark, [(1, 1, None)])).collect() == []
+
+
+def _plain_matches(model, text):
+    """Every place of every entry by plain search, then the same choice."""
+    found, spared = set(), set()
+    for t in {fold(text), fold(text.replace("1", "l"))}:
+        for entry, weight in [*model.lexicon.items(), *((p, None) for p in model.exceptions)]:
+            term, at = fold(entry), -1
+            while (at := t.find(term, at + 1)) >= 0:
+                if not (at and t[at - 1].isalpha()):
+                    (spared if weight is None else found).add((at, at + len(term), term, weight))
+    left = [m for m in found if not any(s <= m[0] and m[1] <= e for s, e, _, _ in spared)]
+    longest = {}
+    for m in left:
+        if m[0] not in longest or m[1] > longest[m[0]][1]:
+            longest[m[0]] = m
+    return [longest[k] for k in sorted(longest)]
+
+
+def test_matcher_equals_plain_search():
+    rng = random.Random(6)
+    model = ToxicityModel(lexicon={"idiot": 3.0, "idiots": 4.0, "scum": 2.0, "scumbag": 3.0, "loser": 1.0},
+                          exceptions=("pond scum", "sore loser", "scum of the pond", "pond scum idiot"))
+    parts = ["idiot", "1diot", "id1ots", "pond scum", "scum", "scumbag", "s0re l0ser", "loser", "1oser", "scum of the pond", "x", "pond", ",", "preidiot"]
+    for _ in range(400):
+        text = rng.choice([" ", "", "  "]).join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
+        assert model.match(text) == _plain_matches(model, text), text
+
+
+def test_many_exceptions_take_linear_time():
+    import time
+    model = ToxicityModel(lexicon={"idiot": 3.0, "scum": 2.0}, exceptions=("pond scum",))
+    t0 = time.perf_counter()
+    assert len(model.match("pond scum idiot " * 40_000)) == 40_000
+    assert time.perf_counter() - t0 < 5
+
+
+def test_sample_is_bounded_in_rows(spark):
+    from eventide.llm.common import labelled_sample
+    data = [(i % 3, f"text {i}", "xx", "s", 0) for i in range(600)] + [(10 + i, "t", "xx", "s", 0) for i in range(50)]
+    lab = labels(spark, [(i, 1, i % 2) for i in (0, 1, 2, *range(10, 60))])
+    got = labelled_sample(frame(spark, data), lab, "toxic", "text", 20).collect()
+    assert len(got) == len({r["doc_id"] for r in got}) == 20
+    every = {r["doc_id"]: r["text"] for r in labelled_sample(frame(spark, data), lab, "toxic", "text", 1000).collect()}
+    for i in set(every) & {0, 1, 2}:
+        assert every[i] == min(t for d, t, *_ in data if d == i)
