@@ -83,3 +83,44 @@ def test_repeated_rows_few_candidates_and_empty(spark):
     assert search(vectors(spark, [[1, 2]], [0])) == {}
     assert search(vectors(spark, [])) == {}
     assert search(vectors(spark, [None], [0])) == {}
+
+
+def test_a_rung_below_the_root_meets_fewer_rows_as_the_table_grows():
+    rng = np.random.default_rng(8)
+    shares = []
+    for n in (2_000, 20_000, 60_000):
+        v = rng.standard_normal((n, 64))
+        u = v / np.linalg.norm(v, axis=1, keepdims=True)
+        q = np.arange(0, n, n // 60)[:60]
+        s = u[q] @ u.T
+        s[np.arange(len(q)), q] = -2
+        near = np.argsort(-s, axis=1)[:, :5]
+        need = ann._ranks_needed(np.repeat(v[q], 5, axis=0), v[near.ravel()], ann.TREES)
+        level, p = ann.cheapest_rung(need, n, ann.TREES, 128)
+        assert level > 0 and (need[:, level - 1] <= p).mean() >= ann.RECALL
+        shares.append(1 - (1 - (p / 128) ** level) ** ann.TREES)
+    assert shares[0] > shares[1] >= shares[2] and shares[2] < 0.3
+
+
+def test_deep_descents_score_the_same_pairs_as_a_plain_loop():
+    import pyarrow as pa
+    rng, dim, width, depth = np.random.default_rng(9), 16, 3, 3
+    v, q = rng.standard_normal((500, dim)), rng.standard_normal((7, dim))
+    table = lambda x: pa.table({"class_id": np.arange(len(x)), "v": pa.array(list(x), pa.list_(pa.float64()))})
+    members = pa.Table.from_batches(list(ann._hashed(dim, 1)(table(v).to_batches())))
+    queries = pa.Table.from_batches(list(ann._descents(dim, 1, depth, width)(table(q).to_batches())))
+    rot = ann._rotations(dim, 1)
+    own = np.stack([ann._symbols(ann._unit(v), rot[0, s]) for s in range(depth)], axis=1)
+    order = [ann._likely(ann._unit(q), rot[0, s])[:, :width] for s in range(depth)]
+    for level in range(1, depth + 1):
+        exp = {(i, j) for i in range(7) for j in range(500) if all(own[j, s] in order[s][i] for s in range(level))}
+        got, counts = set(), 0
+        for symbol in np.unique(queries["symbol"].to_numpy()):
+            mine = queries.filter(pa.array(queries["symbol"].to_numpy() == symbol))
+            theirs = members.filter(pa.array(members["symbol"].to_numpy() == symbol))
+            n = ann._levels(depth, width)(mine, theirs)
+            counts += int(n["n"].to_numpy()[n["level"].to_numpy() == level].sum())
+            mine = mine.append_column("level", pa.array(np.full(mine.num_rows, level, np.int32)))
+            found = ann._best(dim, 500, width)(mine, theirs)
+            got |= set(zip(found["query_class"].to_pylist(), found["class_id"].to_pylist()))
+        assert got == exp and counts == len(exp)
