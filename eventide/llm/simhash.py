@@ -41,7 +41,7 @@ from eventide.llm.common import fresh, frugal, materialise, small_batches
 SHINGLE = 4
 DISTANCE = 4
 PARTS = 3
-SAMPLE = 65_536        # distinct fingerprints the trees are built from, at most
+SAMPLE = 65_536        # distinct fingerprints the trees are built from, about (all of fewer)
 LEAF_SAMPLE = 32       # of them in a leaf
 LEAF_ROWS = 8_192      # expected fingerprints of a leaf that meet in one place
 HASH_SEED = 42
@@ -242,11 +242,20 @@ def spanning_links(f: np.ndarray, distance: int = DISTANCE, block: int = 256) ->
     return root[moved], moved
 
 
+def bounded_sample(classes: DataFrame, fp: str, n: int, size: int = SAMPLE) -> np.ndarray:
+    """About ``size`` of ``n`` distinct fingerprints (all, if no more): those whose
+    hash lies below a threshold, so no task and not the driver sees others."""
+    grain = 1 << 40
+    below = grain if n <= size else int(grain * (size / n))
+    kept = classes.where(F.pmod(F.xxhash64(fp), F.lit(grain)) < below)
+    return np.sort(kept.toPandas()[fp].to_numpy(np.int64).view(np.uint64))
+
+
 def linked_fingerprints(classes: DataFrame, fp: str = "fp", distance: int = DISTANCE) -> DataFrame:
     """(a, b), a < b: links that connect the distinct fingerprints of ``classes``."""
     spark = classes.sparkSession
     n = classes.count()
-    sample = classes.select(fp).orderBy(F.xxhash64(fp), fp).limit(SAMPLE).toPandas()[fp].to_numpy(np.int64).view(np.uint64)
+    sample = bounded_sample(classes.select(fp), fp, n)
     trees = [build_tree(sample, mask, distance // PARTS) for mask in part_masks()]
     scale = n / max(1, len(sample))
     groups = [np.maximum(1, np.ceil(t["count"] * scale / LEAF_ROWS)).astype(np.int64) for t in trees]

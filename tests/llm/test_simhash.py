@@ -118,3 +118,13 @@ def test_keep_one(spark):
 def test_empty_table(spark):
     assert simhash.simhash_query(frame(spark, [])).collect() == []
     assert simhash.keep_one(frame(spark, [])).collect() == []
+
+
+def test_sample_is_bounded_and_spread(spark):
+    rng = np.random.default_rng(4)
+    f = np.unique(rng.integers(-(1 << 62), 1 << 62, 20_000))
+    df = spark.createDataFrame([(int(x),) for x in f], "fp long")
+    got = simhash.bounded_sample(df, "fp", len(f), size=2_000)
+    assert 1_700 < len(got) < 2_300 and np.isin(got.view(np.int64), f).all()
+    assert 0.4 < (got.view(np.int64) < 0).mean() < 0.6
+    assert len(simhash.bounded_sample(df, "fp", len(f), size=20_000)) == len(f)
