@@ -14,10 +14,11 @@ An entry that several trees find counts about once.
 How deep a descent starts, and how wide, is measured on the table: ``SAMPLE``
 of the queries are held against all entries.  For each level the smallest
 ``p`` is taken that reaches ``RECALL`` of their true neighbours, and of these
-rungs (all rows are one, too) the one with the least work, counted as entries
-scored plus prefixes looked up.  The same rule holds at every size; the more
-rows a table has, the deeper the cheapest rung lies and the smaller the share
-of the rows that a query meets.
+rungs the one with the least work: entries scored, prefixes looked up, and
+rows moved (a query's copies and their results), each of which costs about
+``MOVED`` times as much.  The same rule holds at every size; the more rows a
+table has, the deeper the cheapest rung lies and the smaller the share of the
+rows that a query meets.
 
 Equal vectors are searched once: a class of them is one entry that knows its
 smallest ids, so a vector that a third of all rows share costs one entry.
@@ -52,6 +53,7 @@ BLOCK_QUERIES = 16_384
 ROOT_BLOCKS = 8        # blocks of all rows, at least
 PAIRS = 1_000_000      # (query, prefix) or (query, entry) pairs at once in a task, about
 SMALL = 256            # pairs of a prefix below which it is not worth a product of its own
+MOVED = 100            # scored entries that take as long as one row through a shuffle (6 us to 0.05 us, measured)
 SAMPLE = 256           # queries whose true neighbours are sought, at most
 RECALL = 0.97          # of the sample's true neighbours that a descent must reach
 SEED = 20_011
@@ -278,14 +280,13 @@ def _ranks_needed(q: np.ndarray, m: np.ndarray, trees: int) -> np.ndarray:
     return need
 
 
-def cheapest_rung(need: np.ndarray, n: int, trees: int, symbols: int) -> tuple[int, int]:
-    """(level, p) with the least work of the rungs that reach ``RECALL``;
-    level 0 is all ``n`` rows."""
-    rungs = [(float(n), 0, 1)]
+def cheapest_rung(need: np.ndarray, n: int, trees: int, symbols: int, k: int) -> tuple[int, int]:
+    """(level, p) with the least work of the rungs that reach ``RECALL``."""
+    rungs = []
     for level in range(1, SYMBOLS + 1):
         p = int(np.sort(need[:, level - 1])[max(0, math.ceil(RECALL * len(need)) - 1)])
         share = 1 - (1 - (p / symbols) ** level) ** trees
-        rungs.append((n * share + trees * float(p) ** level, level, p))
+        rungs.append((n * share + trees * float(p) ** level + MOVED * trees * p * (k + 2), level, p))
     return min(rungs)[1:]
 
 
@@ -304,7 +305,7 @@ def fitted_rung(entries: DataFrame, searched: DataFrame, n: int, dim: int, k: in
     at = {c: i for i, c in enumerate(ids.tolist())}
     mine = np.array([at[r["query_class"]] for r in true])
     need = _ranks_needed(q[mine], np.array([r["v"] for r in true], np.float64), trees)
-    return cheapest_rung(need, n, trees, 2 * min(AXES, dim))
+    return cheapest_rung(need, n, trees, 2 * min(AXES, dim), k)
 
 
 def _dealt(df: DataFrame, own: dict, other: dict, salt: Column, mine: str, theirs: str) -> DataFrame:
