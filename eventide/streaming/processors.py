@@ -3,9 +3,10 @@
 Each processor keeps per-key state in the state store (RocksDB) and, for
 event-time logic, timers.  Spark hands a processor all rows of a key in a
 micro-batch at once, unordered, and checks timers only after the batch;
-the per-record semantics of the original jobs are kept by sorting a key's
-rows by event time and firing due timers between rows ("virtual timers");
-real timers then only close keys that receive no further rows.
+the per-record semantics of the original jobs are kept by replaying a key's
+rows in event-time order (``replay.Replayed``: sorted blocks, merged from
+runs) and firing due timers between rows ("virtual timers"); real timers
+then only close keys that receive no further rows.
 
 A bounded input closes every timer and partial match at its end; a stream
 does so only up to its watermark, so a stream's output equals the part of
@@ -17,6 +18,7 @@ the batch result that the watermark has closed.
 from __future__ import annotations
 
 import pickle
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +30,7 @@ from pyspark.sql.types import IntegralType
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from eventide.operators.usercode import KeyedProcess, KeyedRun
-
-
-def _rows(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    pdf = pd.concat(list(rows), ignore_index=True)
-    return pdf.sort_values(order, kind="stable").reset_index(drop=True)
+from eventide.streaming.replay import Replayed, in_runs
 
 
 def _key_type(df: DataFrame, key: str) -> str:
@@ -48,20 +46,21 @@ def _frame(columns: list[str], rows: list[tuple], nullable_ints: tuple = ()) ->
 
 # --- periodic count with an anchored event-time timer ------------------------------
 
-class PeriodicCount(StatefulProcessor):
+class PeriodicCount(Replayed):
     """First event arms a timer ``period_ms`` later; on firing, emit the
     key's cumulative count and disarm; the next later event re-arms."""
 
     def __init__(self, period_ms: int, time_col: str):
-        self.period, self.time_col = int(period_ms), time_col
+        self.period, self.time_col, self.order = int(period_ms), time_col, [time_col]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.handle = handle
         self.count = handle.getValueState("count", "count bigint")
         self.armed = handle.getValueState("armed", "armed bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        t = _rows(rows, [self.time_col])[self.time_col].to_numpy(dtype=np.int64)
+    def take(self, key, pdf) -> Iterator[pd.DataFrame]:
+        t = pdf[self.time_col].to_numpy(dtype=np.int64)
         base = self.count.get()[0] if self.count.exists() else 0
         old = self.armed.get()[0] if self.armed.exists() else None
         armed, out, i = old, [], 0
@@ -92,20 +91,17 @@ class PeriodicCount(StatefulProcessor):
             self.armed.clear()
             yield _frame(["key", "fire_ts", "pv"], [(key[0], fired, self.count.get()[0])])
 
-    def close(self) -> None:
-        pass
-
 
 def apply_periodic_count(df: DataFrame, key: str, time_col: str, period_ms: int) -> DataFrame:
     schema = f"key {_key_type(df, key)}, fire_ts bigint, pv bigint"
     out = df.groupBy(key).transformWithStateInPandas(
-        PeriodicCount(period_ms, time_col), schema, "Append", "EventTime")
+        in_runs(PeriodicCount(period_ms, time_col), df), schema, "Append", "EventTime")
     return out.withColumnRenamed("key", key)
 
 
 # --- count-triggered averages -----------------------------------------------------------
 
-class CountWindowAverage(StatefulProcessor):
+class CountWindowAverage(Replayed):
     """Average event time per n events of a key.  ``repeat=True``: every n
     events, then start over; ``repeat=False``: once, at the n-th event."""
 
@@ -113,10 +109,11 @@ class CountWindowAverage(StatefulProcessor):
         self.n, self.time_col, self.order, self.repeat = int(n), time_col, order, repeat
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.state = handle.getValueState("acc", "total bigint, sum bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        t = _rows(rows, self.order)[self.time_col].to_numpy(dtype=np.int64)
+    def take(self, key, pdf) -> Iterator[pd.DataFrame]:
+        t = pdf[self.time_col].to_numpy(dtype=np.int64)
         total, acc = self.state.get() if self.state.exists() else (0, 0)
         used = t if self.repeat else t[:max(0, self.n - total)]
         sums = np.r_[0, acc + np.cumsum(used)]
@@ -128,19 +125,99 @@ class CountWindowAverage(StatefulProcessor):
         if len(ends):
             yield pd.DataFrame({"key": [key[0]] * len(ends), "window_no": nth[ends] // self.n - 1, "avg_ts": full // self.n})
 
-    def close(self) -> None:
-        pass
-
 
 def apply_count_window_avg(df: DataFrame, key: str, time_col: str, order: list[str], n: int,
                            repeat: bool = True) -> DataFrame:
     schema = f"key {_key_type(df, key)}, window_no bigint, avg_ts bigint"
     out = df.groupBy(key).transformWithStateInPandas(
-        CountWindowAverage(n, time_col, order, repeat), schema, "Append", "None")
+        in_runs(CountWindowAverage(n, time_col, order, repeat), df), schema, "Append", "None")
     out = out.withColumnRenamed("key", key)
     return out if repeat else out.drop("window_no")
 
 
+# --- the n best items of a window -----------------------------------------------------------
+
+def best_items(pdf: pd.DataFrame, n: int) -> pd.DataFrame:
+    """The n rows with the largest ``cnt``; ties to the smaller item, null first."""
+    return pdf.sort_values(["cnt", "item_known", "item"], ascending=[False, True, True], kind="stable").head(n)
+
+
+class BestOfTask:
+    """The n best items of each window among a task's rows (before the shuffle)."""
+
+    HELD = ["window_start", "window_end", "cnt", "item_known", "item"]
+
+    def __init__(self, n: int, most_windows: int = 1_000):
+        self.n, self.most = int(n), most_windows
+
+    def __call__(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = {}
+        for pdf in frames:
+            for window, rows in pdf.groupby(["window_start", "window_end"], sort=False):
+                if window in best:
+                    rows = pd.concat([best[window], rows[self.HELD]], ignore_index=True)
+                best[window] = best_items(rows[self.HELD], self.n)
+            if len(best) > self.most:
+                yield pd.concat(best.values(), ignore_index=True)
+                best = {}
+        if best:
+            yield pd.concat(best.values(), ignore_index=True)
+
+
+class TopOfWindow(StatefulProcessor):
+    """Keeps the n best items of a window and reports them, ranked, when the
+    watermark has reached the window's end.  The state is n entries."""
+
+    def __init__(self, n: int, item_type: str):
+        self.n, self.item_type = int(n), item_type
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getListState("best", f"cnt bigint, item_known boolean, item {self.item_type}")
+
+    def _held(self) -> pd.DataFrame:
+        return pd.DataFrame(list(self.best.get()) if self.best.exists() else [], columns=BestOfTask.HELD[2:])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        best = self._held()
+        if not len(best):
+            self.handle.registerTimer(int(key[1]) - 1)      # due once the watermark has passed it
+        for pdf in rows:
+            frames = [f for f in (best, pdf[BestOfTask.HELD[2:]]) if len(f)]
+            best = best_items(pd.concat(frames, ignore_index=True), self.n)
+        self.best.put(list(best.astype(object).itertuples(index=False, name=None)))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        best = self._held()
+        self.best.clear()
+        yield pd.DataFrame({"window_start": [key[0]] * len(best), "window_end": [key[1]] * len(best),
+                            "item_known": best["item_known"].astype(bool), "item": best["item"], "cnt": best["cnt"],
+                            "place": np.arange(1, len(best) + 1)})
+
+    def close(self) -> None:
+        pass
+
+
+def apply_top_of_window(counts: DataFrame, item: str, count: str, n: int, rank: str) -> DataFrame:
+    """``counts``: a stream of window_start, window_end, ``item`` and its
+    ``count``, each window's rows after the watermark has reached its end."""
+    kind = counts.schema[item].dataType
+    name = kind.simpleString()
+    # whole numbers beside a null would reach pandas as floats
+    known = F.col(item).isNotNull()
+    there = F.coalesce(F.col(item), F.lit(0).cast(kind)) if isinstance(kind, IntegralType) else F.col(item)
+    fields = f"cnt bigint, item_known boolean, item {name}"
+    few = (counts.select("window_start", "window_end", F.col(count).cast("bigint").alias("cnt"),
+                         known.alias("item_known"), there.alias("item"))
+           .mapInPandas(BestOfTask(n), f"window_start bigint, window_end bigint, {fields}"))
+    top = few.groupBy("window_start", "window_end").transformWithStateInPandas(
+        TopOfWindow(n, name), f"window_start bigint, window_end bigint, item_known boolean, item {name}, cnt bigint, place int",
+        "Append", "EventTime")
+    return top.select("window_start", "window_end", F.when(F.col("item_known"), F.col("item")).alias(item),
+                      F.col("cnt").alias(count), F.col("place").alias(rank))
+
+
 # --- hand-made tumbling window on map state ------------------------------------------------
 
 class WindowCountByMap(StatefulProcessor):
@@ -156,10 +233,13 @@ class WindowCountByMap(StatefulProcessor):
         self.counts = handle.getMapState("counts", "window_start bigint", "n bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        t = np.concatenate([pdf[self.time_col].to_numpy(np.int64) for pdf in rows])
-        start, n = np.unique(t - t % self.size, return_counts=True)
+        new = Counter()
+        for pdf in rows:
+            t = pdf[self.time_col].to_numpy(np.int64)
+            start, n = np.unique(t - t % self.size, return_counts=True)
+            new.update(dict(zip(start.tolist(), n.tolist())))
         closed = timerValues.getCurrentWatermarkInMs()
-        for s, k in zip(start.tolist(), n.tolist()):
+        for s, k in sorted(new.items()):
             if s + self.size - 1 <= closed:
                 continue
             if self.counts.containsKey((s,)):
@@ -188,7 +268,7 @@ def apply_window_count_by_map(df: DataFrame, key: str, time_col: str, size_ms: i
 
 # --- buffering sink ------------------------------------------------------------------------
 
-class Buffer(StatefulProcessor):
+class Buffer(Replayed):
     """Buffer rows; release them in batches of ``threshold`` in arrival
     order; the remainder stays in (checkpointed) list state."""
 
@@ -196,11 +276,12 @@ class Buffer(StatefulProcessor):
         self.n, self.fields, self.ddl, self.order = int(threshold), fields, field_ddl, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.buffer = handle.getListState("buffer", self.ddl)
         self.batches = handle.getValueState("batches", "released bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _rows(rows, self.order)[self.fields]
+    def take(self, key, pdf) -> Iterator[pd.DataFrame]:
+        new = pdf[self.fields]
         held = list(self.buffer.get()) if self.buffer.exists() else []
         pending = held + list(new.itertuples(index=False, name=None))
         released = self.batches.get()[0] if self.batches.exists() else 0
@@ -218,9 +299,6 @@ class Buffer(StatefulProcessor):
         if out:
             yield _frame(["shard", "batch_no", "pos"] + self.fields, out)
 
-    def close(self) -> None:
-        pass
-
 
 def apply_buffer(df: DataFrame, threshold: int, fields: list[str], order: list[str],
                  shards: int | None = None, shard_key: list[str] | None = None) -> DataFrame:
@@ -235,12 +313,12 @@ def apply_buffer(df: DataFrame, threshold: int, fields: list[str], order: list[s
     shard = (F.pmod(F.hash(*(shard_key or fields)), F.lit(shards)) if shards > 1 else F.lit(0))
     schema = f"shard int, batch_no bigint, pos bigint, {ddl}"
     return (df.withColumn("shard", shard.cast("int")).groupBy("shard")
-            .transformWithStateInPandas(Buffer(threshold, fields, ddl, order), schema, "Append", "None"))
+            .transformWithStateInPandas(in_runs(Buffer(threshold, fields, ddl, order), df), schema, "Append", "None"))
 
 
 # --- strict event sequence ----------------------------------------------------------------
 
-class StrictSequence(StatefulProcessor):
+class StrictSequence(Replayed):
     """n adjacent events whose i-th satisfies predicate i (precomputed as
     boolean columns ``flags``); keeps the last n-1 events of the key."""
 
@@ -248,10 +326,10 @@ class StrictSequence(StatefulProcessor):
         self.flags, self.time_col, self.order, self.n = flags, time_col, order, len(flags)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.tail = handle.getListState("tail", "ts bigint, flags array<boolean>")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, self.order)
+    def take(self, key, pdf) -> Iterator[pd.DataFrame]:
         held = list(self.tail.get()) if self.tail.exists() else []
         ts = np.r_[np.array([t for t, _ in held], np.int64), pdf[self.time_col].to_numpy(np.int64)]
         flags = np.vstack([np.array([list(f) for _, f in held], bool).reshape(-1, self.n),
@@ -270,9 +348,6 @@ class StrictSequence(StatefulProcessor):
         if len(start):
             yield pd.DataFrame({"key": [key[0]] * len(start), **{f"ts_{i}": ts[start + i] for i in range(self.n)}})
 
-    def close(self) -> None:
-        pass
-
 
 def apply_strict_sequence(df: DataFrame, key: str, predicates: list, time_col: str,
                           order: list[str], step_names: list[str]) -> DataFrame:
@@ -281,13 +356,13 @@ def apply_strict_sequence(df: DataFrame, key: str, predicates: list, time_col: s
     tagged = df.select(key, *order, *[p.alias(f) for p, f in zip(predicates, flags)])
     schema = f"key {_key_type(df, key)}, " + ", ".join(f"ts_{i} bigint" for i in range(len(flags)))
     out = tagged.groupBy(key).transformWithStateInPandas(
-        StrictSequence(flags, time_col, order), schema, "Append", "None")
+        in_runs(StrictSequence(flags, time_col, order), tagged), schema, "Append", "None")
     return out.select(F.col("key").alias(key), *[F.col(f"ts_{i}").alias(n) for i, n in enumerate(step_names)])
 
 
 # --- relaxed sequence with a deadline and time-out output -------------------------------
 
-class FollowedByWithin(StatefulProcessor):
+class FollowedByWithin(Replayed):
     """Every begin event waits for the first later end event of its key:
     matched when it comes within ``within_ms`` (strictly), otherwise timed
     out — by that end event, or by an event-time timer at begin + within."""
@@ -295,17 +370,17 @@ class FollowedByWithin(StatefulProcessor):
     COLS = ["key", "begin_ts", "begin_event_id", "end_ts", "end_event_id", "status", "timeout_ts"]
 
     def __init__(self, within_ms: int, time_col: str, id_col: str):
-        self.within, self.time_col, self.id_col = int(within_ms), time_col, id_col
+        self.within, self.time_col, self.id_col, self.order = int(within_ms), time_col, id_col, [time_col, id_col]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.handle = handle
         self.open = handle.getListState("open", "ts bigint, id bigint")
 
     def _emit(self, out):
         return _frame(self.COLS, out, nullable_ints=("end_ts", "end_event_id", "timeout_ts"))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, [self.time_col, self.id_col])
+    def take(self, key, pdf) -> Iterator[pd.DataFrame]:
         open_ = [(int(t), int(i)) for t, i in self.open.get()] if self.open.exists() else []
         out = []
         for t, i, b, e in zip(pdf[self.time_col], pdf[self.id_col], pdf["is_begin"], pdf["is_end"]):
@@ -334,9 +409,6 @@ class FollowedByWithin(StatefulProcessor):
         if done:
             yield self._emit([(key[0], t, i, None, None, "timeout", t + self.within) for t, i in done])
 
-    def close(self) -> None:
-        pass
-
 
 def apply_followed_by(df: DataFrame, key: str, time_col: str, id_col: str, begin, end,
                       within_ms: int) -> DataFrame:
@@ -344,13 +416,13 @@ def apply_followed_by(df: DataFrame, key: str, time_col: str, id_col: str, begin
     schema = (f"key {_key_type(df, key)}, begin_ts bigint, begin_event_id bigint, end_ts bigint, "
               "end_event_id bigint, status string, timeout_ts bigint")
     out = tagged.groupBy(key).transformWithStateInPandas(
-        FollowedByWithin(within_ms, time_col, id_col), schema, "Append", "EventTime")
+        in_runs(FollowedByWithin(within_ms, time_col, id_col), tagged), schema, "Append", "EventTime")
     return out.withColumnRenamed("key", key)
 
 
 # --- payment reconciliation with overwrite / consume --------------------------------------
 
-class Reconcile(StatefulProcessor):
+class Reconcile(Replayed):
     """One pending event per side and id.  An event consumes a pending
     event of the other side (ok) or becomes the pending one of its side
     (overwriting) and arms a timer ``wait_ms`` later; a firing timer
@@ -360,9 +432,10 @@ class Reconcile(StatefulProcessor):
     COLS = ["pay_id", "app_ts", "third_ts", "status"]
 
     def __init__(self, wait_ms: int):
-        self.wait = int(wait_ms)
+        self.wait, self.order = int(wait_ms), ["ts", "side"]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.handle = handle
         self.app = handle.getValueState("app", "ts bigint")
         self.third = handle.getValueState("third", "ts bigint")
@@ -375,8 +448,7 @@ class Reconcile(StatefulProcessor):
             out.append((key[0], None, self.third.get()[0], "missing_app"))
             self.third.clear()
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, ["ts", "side"])
+    def take(self, key, pdf) -> Iterator[pd.DataFrame]:
         out = []
         for t, side in zip(pdf["ts"], pdf["side"]):
             t = int(t)
@@ -401,9 +473,6 @@ class Reconcile(StatefulProcessor):
         if out:
             yield _frame(self.COLS, out, nullable_ints=("app_ts", "third_ts"))
 
-    def close(self) -> None:
-        pass
-
 
 def apply_reconcile(app: DataFrame, third: DataFrame, id_col: str, app_ts: str, third_ts: str,
                     wait_ms: int, event_time: str = "event_time") -> DataFrame:
@@ -413,7 +482,7 @@ def apply_reconcile(app: DataFrame, third: DataFrame, id_col: str, app_ts: str,
     t = third.select(F.col(id_col).alias("pay_id"), F.col(third_ts).alias("ts"), F.lit("third").alias("side"), event_time)
     u = a.unionByName(t)
     schema = f"pay_id {u.schema['pay_id'].dataType.simpleString()}, app_ts bigint, third_ts bigint, status string"
-    return u.groupBy("pay_id").transformWithStateInPandas(Reconcile(wait_ms), schema, "Append", "EventTime")
+    return u.groupBy("pay_id").transformWithStateInPandas(in_runs(Reconcile(wait_ms), u), schema, "Append", "EventTime")
 
 
 # --- per-record rolling aggregate (changelog) ----------------------------------------------
@@ -429,7 +498,7 @@ def _values(pdf: pd.DataFrame, value: str, kind: str) -> tuple[np.ndarray, np.nd
     return pdf[value].fillna(0).to_numpy(dtype=np.int64 if kind == "bigint" else np.float64), there
 
 
-class RollingAggregate(StatefulProcessor):
+class RollingAggregate(Replayed):
     """One output row per input record with the key's running aggregate.
     Null values change nothing; before the first value it is null."""
 
@@ -437,10 +506,10 @@ class RollingAggregate(StatefulProcessor):
         self.kind, self.value, self.order, self.id_col, self.type = kind, value, order, id_col, value_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.acc = handle.getValueState("acc", f"acc {self.type}")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, self.order)
+    def take(self, key, pdf) -> Iterator[pd.DataFrame]:
         vals, there = ((np.ones(len(pdf), np.int64), np.ones(len(pdf), bool)) if self.kind == "count"
                        else _values(pdf, self.value, self.type))
         prev = self.acc.get()[0] if self.acc.exists() else None
@@ -460,9 +529,6 @@ class RollingAggregate(StatefulProcessor):
         out["running"][~known] = pd.NA
         yield pd.DataFrame(out)
 
-    def close(self) -> None:
-        pass
-
 
 def apply_rolling(df: DataFrame, key: str, kind: str, value: str | None, order: list[str],
                   id_col: str, out: str) -> DataFrame:
@@ -474,13 +540,13 @@ def apply_rolling(df: DataFrame, key: str, kind: str, value: str | None, order:
               + f", running {value_type}")
     cols = [key, *passed] + ([value] if value else [])
     r = df.select(*dict.fromkeys(cols)).groupBy(key).transformWithStateInPandas(
-        RollingAggregate(kind, value, order, id_col, value_type), schema, "Append", "None")
+        in_runs(RollingAggregate(kind, value, order, id_col, value_type), df), schema, "Append", "None")
     return r.select(F.col("key").alias(key), *passed, F.col("running").alias(out))
 
 
 # --- own code per record --------------------------------------------------------------------
 
-class KeyedUserCode(StatefulProcessor):
+class KeyedUserCode(Replayed):
     """Drives a ``usercode.KeyedProcess``: its state and timers are kept
     pickled in value state, timers due between rows fire in between."""
 
@@ -489,6 +555,7 @@ class KeyedUserCode(StatefulProcessor):
         self.names = [f.name for f in T._parse_datatype_string(code.output).fields]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.handle = handle
         self.run = handle.getValueState("run", "run binary")
 
@@ -511,8 +578,8 @@ class KeyedUserCode(StatefulProcessor):
         if run.out:
             yield pd.DataFrame(run.taken(), columns=self.names, dtype=object)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, self.order)[self.fields].astype(object)
+    def take(self, key, pdf) -> Iterator[pd.DataFrame]:
+        pdf = pdf[self.fields].astype(object)
         columns = [pdf[f].where(pdf[f].notna(), None).tolist() for f in self.fields]
         run, known = self._load(key)
         time = self.fields.index(self.order[0])
@@ -528,15 +595,12 @@ class KeyedUserCode(StatefulProcessor):
         run.fire_before(at + 1)
         yield from self._save(run, known)
 
-    def close(self) -> None:
-        pass
-
 
 def apply_keyed_process(df: DataFrame, keys: list[str], order: list[str], code: KeyedProcess, fields: list[str]) -> DataFrame:
     """The stream form of ``usercode.keyed_process``: the same ``code``, which
     gets ``fields`` (keys and ``order`` among them) of each record."""
     fields = list(dict.fromkeys([*keys, *order, *fields]))
-    return df.groupBy(*keys).transformWithStateInPandas(KeyedUserCode(code, fields, order), code.output, "Append", "EventTime")
+    return df.groupBy(*keys).transformWithStateInPandas(in_runs(KeyedUserCode(code, fields, order), df), code.output, "Append", "EventTime")
 
 
 # --- arrival row + processing-time timer ----------------------------------------------------
@@ -616,7 +680,7 @@ def apply_strict_sequence_flat(df: DataFrame, key: str, predicates: list, time_c
     return e.select(key, "match_ts", F.col("step").cast("int").alias("step"), "ts")
 
 
-class RollingExtremeBy(StatefulProcessor):
+class RollingExtremeBy(Replayed):
     """Per record: the key's record with the largest (``max``) or smallest
     (``min``) value so far; the first such record wins ties, nulls never do."""
 
@@ -624,10 +688,10 @@ class RollingExtremeBy(StatefulProcessor):
         self.kind, self.value, self.order, self.id_col, self.type = kind, value, order, id_col, value_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.best = handle.getValueState("best", f"value {self.type}, id bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, self.order)
+    def take(self, key, pdf) -> Iterator[pd.DataFrame]:
         vals, there = _values(pdf, self.value, self.type)
         ids = pdf[self.id_col].to_numpy(dtype=np.int64)
         best = self.best.get() if self.best.exists() else None
@@ -647,9 +711,6 @@ class RollingExtremeBy(StatefulProcessor):
         yield pd.DataFrame({"key": [key[0]] * len(pdf), self.id_col: pdf[self.id_col].to_numpy(),
                             "best_value": value, "best_id": record})
 
-    def close(self) -> None:
-        pass
-
 
 def apply_rolling_extreme_by(df: DataFrame, key: str, kind: str, value: str, order: list[str],
                              id_col: str) -> DataFrame:
@@ -657,5 +718,5 @@ def apply_rolling_extreme_by(df: DataFrame, key: str, kind: str, value: str, ord
     schema = f"key {_key_type(df, key)}, {id_col} bigint, best_value {value_type}, best_id bigint"
     cols = list(dict.fromkeys([key, id_col, *order, value]))
     r = df.select(*cols).groupBy(key).transformWithStateInPandas(
-        RollingExtremeBy(kind, value, order, id_col, value_type), schema, "Append", "None")
+        in_runs(RollingExtremeBy(kind, value, order, id_col, value_type), df), schema, "Append", "None")
     return r.withColumnRenamed("key", key)

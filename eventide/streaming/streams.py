@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.time import interval_str, millis_to_ts
 from eventide.operators.windows import count_per_window
+from eventide.streaming.processors import apply_top_of_window
 
 EVENT_TIME = "event_time"
 
@@ -27,27 +28,15 @@ def watermarked(df: DataFrame, ts_ms: str = "ts_ms", delay_ms: int = 0,
     return df.withWatermark(out, interval_str(delay_ms))
 
 
-TOP_N_PARTS = 64
-
-
 def top_n_stream(df: DataFrame, time_col: str, item: str, size_ms: int, slide_ms: int, n: int,
                  count_col: str = "cnt", rank_col: str = "rank") -> DataFrame:
-    """Top-N per window on a stream: count per (window, item), the n best of
-    each of ``TOP_N_PARTS`` parts of a window's items, then the n best of
-    those.  No state holds all items of a window.  Runs in append mode: a
-    window is emitted once the watermark closes it."""
+    """Top-N per window on a stream: count per (window, item); the n best of
+    each window in each task; of those the n best of the window, the only
+    ones held in state.  Runs in append mode: a window is emitted once the
+    watermark closes it.  Ties go to the smaller item, null first."""
     counts = count_per_window(df, time_col, size_ms, slide_ms, [item], out=count_col, keep_window=True)
-    entry = F.struct((-F.col(count_col)).alias("neg"), F.col(item).alias("item"), F.col(count_col).alias("cnt"))
-    part = F.pmod(F.xxhash64(item), F.lit(TOP_N_PARTS))
-    parts = (counts.groupBy("window", part.alias("part"))
-             .agg(F.slice(F.sort_array(F.collect_list(entry)), 1, n).alias("top")))
-    best = (parts.groupBy("window")
-            .agg(F.slice(F.sort_array(F.flatten(F.collect_list("top"))), 1, n).alias("top")))
-    ex = best.select("window", F.posexplode("top").alias("pos", "t"))
-    return ex.select(F.unix_millis("window.start").alias("window_start"),
-                     F.unix_millis("window.end").alias("window_end"),
-                     F.col("t.item").alias(item), F.col("t.cnt").alias(count_col),
-                     (F.col("pos") + 1).alias(rank_col))
+    bounds = [F.unix_millis("window.start").alias("window_start"), F.unix_millis("window.end").alias("window_end")]
+    return apply_top_of_window(counts.select(*bounds, item, count_col), item, count_col, n, rank_col)
 
 
 def window_join_stream(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
